@@ -19,12 +19,17 @@ def interval_join(
     Left columns come back prefixed `left_`, right ones `right_`. The time slice is part of the
     equi-join key, so a key with very many rows is joined slice by slice.
     """
+    left_ts, right_ts = F.col(f"left_{ts}"), F.col(f"right_{ts}")
     lower_us, upper_us = as_micros(lower), as_micros(upper)
     width = slice_width(upper_us - lower_us)
-    l_us, r_us = F.unix_micros(f"left_{ts}"), F.unix_micros(f"right_{ts}")
-    l_rows = copy_to_slices(_prefixed(left, "left_"), l_us, width, back=-lower_us, ahead=upper_us)
-    r_rows = home_slice(_prefixed(right, "right_"), r_us, width).withColumnRenamed("slice", "_slice")
-    in_range = (r_us >= l_us + lower_us) & (r_us <= l_us + upper_us)
+    l_rows = copy_to_slices(
+        _prefixed(left, "left_"), F.unix_micros(left_ts), width, back=-lower_us, ahead=upper_us
+    )
+    r_rows = home_slice(_prefixed(right, "right_"), F.unix_micros(right_ts), width).withColumnRenamed(
+        "slice", "_slice"
+    )
+    # on the event-time columns themselves, so that a stream can tell when a row may be forgotten
+    in_range = (right_ts >= left_ts + F.lit(lower)) & (right_ts <= left_ts + F.lit(upper))
     return l_rows.join(
         r_rows,
         (F.col(f"left_{key}") == F.col(f"right_{key}")) & (F.col("slice") == F.col("_slice")) & in_range,

@@ -69,6 +69,16 @@ def sliding_counts(
     return _running_counts(panes, keys, size_us, slide_us, cnt)
 
 
+def sliding_counts_of_panes(
+    panes: DataFrame, keys: Sequence[str], size: timedelta, slide: timedelta, pane: str = "pane", cnt: str = "cnt"
+) -> DataFrame:
+    """Sliding counts from counts per key and slide (`pane` is where the slide starts)."""
+    size_us, slide_us = as_micros(size), as_micros(slide)
+    first = F.unix_micros(pane) + slide_us
+    rows = panes.select(*keys, first.alias("_first"), (first + size_us).alias("_stop"), F.col(cnt).alias("_n"))
+    return _running_counts(rows, keys, size_us, slide_us, cnt)
+
+
 def _running_counts(panes: DataFrame, keys, size_us: int, slide_us: int, cnt: str) -> DataFrame:
     block_us = size_us * BLOCK_SIZES
     first, stop, n = F.col("_first"), F.col("_stop"), F.col("_n")

@@ -226,3 +226,69 @@ STATEMENTS: dict[str, str] = {
     "unmatched_pays": f"{MATCHES} SELECT tx_id, pay_id, pay_us FROM lone_pays",
     "unmatched_receipts": f"{MATCHES} SELECT tx_id, receipt_id, receipt_us FROM lone_receipts",
 }
+
+# streams: the batch result up to the watermark
+
+
+def _watermark(condition: str, disorder_us: int = 1_000_000) -> str:
+    return f"(SELECT epoch_us(max(ts)) // 1000 * 1000 - {disorder_us} FROM events WHERE {condition})"
+
+
+VIEW_MARK, EVENT_MARK = _watermark("event_type = 'view'"), _watermark("TRUE")
+MARKET_MARK = _watermark("event_type <> 'error'")
+PAY_MARK = f"least({_watermark("event_type = 'click'")}, {_watermark("event_type = 'purchase'")})"
+
+# events of the order log: created at c, paid at p (either may be missing)
+ORDER_LOG = f"""
+    SELECT o_orderkey AS order_id,
+           CASE WHEN o_orderkey % 50 <> 0 THEN epoch_us(o_orderdate) END AS c,
+           CASE WHEN o_orderkey % 11 <> 0
+                THEN epoch_us(o_orderdate) + (o_orderkey * 7 % 41 - 10) * {DAY_US} END AS p
+    FROM orders
+"""
+STREAM_OUTCOMES = f"""
+    WITH log AS ({ORDER_LOG}),
+    mark AS (SELECT greatest(max(c), max(p)) - {3 * DAY_US} AS wm FROM log),
+    results AS (
+        SELECT order_id, 'payed successfully' AS outcome, greatest(c, p) AS due
+        FROM log WHERE p - c < {15 * DAY_US} AND c - p <= {3 * DAY_US}
+        UNION ALL
+        SELECT order_id, 'payed but already timeout', p FROM log WHERE p - c = {15 * DAY_US}
+        UNION ALL
+        SELECT order_id, 'order timeout', c + {15 * DAY_US} + 1
+        FROM log WHERE c IS NOT NULL AND (p IS NULL OR p - c > {15 * DAY_US} OR c - p > {3 * DAY_US})
+        UNION ALL
+        SELECT order_id, 'already payed but not found create log', p + {3 * DAY_US} + 1
+        FROM log WHERE p IS NOT NULL AND (c IS NULL OR p - c > {15 * DAY_US} OR c - p > {3 * DAY_US})
+    )
+    SELECT order_id, outcome FROM results, mark WHERE due <= wm
+"""
+
+STATEMENTS |= {
+    "stream_hot_items_top5": f"""
+        SELECT * FROM ({ranked(ITEM_COUNTS, 5, "item_id")}) WHERE window_end * 1000000 <= {VIEW_MARK}""",
+    "stream_hot_pages_top3": STATEMENTS["hot_pages_top3"],
+    "stream_late_events": STATEMENTS["late_events"],
+    "stream_market_total": f"""
+        SELECT *, window_end - 3600 AS window_start FROM ({sliding(MARKETING, [], 3600, 5)})
+        WHERE window_end * 1000000 <= {MARKET_MARK}""",
+    "stream_uv": f"""
+        SELECT * FROM ({STATEMENTS["uv_exact"]}) WHERE window_end * 1000000 <= {VIEW_MARK}""",
+    "stream_uv_running": STATEMENTS["uv_exact"],
+    "stream_interval_join": STATEMENTS["pay_receipt_interval_join"],
+    "stream_pay_receipt": f"""
+        WITH {SIDES}
+        SELECT 'matched' AS outcome, {HIT_COLUMNS} FROM pairs
+        UNION ALL SELECT 'unmatched_pay', tx_id, pay_id, NULL, pay_us, NULL FROM pays
+        WHERE pay_id NOT IN (SELECT pay_id FROM pairs) AND pay_us + 18000000000 < {PAY_MARK}
+        UNION ALL SELECT 'unmatched_receipt', tx_id, NULL, receipt_id, NULL, receipt_us FROM receipts
+        WHERE receipt_id NOT IN (SELECT receipt_id FROM pairs) AND receipt_us + 10800000000 < {PAY_MARK}""",
+    "stream_login_fail": f"""
+        SELECT * FROM ({BURSTS}) WHERE first_us + 7200000000 < {EVENT_MARK}""",
+    "stream_order_lifecycle": STREAM_OUTCOMES,
+    "stream_ad_cap": f"""
+        SELECT user_id, ad_id, event_id, us, CASE WHEN n <= 2 THEN 'click' ELSE 'alert' END AS kind
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id ORDER BY us, event_id) AS n
+              FROM ({CLICKS}))
+        WHERE n <= 3""",
+}

@@ -23,11 +23,12 @@ class Tables:
         self.spark, self.folder, self.stream, self.files_per_trigger = spark, folder, stream, files_per_trigger
 
     def table(self, name: str, schema: str | None = None) -> DataFrame:
-        path = f"{self.folder.rstrip('/')}/{name}.parquet"
+        folder = self.folder.rstrip("/")
         if self.stream:
             reader = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.files_per_trigger)
-            return reader.parquet(path)
-        return self.spark.read.parquet(path)
+            # as a pattern, since a stream takes a plain path for a folder and the table may be a file
+            return reader.parquet(f"{folder}/{{{name}.parquet}}")
+        return self.spark.read.parquet(f"{folder}/{name}.parquet")
 
     def events(self) -> DataFrame:
         return self.table("events", EVENTS_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
