@@ -271,7 +271,8 @@ STATEMENTS |= {
     "stream_late_events": STATEMENTS["late_events"],
     "stream_market_total": f"""
         SELECT *, window_end - 3600 AS window_start FROM ({sliding(MARKETING, [], 3600, 5)})
-        WHERE window_end * 1000000 <= {MARKET_MARK}""",
+        WHERE window_end <= (SELECT max(secs // 5 * 5 + 5) FROM ({MARKETING})
+                             WHERE (secs // 5 * 5 + 5) * 1000000 <= {MARKET_MARK})""",
     "stream_uv": f"""
         SELECT * FROM ({STATEMENTS["uv_exact"]}) WHERE window_end * 1000000 <= {VIEW_MARK}""",
     "stream_uv_running": STATEMENTS["uv_exact"],

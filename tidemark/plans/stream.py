@@ -18,7 +18,7 @@ from tidemark.plans.batch import HOUR, SECOND, Report
 from tidemark.runtime import scratch_dir
 from tidemark.sources.tables import Tables
 from tidemark.streaming import pipelines, processors
-from tidemark.streaming.sinks import append_available, rocksdb_state
+from tidemark.streaming.sinks import append_available, custom_state
 
 DISORDER = SECOND
 STREAM_CLICK_LIMIT = 2
@@ -74,7 +74,7 @@ def stream_market_total(spark: SparkSession, folder: str) -> DataFrame:
         pipelines.final_panes(kept, [], slide, DISORDER), scratch_dir(spark, "market")
     )
     counts = windows.sliding_counts_of_panes(panes, [], size, slide)
-    # a window is complete once its last slide is closed
+    # complete are the windows that end by the last closed slide
     closed = panes.agg(F.max("pane").alias("last"))
     complete = counts.join(F.broadcast(closed), F.col("window_end") <= F.col("last") + F.lit(slide))
     return complete.select(
@@ -132,7 +132,7 @@ def stream_pay_receipt(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_login_fail(spark: SparkSession, folder: str) -> DataFrame:
     logins = _streams(spark, folder).logins()
-    with rocksdb_state(spark):
+    with custom_state(spark):
         bursts = processors.process_in_order(
             logins,
             "user_id",
@@ -146,7 +146,7 @@ def stream_login_fail(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
     orders = _streams(spark, folder).order_log()
-    with rocksdb_state(spark):
+    with custom_state(spark):
         outcomes = processors.process_in_order(
             orders,
             "order_id",
@@ -160,7 +160,7 @@ def stream_order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_ad_cap(spark: SparkSession, folder: str) -> DataFrame:
     clicks = _streams(spark, folder).ad_clicks()
-    with rocksdb_state(spark):
+    with custom_state(spark, processing_time=True):
         capped = processors.cap_daily(clicks, STREAM_CLICK_LIMIT)
         return append_available(capped, scratch_dir(spark, "ad-cap"))
 

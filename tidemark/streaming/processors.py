@@ -157,10 +157,12 @@ class OrderLifecycle(InEventTimeOrder):
 class DailyCap(StatefulProcessor):
     """Passes a key's first `limit` rows per day, alerts at the next, drops the rest.
 
-    Days are those of the running job, in UTC: a timer at midnight starts the count again.
+    Days are those of the running job, in UTC: counting starts again at midnight. The timer frees
+    the state of keys that fall silent; a key that goes on is reset by its first row of the day,
+    since timers fire only after the rows of a batch.
     """
 
-    state_schema = "passed bigint, alerted boolean"
+    state_schema = "passed bigint, alerted boolean, until_ms bigint"
     output_schema = "user_id bigint, ad_id bigint, event_id bigint, us bigint, kind string"
 
     def __init__(self, limit: int):
@@ -171,11 +173,11 @@ class DailyCap(StatefulProcessor):
         self._state = handle.getValueState("clicks", self.state_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N803
-        if self._state.exists():
-            passed, alerted = self._state.get()
-        else:
-            passed, alerted = 0, False
-            self._handle.registerTimer(_next_midnight_ms(timerValues.getCurrentProcessingTimeInMs()))
+        now_ms = timerValues.getCurrentProcessingTimeInMs()
+        passed, alerted, until_ms = self._state.get() if self._state.exists() else (0, False, now_ms)
+        if now_ms >= until_ms:
+            passed, alerted, until_ms = 0, False, _next_midnight_ms(now_ms)
+            self._handle.registerTimer(until_ms)
         found = []
         for row in sorted(rows, key=lambda r: (r["us"], r["event_id"])):
             if passed < self.limit:
@@ -187,11 +189,12 @@ class DailyCap(StatefulProcessor):
             else:
                 continue
             found.append(Row(user_id=key[0], ad_id=key[1], event_id=row["event_id"], us=row["us"], kind=kind))
-        self._state.update((passed, alerted))
+        self._state.update((passed, alerted, until_ms))
         return iter(found)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N803
-        self._state.clear()
+        if self._state.exists() and self._state.get()[2] <= expiredTimerInfo.getExpiryTimeInMs():
+            self._state.clear()
         return iter(())
 
     def close(self) -> None:

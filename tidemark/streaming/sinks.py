@@ -10,21 +10,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """State outside the heap; needed by custom stateful operators."""
-    before = spark.conf.get(STATE_PROVIDER, None)
-    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the queries started inside, put back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(STATE_PROVIDER)
-        else:
-            spark.conf.set(STATE_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def custom_state(spark: SparkSession, processing_time: bool = False):
+    """Settings for custom stateful operators: state outside the heap.
+
+    With processing-time timers Spark would start batch after batch without input and never be
+    done with what is available, so such queries get no batches without input.
+    """
+    values = {STATE_PROVIDER: ROCKSDB}
+    if processing_time:
+        values[EMPTY_BATCHES] = "false"
+    return settings(spark, values)
 
 
 def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
