@@ -19,7 +19,7 @@ def two_phase_counts(
     The salt is a hash of the row, so that a retried task gives the same partial counts.
     """
     width = as_micros(size)
-    salted = df.select(
+    salted = df.filter(F.col(ts).isNotNull()).select(
         align_down(F.unix_micros(ts), width).alias("_start"),
         F.pmod(F.xxhash64(spread_by), F.lit(salts)).alias("_salt"),
     )

@@ -30,13 +30,12 @@ def failure_bursts(
     """Spans with at least `times` failures: key, `first_ts`, `last_ts`, `fails`.
 
     A failure outside any span opens one of length `within`, both ends included; a success inside
-    closes it without result. Where a span opens depends on the one before, so the timeline is cut
-    into slices and a slice is told only whether a span reaches into it:
+    closes it without result.
 
-    1. failures with no other failure of their streak near by cannot matter and are dropped;
-    2. each slice states which span leaves it, for each way one may enter (`_exits`);
-    3. reading these few rows slice by slice gives the span that enters each slice (`_entries`);
-    4. the slices count their spans (`_spans`), and spans across a border are added up.
+    Failures form streaks: each follows the one before within the span, with no success between.
+    Spans of different streaks do not touch, so a streak no longer than a span is one span and
+    needs only an aggregation. In longer streaks each span opens where the one before ends; these
+    are read in order, slice by slice (`_long_streaks`).
     """
     span = as_micros(within)
     width = width or slice_width(span)
@@ -48,67 +47,111 @@ def failure_bursts(
         F.col(seq).alias("seq"),
         is_fail.alias("fail"),
     ).filter(F.col("key").isNotNull())
-    kept = _streaks(rows, span, width, times)
-    key_type = kept.schema["key"].dataType.simpleString()
-    slices = kept.groupBy("key", "slice")
+    streaks = _streaks(rows, span, width, times)
 
-    exits = slices.applyInPandas(
-        lambda pdf: _exits(pdf, span, width),
-        f"key {key_type}, slice bigint, from_expiry bigint, exit_open bigint",
-    )
-    entries = (
-        exits.repartition("key")
-        .sortWithinPartitions("key", "slice", "from_expiry")
-        .mapInPandas(lambda it: _entries(it, span), f"key {key_type}, slice bigint, opened bigint")
-    )
-    parts = slices.cogroup(entries.groupBy("key", "slice")).applyInPandas(
-        lambda pdf, entry: _spans(pdf, entry, span),
-        f"key {key_type}, opened bigint, fails bigint, last bigint, cancelled boolean",
-    )
-    return (
-        parts.groupBy("key", "opened")
+    short = (
+        streaks.filter("short")
+        .groupBy("key", "slice", "streak")
         .agg(
-            F.sum("fails").alias("fails"),
-            F.max("last").alias("last"),
-            F.max("cancelled").alias("cancelled"),
-        )
-        .filter((F.col("fails") >= times) & ~F.col("cancelled"))
-        .select(
-            F.col("key").alias(key),
-            F.timestamp_micros("opened").alias("first_ts"),
-            F.timestamp_micros("last").alias("last_ts"),
-            "fails",
+            F.min("us").alias("opened"),
+            F.max("us").alias("last"),
+            F.count("*").alias("fails"),
+            F.max("closing").alias("closing"),
         )
+        .withColumn("cancelled", F.coalesce(F.col("closing") <= F.col("opened") + span, F.lit(False)))
+    )
+    result = ["key", "opened", "last", "fails", "cancelled"]
+    spans = short.select(result).unionByName(_long_streaks(streaks.filter("NOT short"), span, width).select(result))
+    return spans.filter((F.col("fails") >= times) & ~F.col("cancelled")).select(
+        F.col("key").alias(key),
+        F.timestamp_micros("opened").alias("first_ts"),
+        F.timestamp_micros("last").alias("last_ts"),
+        "fails",
     )
 
 
 def _streaks(rows: DataFrame, span: int, width: int, times: int) -> DataFrame:
-    """Failures with a neighbouring failure within `span`, and the successes right after one."""
+    """Failures by slice and streak.
+
+    `starts` marks the first of a streak, `closing` is the time of a success that directly follows
+    within the span. A slice numbers its streaks; number 0 came from the slice before, and a
+    streak `goes_on` if its next failure is in the slice after. Lone failures cannot matter unless
+    one failure is enough. No row but a home row is used beyond its neighbours.
+    """
     copies = copy_to_slices(rows, F.col("us"), width, back=span, ahead=span)
     timeline = Window.partitionBy("key", "slice").orderBy("us", "seq")
-
-    def failed_nearby(step: int) -> Column:
-        near = F.abs(F.lag("us", step).over(timeline) - F.col("us")) <= span
-        return F.coalesce(F.lag("fail", step).over(timeline) & near, F.lit(False))
-
-    after, before = failed_nearby(1), failed_nearby(-1)
-    lone_counts = F.lit(times <= 1)
-    return (
-        copies.withColumn("_keep", after | (F.col("fail") & (before | lone_counts)))
-        .filter("_keep AND is_home")
-        .select("key", "slice", "us", "seq", "fail")
+    near_before = F.col("us") - F.lag("us").over(timeline) <= span
+    near_after = F.lead("us").over(timeline) - F.col("us") <= span
+    follows = F.coalesce(near_before & F.lag("fail").over(timeline), F.lit(False))
+    continues = F.coalesce(near_after & F.lead("fail").over(timeline), F.lit(False))
+    closing = F.when(near_after & ~F.lead("fail").over(timeline), F.lead("us").over(timeline))
+    fails = (
+        copies.select(
+            "key",
+            "slice",
+            "us",
+            "seq",
+            "fail",
+            "is_home",
+            (~follows).alias("starts"),
+            continues.alias("continues"),
+            closing.alias("closing"),
+        )
+        .filter("fail AND is_home")
+        .filter(F.lit(times <= 1) | F.col("continues") | ~F.col("starts"))
+    )
+    numbered = fails.withColumn("streak", F.sum(F.col("starts").cast("bigint")).over(timeline))
+    streak = Window.partitionBy("key", "slice", "streak")
+    return numbered.select(
+        "key",
+        "slice",
+        "us",
+        "seq",
+        "starts",
+        "closing",
+        "streak",
+        F.min("continues").over(streak).alias("goes_on"),
+        (F.max("us").over(streak) - F.min("us").over(streak) <= span).alias("_brief"),
+    ).withColumn("short", F.col("_brief") & (F.col("streak") > 0) & ~F.col("goes_on"))
+
+
+def _long_streaks(fails: DataFrame, span: int, width: int) -> DataFrame:
+    """Spans of streaks that outlast one span or cross a slice border.
+
+    1. A slice left by a streak states which span leaves it, for each way one may enter.
+    2. Reading these few rows of a key in order gives the span that enters each slice.
+    3. The slices cut their streaks into spans, and spans across a border are added up.
+    """
+    key_type = fails.schema["key"].dataType.simpleString()
+    exits = (
+        fails.filter("goes_on")
+        .select("key", "slice", "us", "streak")
+        .groupBy("key", "slice")
+        .applyInPandas(
+            lambda pdf: _exits(pdf, span, width),
+            f"key {key_type}, slice bigint, from_expiry bigint, exit_open bigint",
+        )
+    )
+    entries = (
+        exits.repartition("key")
+        .sortWithinPartitions("key", "slice", "from_expiry")
+        .mapInPandas(lambda batches: _entries(batches, span), f"key {key_type}, slice bigint, opened bigint")
+    )
+    # the explicit repartition keeps a slice in one task whatever join Spark settles on
+    parts = (
+        fails.join(entries, ["key", "slice"], "left")
+        .select("key", "slice", "us", "seq", "starts", F.coalesce("closing", F.lit(NONE)).alias("closing"),
+                F.coalesce("opened", F.lit(NONE)).alias("opened"))
+        .repartition("key", "slice")
+        .sortWithinPartitions("key", "slice", "us", "seq")
+        .mapInPandas(
+            lambda batches: _spans(batches, span),
+            f"key {key_type}, opened bigint, fails bigint, last bigint, cancelled boolean",
+        )
+    )
+    return parts.groupBy("key", "opened").agg(
+        F.sum("fails").alias("fails"), F.max("last").alias("last"), F.max("cancelled").alias("cancelled")
     )
-
-
-def _runs(pdf: pd.DataFrame) -> list[tuple[np.ndarray, int | None]]:
-    """Failure times between successes, each with the time of the success that ends it."""
-    pdf = pdf.sort_values(["us", "seq"], kind="stable")
-    us, fail = pdf["us"].to_numpy(), pdf["fail"].to_numpy(dtype=bool)
-    cuts = np.flatnonzero(~fail)
-    starts = np.concatenate(([0], cuts + 1))
-    stops = np.concatenate((cuts, [len(us)]))
-    closings = [int(us[c]) for c in cuts] + [None]
-    return [(us[a:b], done) for a, b, done in zip(starts, stops, closings)]
 
 
 def _exits(pdf: pd.DataFrame, span: int, width: int) -> pd.DataFrame:
@@ -118,17 +161,13 @@ def _exits(pdf: pd.DataFrame, span: int, width: int) -> pd.DataFrame:
     """
     key, number = pdf["key"].iat[0], int(pdf["slice"].iat[0])
     begin, end = number * width, (number + 1) * width
-    runs = _runs(pdf)
-    fails, _ = runs[-1]
-    # what enters matters only if no success cuts it off
-    may_enter = np.searchsorted(fails, begin + span) if len(runs) == 1 else 0
-    last = fails[_last_opening(fails, span)] if len(fails) else fails
-    leaving = np.where(last + span >= end, last, NONE)
-    leaving = np.append(leaving, NONE)[: may_enter + 1]
+    fails = np.unique(pdf["us"].to_numpy())
+    entered = pdf["streak"].iat[0] == 0
+    may_enter = int(np.searchsorted(fails, begin + span)) if entered else 0
+
+    last = fails[_last_opening(fails, span)]
+    leaving = np.append(np.where(last + span >= end, last, NONE), NONE)[: may_enter + 1]
     expiry = np.concatenate(([NONE], fails[:may_enter]))
-    # equal failure times act together: the last of them decides
-    decides = np.append(expiry[1:] != expiry[:-1], True)
-    leaving, expiry = leaving[decides], expiry[decides]
     changed = leaving != np.concatenate(([NONE], leaving[:-1]))
     return pd.DataFrame(
         {"key": key, "slice": number, "from_expiry": expiry[changed], "exit_open": leaving[changed]}
@@ -148,44 +187,42 @@ def _last_opening(fails: np.ndarray, span: int) -> np.ndarray:
 
 def _entries(batches: Iterator[pd.DataFrame], span: int) -> Iterator[pd.DataFrame]:
     """Walks each key's slices in order, holding only the span that enters the current one."""
+    columns = ["key", "slice", "opened"]
     key, number, expiry, leaving = None, None, NONE, NONE
     for pdf in batches:
         found = []
-        for k, s, from_expiry, exit_open in zip(
-            pdf["key"], pdf["slice"], pdf["from_expiry"], pdf["exit_open"]
-        ):
+        for k, s, from_expiry, exit_open in zip(*(pdf[c].tolist() for c in pdf.columns)):
             if k != key or s != number:
-                if number is not None and leaving != NONE:
+                if leaving != NONE:
                     found.append((key, number + 1, leaving))
-                follows = k == key and s == number + 1 and leaving != NONE
+                follows = leaving != NONE and k == key and s == number + 1
                 expiry = leaving + span if follows else NONE
                 key, number, leaving = k, s, NONE
             if from_expiry <= expiry:
                 leaving = exit_open
-        yield pd.DataFrame(found, columns=["key", "slice", "opened"])
-    if number is not None and leaving != NONE:
-        yield pd.DataFrame([(key, number + 1, leaving)], columns=["key", "slice", "opened"])
-
-
-def _spans(pdf: pd.DataFrame, entry: pd.DataFrame, span: int) -> pd.DataFrame:
-    """Spans of one slice, and the slice's share of the span that enters it."""
-    found = []
-    opened = int(entry["opened"].iat[0]) if len(entry) else None
-    for fails, success in _runs(pdf) if len(pdf) else []:
-        at = 0
-        if opened is not None:
-            at = _add_span(found, fails, 0, opened, success, span)
-            opened = None
-        while at < len(fails):
-            at = _add_span(found, fails, at, int(fails[at]), success, span)
-    key = (pdf if len(pdf) else entry)["key"].iat[0]
-    out = pd.DataFrame(found, columns=["opened", "fails", "last", "cancelled"])
-    out.insert(0, "key", key)
-    return out.astype({"cancelled": bool})
-
-
-def _add_span(found: list, fails: np.ndarray, at: int, opened: int, success: int | None, span: int) -> int:
-    stop = int(np.searchsorted(fails, opened + span, side="right"))
-    last = int(fails[stop - 1]) if stop > at else opened
-    found.append((opened, stop - at, last, success is not None and success <= opened + span))
-    return stop
+        yield pd.DataFrame(found, columns=columns)
+    if leaving != NONE:
+        yield pd.DataFrame([(key, number + 1, leaving)], columns=columns)
+
+
+def _spans(batches: Iterator[pd.DataFrame], span: int) -> Iterator[pd.DataFrame]:
+    """Cuts the streaks of each slice into spans, going on with the span that enters the slice."""
+    columns = ["key", "opened", "fails", "last", "cancelled"]
+    place, opened, fails, last = None, NONE, 0, NONE
+    for pdf in batches:
+        found = []
+        values = (pdf[c].tolist() for c in ("key", "slice", "us", "starts", "closing", "opened"))
+        for key, number, us, starts, closing, entered in zip(*values):
+            fresh = (key, number) != place
+            if fresh or starts or us > opened + span:
+                if fails:
+                    found.append((place[0], opened, fails, last, False))
+                carried = fresh and not starts and entered != NONE and us <= entered + span
+                place, opened, fails = (key, number), entered if carried else us, 0
+            fails, last = fails + 1, us
+            if closing != NONE and closing <= opened + span:
+                found.append((key, opened, fails, last, True))
+                fails = 0
+        yield pd.DataFrame(found, columns=columns).astype({"cancelled": bool})
+    if fails:
+        yield pd.DataFrame([(place[0], opened, fails, last, False)], columns=columns)

@@ -12,7 +12,7 @@ from tidemark.functions.hashing import rolling_offset
 
 
 def _in_windows(df: DataFrame, size: timedelta, visitor: Column, ts: str) -> DataFrame:
-    return df.select(
+    return df.filter(F.col(ts).isNotNull()).select(
         align_down(F.unix_micros(ts), as_micros(size)).alias("_start"), visitor.alias("_visitor")
     )
 

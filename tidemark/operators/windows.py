@@ -19,7 +19,8 @@ def tumbling_counts(
     """Rows per key and epoch-aligned window: keys, `window_start`, `window_end`, `cnt`."""
     width = as_micros(size)
     start = align_down(F.unix_micros(ts), width)
-    counted = df.groupBy(*keys, start.alias("_start")).agg(F.count("*").alias(cnt))
+    dated = df.filter(F.col(ts).isNotNull())
+    counted = dated.groupBy(*keys, start.alias("_start")).agg(F.count("*").alias(cnt))
     return counted.select(
         *keys,
         F.timestamp_micros("_start").alias("window_start"),
@@ -52,6 +53,7 @@ def sliding_counts(
     if size_us % slide_us:
         raise ValueError("the window size must be a multiple of the slide")
     pane_first = align_down(F.unix_micros(ts), slide_us) + slide_us
+    df = df.filter(F.col(ts).isNotNull())
     rows = df.select(
         *keys,
         pane_first.alias("_first"),

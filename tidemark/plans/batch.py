@@ -314,7 +314,9 @@ def order_timeouts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
-    outcomes = order_outcomes(Tables(spark, folder).order_events(), ORDER_TIMEOUT, ORDER_DISORDER)
+    # the first pay of an order comes out of the same aggregation as its outcome
+    events = Tables(spark, folder).order_events(first_pay_only=False)
+    outcomes = order_outcomes(events, ORDER_TIMEOUT, ORDER_DISORDER)
     return outcomes.select("order_id", "outcome")
 
 

@@ -268,6 +268,7 @@ STATEMENTS |= {
     "stream_hot_items_top5": f"""
         SELECT * FROM ({ranked(ITEM_COUNTS, 5, "item_id")}) WHERE window_end * 1000000 <= {VIEW_MARK}""",
     "stream_hot_pages_top3": STATEMENTS["hot_pages_top3"],
+    "stream_hot_items_updates": STATEMENTS["hot_items_sql"],
     "stream_late_events": STATEMENTS["late_events"],
     "stream_market_total": f"""
         SELECT *, window_end - 3600 AS window_start FROM ({sliding(MARKETING, [], 3600, 5)})
@@ -286,6 +287,16 @@ STATEMENTS |= {
         WHERE receipt_id NOT IN (SELECT receipt_id FROM pairs) AND receipt_us + 10800000000 < {PAY_MARK}""",
     "stream_login_fail": f"""
         SELECT * FROM ({BURSTS}) WHERE first_us + 7200000000 < {EVENT_MARK}""",
+    "stream_login_fail_next": f"""
+        SELECT * FROM ({fail_run(2, 7_200_000_000)}) WHERE last_us <= {EVENT_MARK}""",
+    "stream_order_timeouts": f"""
+        WITH log AS ({ORDER_LOG}), mark AS (SELECT greatest(max(c), max(p)) - {3 * DAY_US} AS wm FROM log)
+        SELECT order_id, c AS begin_us, p AS end_us, NULL AS timeout_us
+        FROM log, mark WHERE p >= c AND p - c < {15 * DAY_US} AND p <= wm
+        UNION ALL
+        SELECT order_id, c, NULL, c + {15 * DAY_US} FROM log, mark
+        WHERE c IS NOT NULL AND (p >= c AND p - c < {15 * DAY_US}) IS NOT TRUE
+          AND (c + {15 * DAY_US} < wm OR p = c + {15 * DAY_US} AND p <= wm)""",
     "stream_order_lifecycle": STREAM_OUTCOMES,
     "stream_ad_cap": f"""
         SELECT user_id, ad_id, event_id, us, CASE WHEN n <= 2 THEN 'click' ELSE 'alert' END AS kind

@@ -54,6 +54,22 @@ def stream_hot_pages_top3(spark: SparkSession, folder: str) -> DataFrame:
     return top.select(epoch_seconds("window_end").alias("window_end"), "url", "cnt", "rank")
 
 
+def stream_hot_items_updates(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranked table as a changelog: the newest ranking of every window, open ones included."""
+    top = pipelines.rank_changing_counts(
+        _streams(spark, folder).page_views(),
+        scratch_dir(spark, "hot-items-updates"),
+        "item_id",
+        5,
+        *batch.ITEM_WINDOW,
+        DISORDER,
+        timedelta(0),
+    )
+    return top.select(
+        epoch_seconds("window_end").alias("window_end"), "item_id", "cnt", F.col("rank").alias("row_num")
+    )
+
+
 def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
     late = pipelines.late_rows(
         _streams(spark, folder).url_hits(),
@@ -144,6 +160,35 @@ def stream_login_fail(spark: SparkSession, folder: str) -> DataFrame:
     return done.withColumnRenamed("key", "user_id")
 
 
+def stream_login_fail_next(spark: SparkSession, folder: str) -> DataFrame:
+    logins = _streams(spark, folder).logins()
+    with custom_state(spark):
+        runs = processors.process_in_order(
+            logins,
+            "user_id",
+            {"seq": F.col("event_id"), "hit": F.col("event_type") == "fail"},
+            processors.ConsecutiveHits(2, batch.LOGIN_SPAN),
+            pipelines.span_text(DISORDER),
+        )
+        done = append_available(runs, scratch_dir(spark, "login-fail-next"))
+    return done.withColumnRenamed("key", "user_id")
+
+
+def stream_order_timeouts(spark: SparkSession, folder: str) -> DataFrame:
+    """Paid and timed-out orders, told apart by which of `end_us` and `timeout_us` is set."""
+    orders = _streams(spark, folder).order_log()
+    with custom_state(spark):
+        found = processors.process_in_order(
+            orders,
+            "order_id",
+            {"seq": (F.col("event_type") == "pay").cast("bigint"), "begins": F.col("event_type") == "create"},
+            processors.FollowedBy(STREAM_ORDER_TIMEOUT),
+            pipelines.span_text(STREAM_ORDER_DISORDER),
+        )
+        done = append_available(found, scratch_dir(spark, "order-timeouts"))
+    return done.withColumnRenamed("key", "order_id")
+
+
 def stream_order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
     orders = _streams(spark, folder).order_log()
     with custom_state(spark):
@@ -168,6 +213,7 @@ def stream_ad_cap(spark: SparkSession, folder: str) -> DataFrame:
 REPORTS: dict[str, Report] = {
     "stream_hot_items_top5": stream_hot_items_top5,
     "stream_hot_pages_top3": stream_hot_pages_top3,
+    "stream_hot_items_updates": stream_hot_items_updates,
     "stream_late_events": stream_late_events,
     "stream_market_total": stream_market_total,
     "stream_uv": stream_uv,
@@ -175,6 +221,8 @@ REPORTS: dict[str, Report] = {
     "stream_interval_join": stream_interval_join,
     "stream_pay_receipt": stream_pay_receipt,
     "stream_login_fail": stream_login_fail,
+    "stream_login_fail_next": stream_login_fail_next,
+    "stream_order_timeouts": stream_order_timeouts,
     "stream_order_lifecycle": stream_order_lifecycle,
     "stream_ad_cap": stream_ad_cap,
 }

@@ -44,9 +44,9 @@ class InEventTimeOrder(StatefulProcessor):
         state = None if state is None else tuple(state)
         found: list[tuple] = []
         for row in ready:
-            state = self._pass_deadline(key, state, row[0], found)
+            state = self._pass_deadlines(key, state, row[0], found)
             state = self.advance(key, state, row, found)
-        state = self._pass_deadline(key, state, reached, found)
+        state = self._pass_deadlines(key, state, reached, found)
 
         if ready:
             rest = waiting[len(ready):]
@@ -63,10 +63,9 @@ class InEventTimeOrder(StatefulProcessor):
         names = self.output_columns()
         return iter([Row(**dict(zip(names, values))) for values in found])
 
-    def _pass_deadline(self, key, state, us: int, found: list[tuple]):
-        if state is not None and self.deadline(state) < us:
-            self.expire(key, state, found)
-            return None
+    def _pass_deadlines(self, key, state, us: int, found: list[tuple]):
+        while state is not None and self.deadline(state) < us:
+            state = self.expire(key, state, found)
         return state
 
     def _wake_at(self, us: int) -> None:
@@ -90,8 +89,8 @@ class InEventTimeOrder(StatefulProcessor):
         """Last microsecond at which the state still waits."""
 
     @abstractmethod
-    def expire(self, key, state, found: list[tuple]) -> None:
-        """Results of a state whose deadline has passed."""
+    def expire(self, key, state, found: list[tuple]):
+        """State once its deadline has passed; results are added to `found`."""
 
 
 class FailureBurst(InEventTimeOrder):
@@ -116,10 +115,11 @@ class FailureBurst(InEventTimeOrder):
     def deadline(self, state) -> int:
         return state[0] + self.span
 
-    def expire(self, key, state, found) -> None:
+    def expire(self, key, state, found):
         opened, last, fails = state
         if fails >= self.times:
             found.append((key[0], opened, last, fails))
+        return None
 
 
 class OrderLifecycle(InEventTimeOrder):
@@ -150,8 +150,68 @@ class OrderLifecycle(InEventTimeOrder):
         kind, us = state
         return us + self.wait[kind]
 
-    def expire(self, key, state, found) -> None:
+    def expire(self, key, state, found):
         found.append((key[0], TIMED_OUT if state[0] == "create" else NO_CREATE))
+        return None
+
+
+class ConsecutiveHits(InEventTimeOrder):
+    """`times` strictly consecutive hits within a span, overlapping matches included."""
+
+    row_schema = "us bigint, seq bigint, hit boolean"
+    state_schema = "recent array<bigint>"
+    output_schema = "key bigint, first_us bigint, last_us bigint, events bigint"
+
+    def __init__(self, times: int, within: timedelta):
+        self.times, self.span = times, as_micros(within)
+
+    def advance(self, key, state, row, found):
+        us, _, hit = row
+        if not hit:
+            return None
+        recent = [*(state[0] if state else ()), us]
+        if len(recent) == self.times:
+            if us - recent[0] < self.span:
+                found.append((key[0], recent[0], us, self.times))
+            recent = recent[1:]
+        return (recent,) if recent else None
+
+    def deadline(self, state) -> int:
+        return state[0][-1] + self.span
+
+    def expire(self, key, state, found):
+        return None
+
+
+class FollowedBy(InEventTimeOrder):
+    """Each begin event with the first end event after it, or its timeout."""
+
+    row_schema = "us bigint, seq bigint, begins boolean"
+    state_schema = "open array<bigint>"
+    output_schema = "key bigint, begin_us bigint, end_us bigint, timeout_us bigint"
+
+    def __init__(self, within: timedelta):
+        self.span = as_micros(within)
+
+    def advance(self, key, state, row, found):
+        us, _, begins = row
+        waiting = list(state[0]) if state else []
+        if begins:
+            return ([*waiting, us],)
+        # an end exactly at the deadline is too late, and the deadline has not passed yet
+        found.extend(
+            (key[0], begin, us, None) if us - begin < self.span else (key[0], begin, None, begin + self.span)
+            for begin in waiting
+        )
+        return None
+
+    def deadline(self, state) -> int:
+        return state[0][0] + self.span
+
+    def expire(self, key, state, found):
+        begin, *waiting = state[0]
+        found.append((key[0], begin, None, begin + self.span))
+        return (waiting,) if waiting else None
 
 
 class DailyCap(StatefulProcessor):
