@@ -156,8 +156,7 @@ def stream_login_fail(spark: SparkSession, folder: str) -> DataFrame:
             processors.FailureBurst(2, batch.LOGIN_SPAN),
             pipelines.span_text(DISORDER),
         )
-        done = append_available(bursts, scratch_dir(spark, "login-fail"))
-    return done.withColumnRenamed("key", "user_id")
+        return append_available(bursts, scratch_dir(spark, "login-fail"))
 
 
 def stream_login_fail_next(spark: SparkSession, folder: str) -> DataFrame:
@@ -170,8 +169,7 @@ def stream_login_fail_next(spark: SparkSession, folder: str) -> DataFrame:
             processors.ConsecutiveHits(2, batch.LOGIN_SPAN),
             pipelines.span_text(DISORDER),
         )
-        done = append_available(runs, scratch_dir(spark, "login-fail-next"))
-    return done.withColumnRenamed("key", "user_id")
+        return append_available(runs, scratch_dir(spark, "login-fail-next"))
 
 
 def stream_order_timeouts(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,8 +183,7 @@ def stream_order_timeouts(spark: SparkSession, folder: str) -> DataFrame:
             processors.FollowedBy(STREAM_ORDER_TIMEOUT),
             pipelines.span_text(STREAM_ORDER_DISORDER),
         )
-        done = append_available(found, scratch_dir(spark, "order-timeouts"))
-    return done.withColumnRenamed("key", "order_id")
+        return append_available(found, scratch_dir(spark, "order-timeouts"))
 
 
 def stream_order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
@@ -199,8 +196,7 @@ def stream_order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
             processors.OrderLifecycle(STREAM_ORDER_TIMEOUT, STREAM_ORDER_DISORDER),
             pipelines.span_text(STREAM_ORDER_DISORDER),
         )
-        done = append_available(outcomes, scratch_dir(spark, "orders"))
-    return done.withColumnRenamed("key", "order_id")
+        return append_available(outcomes, scratch_dir(spark, "orders"))
 
 
 def stream_ad_cap(spark: SparkSession, folder: str) -> DataFrame:

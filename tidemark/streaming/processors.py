@@ -5,14 +5,18 @@ from __future__ import annotations
 from abc import abstractmethod
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
+from itertools import islice
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions.eventtime import as_micros
 from tidemark.operators.lifecycle import NO_CREATE, PAID, PAID_LATE, TIMED_OUT
 
+# Rows handed to the state store at a time.
+APPEND_ROWS = 1000
+
 
 class InEventTimeOrder(StatefulProcessor):
     """Handles a key's rows in event-time order, whatever order they arrive in.
@@ -24,6 +28,7 @@ class InEventTimeOrder(StatefulProcessor):
 
     row_schema: str  # starts with `us bigint, seq bigint`
     state_schema: str
+    output_schema: str  # besides the key
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
@@ -31,9 +36,14 @@ class InEventTimeOrder(StatefulProcessor):
         self._state = handle.getValueState("state", self.state_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N803
-        fresh = [tuple(row[name] for name in self._columns()) for row in rows]
-        self._waiting.appendList(fresh)
-        self._wake_at(min(row[0] for row in fresh))
+        names = _columns(self.row_schema)
+        earliest = None
+        while fresh := [tuple(row[name] for name in names) for row in islice(rows, APPEND_ROWS)]:
+            self._waiting.appendList(fresh)
+            first = min(row[0] for row in fresh)
+            earliest = first if earliest is None else min(earliest, first)
+        if earliest is not None:
+            self._wake_at(earliest)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N803
@@ -44,9 +54,9 @@ class InEventTimeOrder(StatefulProcessor):
         state = None if state is None else tuple(state)
         found: list[tuple] = []
         for row in ready:
-            state = self._pass_deadlines(key, state, row[0], found)
-            state = self.advance(key, state, row, found)
-        state = self._pass_deadlines(key, state, reached, found)
+            state = self._pass_deadlines(state, row[0], found)
+            state = self.advance(state, row, found)
+        state = self._pass_deadlines(state, reached, found)
 
         if ready:
             rest = waiting[len(ready):]
@@ -60,28 +70,22 @@ class InEventTimeOrder(StatefulProcessor):
         else:
             self._state.update(state)
             self._wake_at(self.deadline(state) + 1)
-        names = self.output_columns()
-        return iter([Row(**dict(zip(names, values))) for values in found])
+        names = ["key", *_columns(self.output_schema)]
+        return iter([Row(**dict(zip(names, (key[0], *values)))) for values in found])
 
-    def _pass_deadlines(self, key, state, us: int, found: list[tuple]):
+    def _pass_deadlines(self, state, us: int, found: list[tuple]):
         while state is not None and self.deadline(state) < us:
-            state = self.expire(key, state, found)
+            state = self.expire(state, found)
         return state
 
     def _wake_at(self, us: int) -> None:
         self._handle.registerTimer(-(-us // 1000))
 
-    def _columns(self) -> list[str]:
-        return [field.split()[0] for field in self.row_schema.split(",")]
-
     def close(self) -> None:
         pass
 
-    def output_columns(self) -> list[str]:
-        return [field.split()[0] for field in self.output_schema.split(",")]
-
     @abstractmethod
-    def advance(self, key, state, row: tuple, found: list[tuple]):
+    def advance(self, state, row: tuple, found: list[tuple]):
         """State after `row`; results are added to `found`."""
 
     @abstractmethod
@@ -89,7 +93,7 @@ class InEventTimeOrder(StatefulProcessor):
         """Last microsecond at which the state still waits."""
 
     @abstractmethod
-    def expire(self, key, state, found: list[tuple]):
+    def expire(self, state, found: list[tuple]):
         """State once its deadline has passed; results are added to `found`."""
 
 
@@ -98,12 +102,12 @@ class FailureBurst(InEventTimeOrder):
 
     row_schema = "us bigint, seq bigint, fail boolean"
     state_schema = "opened bigint, last bigint, fails bigint"
-    output_schema = "key bigint, first_us bigint, last_us bigint, fails bigint"
+    output_schema = "first_us bigint, last_us bigint, fails bigint"
 
     def __init__(self, times: int, within: timedelta):
         self.times, self.span = times, as_micros(within)
 
-    def advance(self, key, state, row, found):
+    def advance(self, state, row, found):
         us, _, fail = row
         if not fail:
             return None
@@ -115,10 +119,10 @@ class FailureBurst(InEventTimeOrder):
     def deadline(self, state) -> int:
         return state[0] + self.span
 
-    def expire(self, key, state, found):
+    def expire(self, state, found):
         opened, last, fails = state
         if fails >= self.times:
-            found.append((key[0], opened, last, fails))
+            found.append((opened, last, fails))
         return None
 
 
@@ -131,27 +135,27 @@ class OrderLifecycle(InEventTimeOrder):
 
     row_schema = "us bigint, seq bigint, event_type string"
     state_schema = "kind string, us bigint"
-    output_schema = "key bigint, outcome string"
+    output_schema = "outcome string"
 
     def __init__(self, timeout: timedelta, disorder: timedelta):
         self.wait = {"create": as_micros(timeout), "pay": as_micros(disorder)}
 
-    def advance(self, key, state, row, found):
+    def advance(self, state, row, found):
         us, _, kind = row
         if state is None:
             return (kind, us)
         if state[0] == kind:
             return state
         late = state[0] == "create" and us >= self.deadline(state)
-        found.append((key[0], PAID_LATE if late else PAID))
+        found.append((PAID_LATE if late else PAID,))
         return None
 
     def deadline(self, state) -> int:
         kind, us = state
         return us + self.wait[kind]
 
-    def expire(self, key, state, found):
-        found.append((key[0], TIMED_OUT if state[0] == "create" else NO_CREATE))
+    def expire(self, state, found):
+        found.append((TIMED_OUT if state[0] == "create" else NO_CREATE,))
         return None
 
 
@@ -160,26 +164,26 @@ class ConsecutiveHits(InEventTimeOrder):
 
     row_schema = "us bigint, seq bigint, hit boolean"
     state_schema = "recent array<bigint>"
-    output_schema = "key bigint, first_us bigint, last_us bigint, events bigint"
+    output_schema = "first_us bigint, last_us bigint, events bigint"
 
     def __init__(self, times: int, within: timedelta):
         self.times, self.span = times, as_micros(within)
 
-    def advance(self, key, state, row, found):
+    def advance(self, state, row, found):
         us, _, hit = row
         if not hit:
             return None
         recent = [*(state[0] if state else ()), us]
         if len(recent) == self.times:
             if us - recent[0] < self.span:
-                found.append((key[0], recent[0], us, self.times))
+                found.append((recent[0], us, self.times))
             recent = recent[1:]
         return (recent,) if recent else None
 
     def deadline(self, state) -> int:
         return state[0][-1] + self.span
 
-    def expire(self, key, state, found):
+    def expire(self, state, found):
         return None
 
 
@@ -188,19 +192,19 @@ class FollowedBy(InEventTimeOrder):
 
     row_schema = "us bigint, seq bigint, begins boolean"
     state_schema = "open array<bigint>"
-    output_schema = "key bigint, begin_us bigint, end_us bigint, timeout_us bigint"
+    output_schema = "begin_us bigint, end_us bigint, timeout_us bigint"
 
     def __init__(self, within: timedelta):
         self.span = as_micros(within)
 
-    def advance(self, key, state, row, found):
+    def advance(self, state, row, found):
         us, _, begins = row
         waiting = list(state[0]) if state else []
         if begins:
             return ([*waiting, us],)
         # an end exactly at the deadline is too late, and the deadline has not passed yet
         found.extend(
-            (key[0], begin, us, None) if us - begin < self.span else (key[0], begin, None, begin + self.span)
+            (begin, us, None) if us - begin < self.span else (begin, None, begin + self.span)
             for begin in waiting
         )
         return None
@@ -208,9 +212,9 @@ class FollowedBy(InEventTimeOrder):
     def deadline(self, state) -> int:
         return state[0][0] + self.span
 
-    def expire(self, key, state, found):
+    def expire(self, state, found):
         begin, *waiting = state[0]
-        found.append((key[0], begin, None, begin + self.span))
+        found.append((begin, None, begin + self.span))
         return (waiting,) if waiting else None
 
 
@@ -261,6 +265,10 @@ class DailyCap(StatefulProcessor):
         pass
 
 
+def _columns(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(",")]
+
+
 def _next_midnight_ms(now_ms: int) -> int:
     now = datetime.fromtimestamp(now_ms / 1000, tz=timezone.utc)
     midnight = now.replace(hour=0, minute=0, second=0, microsecond=0) + timedelta(days=1)
@@ -268,20 +276,26 @@ def _next_midnight_ms(now_ms: int) -> int:
 
 
 def process_in_order(
-    stream: DataFrame, key: str, columns: dict[str, F.Column] | None, processor: InEventTimeOrder,
-    disorder: str, ts: str = "ts",
+    stream: DataFrame,
+    key: str,
+    columns: dict[str, Column],
+    processor: InEventTimeOrder,
+    disorder: str,
+    ts: str = "ts",
 ) -> DataFrame:
     """Applies an event-time processor per key. `columns` gives the values it reads besides time."""
-    extra = [column.alias(name) for name, column in (columns or {}).items()]
+    extra = [column.alias(name) for name, column in columns.items()]
+    key_type = stream.schema[key].dataType.simpleString()
     rows = stream.withWatermark(ts, disorder).select(
         F.col(key).alias("key"), ts, F.unix_micros(ts).alias("us"), *extra
     )
-    return rows.groupBy("key").transformWithState(
+    found = rows.groupBy("key").transformWithState(
         statefulProcessor=processor,
-        outputStructType=processor.output_schema,
+        outputStructType=f"key {key_type}, {processor.output_schema}",
         outputMode="Append",
         timeMode="EventTime",
     )
+    return found.withColumnRenamed("key", key)
 
 
 def cap_daily(clicks: DataFrame, limit: int) -> DataFrame:
