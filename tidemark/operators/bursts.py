@@ -206,23 +206,43 @@ def _entries(batches: Iterator[pd.DataFrame], span: int) -> Iterator[pd.DataFram
 
 
 def _spans(batches: Iterator[pd.DataFrame], span: int) -> Iterator[pd.DataFrame]:
-    """Cuts the streaks of each slice into spans, going on with the span that enters the slice."""
+    """Cuts the streaks of each slice into spans, going on with the span that enters the slice.
+
+    Holds one batch and the open span; the loop turns once per span, not per failure.
+    """
     columns = ["key", "opened", "fails", "last", "cancelled"]
-    place, opened, fails, last = None, NONE, 0, NONE
+    place, opened, fails, last = (None, None), NONE, 0, NONE
     for pdf in batches:
+        if pdf.empty:
+            continue
         found = []
-        values = (pdf[c].tolist() for c in ("key", "slice", "us", "starts", "closing", "opened"))
-        for key, number, us, starts, closing, entered in zip(*values):
-            fresh = (key, number) != place
-            if fresh or starts or us > opened + span:
+        key, number, us, starts, closing, entered = (
+            pdf[c].to_numpy() for c in ("key", "slice", "us", "starts", "closing", "opened")
+        )
+        begins = starts.astype(bool)
+        moved = (key[1:] != key[:-1]) | (number[1:] != number[:-1])
+        begins[1:] |= moved
+        begins[0] |= (key[0], number[0]) != place
+        edges = [*np.flatnonzero(begins), len(us)]
+        if edges[0]:
+            edges.insert(0, 0)
+        for at, stop in zip(edges, edges[1:]):
+            if begins[at]:
                 if fails:
                     found.append((place[0], opened, fails, last, False))
-                carried = fresh and not starts and entered != NONE and us <= entered + span
-                place, opened, fails = (key, number), entered if carried else us, 0
-            fails, last = fails + 1, us
-            if closing != NONE and closing <= opened + span:
-                found.append((key, opened, fails, last, True))
-                fails = 0
+                place, fails = (key[at], number[at]), 0
+                carried = not starts[at] and entered[at] != NONE and us[at] <= entered[at] + span
+                opened = entered[at] if carried else us[at]
+            while at < stop:
+                if us[at] > opened + span:
+                    if fails:
+                        found.append((place[0], opened, fails, last, False))
+                    opened, fails = us[at], 0
+                end = at + np.searchsorted(us[at:stop], opened + span, side="right")
+                fails, last, at = fails + end - at, us[end - 1], end
+                if closing[end - 1] != NONE and closing[end - 1] <= opened + span:
+                    found.append((place[0], opened, fails, last, True))
+                    fails = 0
         yield pd.DataFrame(found, columns=columns).astype({"cancelled": bool})
     if fails:
         yield pd.DataFrame([(place[0], opened, fails, last, False)], columns=columns)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.eventtime import align_down, interval_no
 
-SPANS_PER_SLICE = 16
+SPANS_PER_SLICE = 4
 
 
 def slice_width(span: int, spans_per_slice: int = SPANS_PER_SLICE) -> int:

@@ -43,17 +43,26 @@ def from_full_set(df: DataFrame, size: timedelta, visitor: str = "user_id", ts:
 def hashed_bitmap(df: DataFrame, size: timedelta, visitor: str = "user_id", ts: str = "ts") -> DataFrame:
     """Set bits of a 2^30-bit bitmap per window, one hash per visitor, so collisions undercount.
 
-    The hash is computed once per distinct visitor of a window. The bitmap is kept as 4 KiB
-    chunks, each aggregated on its own.
+    The hash is computed once per distinct visitor of a window. Hashed offsets lie scattered, so
+    the bitmap is kept sparse, as the distinct offsets.
     """
     members = _in_windows(df, size, F.col(visitor).cast("string"), ts).distinct()
     offsets = members.select("_start", rolling_offset(F.col("_visitor")).alias("_offset"))
-    return _with_bounds(_bits_set(offsets, "_offset"), size)
+    return _with_bounds(offsets.groupBy("_start").agg(F.count_distinct("_offset").alias("uv")), size)
 
 
 def id_bitmap(df: DataFrame, size: timedelta, visitor: str = "user_id", ts: str = "ts") -> DataFrame:
-    """Exact distinct count of whole-number ids from bitmaps indexed by the id itself."""
-    return _with_bounds(_bits_set(_in_windows(df, size, F.col(visitor), ts), "_visitor"), size)
+    """Exact distinct count of whole-number ids from bitmaps indexed by the id itself.
+
+    For ids that lie close together: a window's bitmap is aggregated in chunks of 4 KiB, one per
+    32,768 neighbouring ids.
+    """
+    chunks = (
+        _in_windows(df, size, F.col(visitor), ts)
+        .groupBy("_start", F.bitmap_bucket_number("_visitor").alias("_chunk"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_visitor")).alias("_bits"))
+    )
+    return _with_bounds(chunks.groupBy("_start").agg(F.sum(F.bitmap_count("_bits")).alias("uv")), size)
 
 
 def approximate(
@@ -64,10 +73,3 @@ def approximate(
     return _with_bounds(
         rows.groupBy("_start").agg(F.approx_count_distinct("_visitor", rsd).alias("uv")), size
     )
-
-
-def _bits_set(rows: DataFrame, number: str) -> DataFrame:
-    chunks = rows.groupBy("_start", F.bitmap_bucket_number(number).alias("_chunk")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bits")
-    )
-    return chunks.groupBy("_start").agg(F.sum(F.bitmap_count("_bits")).alias("uv"))

@@ -85,19 +85,18 @@ def _running_counts(panes: DataFrame, keys, size_us: int, slide_us: int, cnt: st
     block_us = size_us * BLOCK_SIZES
     first, stop, n = F.col("_first"), F.col("_stop"), F.col("_n")
 
-    def changes(block: Column) -> Column:
-        begin = block * F.lit(block_us)
-        return F.array(
-            F.struct(block.alias("block"), F.greatest(first, begin).alias("at"), n.alias("delta")),
-            F.struct(
-                block.alias("block"), F.least(stop, begin + block_us).alias("at"), (-n).alias("delta")
-            ),
-        )
-
-    blocks = F.sequence(interval_no(first, block_us), interval_no(stop - slide_us, block_us))
-    deltas = panes.select(
-        *keys, F.explode(F.flatten(F.transform(blocks, changes))).alias("_c")
-    ).select(*keys, "_c.block", "_c.at", "_c.delta")
+    # a block is longer than a window, so a pane reaches into at most one more
+    block, last_block = interval_no(first, block_us), interval_no(stop - slide_us, block_us)
+
+    def change(block: Column, at: Column, delta: Column) -> Column:
+        return F.struct(block.alias("block"), at.alias("at"), delta.alias("delta"))
+
+    within = [change(block, first, n), change(block, F.least(stop, (block + 1) * block_us), -n)]
+    beyond = [change(last_block, last_block * block_us, n), change(last_block, stop, -n)]
+    changes = F.when(block == last_block, F.array(*within)).otherwise(F.array(*within, *beyond))
+    deltas = panes.select(*keys, F.explode(changes).alias("_c")).select(
+        *keys, "_c.block", "_c.at", "_c.delta"
+    )
 
     timeline = Window.partitionBy(*keys, "block").orderBy("at")
     steps = deltas.select(
