@@ -73,10 +73,12 @@ def failure_bursts(
 def _streaks(rows: DataFrame, span: int, width: int, times: int) -> DataFrame:
     """Failures by slice and streak.
 
-    `starts` marks the first of a streak, `closing` is the time of a success that directly follows
-    within the span. A slice numbers its streaks; number 0 came from the slice before, and a
-    streak `goes_on` if its next failure is in the slice after. Lone failures cannot matter unless
-    one failure is enough. No row but a home row is used beyond its neighbours.
+    `closing` is the time of a success that directly follows within the span. A slice numbers its
+    streaks; number 0 came from the slice before, and a streak `goes_on` if its next failure is in
+    the slice after. Lone failures cannot matter unless one failure is enough.
+
+    The few rows left are shuffled once more, with the same columns for every use of them, so that
+    all uses read that shuffle and the large one before it is sorted once.
     """
     copies = copy_to_slices(rows, F.col("us"), width, back=span, ahead=span)
     timeline = Window.partitionBy("key", "slice").orderBy("us", "seq")
@@ -86,33 +88,24 @@ def _streaks(rows: DataFrame, span: int, width: int, times: int) -> DataFrame:
     continues = F.coalesce(near_after & F.lead("fail").over(timeline), F.lit(False))
     closing = F.when(near_after & ~F.lead("fail").over(timeline), F.lead("us").over(timeline))
     fails = (
-        copies.select(
-            "key",
-            "slice",
-            "us",
-            "seq",
-            "fail",
-            "is_home",
-            (~follows).alias("starts"),
-            continues.alias("continues"),
-            closing.alias("closing"),
-        )
+        copies.withColumns({"starts": ~follows, "continues": continues, "closing": closing})
         .filter("fail AND is_home")
         .filter(F.lit(times <= 1) | F.col("continues") | ~F.col("starts"))
     )
-    numbered = fails.withColumn("streak", F.sum(F.col("starts").cast("bigint")).over(timeline))
+    streak_no = F.sum(F.col("starts").cast("bigint")).over(timeline)
+    numbered = fails.select("key", "slice", "us", "closing", "continues", streak_no.alias("streak"))
     streak = Window.partitionBy("key", "slice", "streak")
-    return numbered.select(
-        "key",
-        "slice",
-        "us",
-        "seq",
-        "starts",
-        "closing",
-        "streak",
-        F.min("continues").over(streak).alias("goes_on"),
-        (F.max("us").over(streak) - F.min("us").over(streak) <= span).alias("_brief"),
-    ).withColumn("short", F.col("_brief") & (F.col("streak") > 0) & ~F.col("goes_on"))
+    # streak 0 has no beginning here; said inside the window, so that no part of the filters on
+    # `short` moves below the shuffle and makes it differ between its uses
+    begin = F.min(F.when(F.col("streak") > 0, F.col("us"))).over(streak)
+    brief = F.coalesce(F.max("us").over(streak) - begin <= span, F.lit(False))
+    goes_on = F.min("continues").over(streak)
+    # Spark would drop a repartition by the same columns in the same order
+    return (
+        numbered.repartition("slice", "key")
+        .select("key", "slice", "streak", "us", "closing", goes_on.alias("goes_on"), brief.alias("_brief"))
+        .withColumn("short", F.col("_brief") & ~F.col("goes_on"))
+    )
 
 
 def _long_streaks(fails: DataFrame, span: int, width: int) -> DataFrame:
@@ -125,7 +118,7 @@ def _long_streaks(fails: DataFrame, span: int, width: int) -> DataFrame:
     key_type = fails.schema["key"].dataType.simpleString()
     exits = (
         fails.filter("goes_on")
-        .select("key", "slice", "us", "streak")
+        .select("key", "slice", "streak", "us", "closing")
         .groupBy("key", "slice")
         .applyInPandas(
             lambda pdf: _exits(pdf, span, width),
@@ -137,13 +130,13 @@ def _long_streaks(fails: DataFrame, span: int, width: int) -> DataFrame:
         .sortWithinPartitions("key", "slice", "from_expiry")
         .mapInPandas(lambda batches: _entries(batches, span), f"key {key_type}, slice bigint, opened bigint")
     )
+    closing, opened = (F.coalesce(c, F.lit(NONE)).alias(c) for c in ("closing", "opened"))
     # the explicit repartition keeps a slice in one task whatever join Spark settles on
     parts = (
         fails.join(entries, ["key", "slice"], "left")
-        .select("key", "slice", "us", "seq", "starts", F.coalesce("closing", F.lit(NONE)).alias("closing"),
-                F.coalesce("opened", F.lit(NONE)).alias("opened"))
+        .select("key", "slice", "streak", "us", closing, opened)
         .repartition("key", "slice")
-        .sortWithinPartitions("key", "slice", "us", "seq")
+        .sortWithinPartitions("key", "slice", "streak", "us", "closing")
         .mapInPandas(
             lambda batches: _spans(batches, span),
             f"key {key_type}, opened bigint, fails bigint, last bigint, cancelled boolean",
@@ -211,27 +204,23 @@ def _spans(batches: Iterator[pd.DataFrame], span: int) -> Iterator[pd.DataFrame]
     Holds one batch and the open span; the loop turns once per span, not per failure.
     """
     columns = ["key", "opened", "fails", "last", "cancelled"]
-    place, opened, fails, last = (None, None), NONE, 0, NONE
+    place, opened, fails, last = (None, None, None), NONE, 0, NONE
     for pdf in batches:
         if pdf.empty:
             continue
         found = []
-        key, number, us, starts, closing, entered = (
-            pdf[c].to_numpy() for c in ("key", "slice", "us", "starts", "closing", "opened")
+        key, number, streak, us, closing, entered = (
+            pdf[c].to_numpy() for c in ("key", "slice", "streak", "us", "closing", "opened")
         )
-        begins = starts.astype(bool)
-        moved = (key[1:] != key[:-1]) | (number[1:] != number[:-1])
-        begins[1:] |= moved
-        begins[0] |= (key[0], number[0]) != place
-        edges = [*np.flatnonzero(begins), len(us)]
-        if edges[0]:
-            edges.insert(0, 0)
+        moved = (key[1:] != key[:-1]) | (number[1:] != number[:-1]) | (streak[1:] != streak[:-1])
+        edges = [0, *(np.flatnonzero(moved) + 1), len(us)]
         for at, stop in zip(edges, edges[1:]):
-            if begins[at]:
+            here = (key[at], number[at], streak[at])
+            if here != place:
                 if fails:
                     found.append((place[0], opened, fails, last, False))
-                place, fails = (key[at], number[at]), 0
-                carried = not starts[at] and entered[at] != NONE and us[at] <= entered[at] + span
+                place, fails = here, 0
+                carried = streak[at] == 0 and entered[at] != NONE and us[at] <= entered[at] + span
                 opened = entered[at] if carried else us[at]
             while at < stop:
                 if us[at] > opened + span:
