@@ -85,8 +85,9 @@ def test_burst_example(events):
     assert failure_bursts(events(in_time, LOGIN), "user_id", fail, 2, 2 * SECOND).count() == 0
 
 
-@pytest.mark.parametrize("times,within", [(2, 2), (3, 5), (4, 30)])
-def test_consecutive_equals_a_scan(events, times, within):
+@pytest.mark.parametrize("times,within", [(1, 1), (2, 2), (3, 5), (4, 30)])
+@pytest.mark.parametrize("width", [None, 1, 3, 50])
+def test_consecutive_equals_a_scan(events, times, within, width):
     rows = logins(9)
     expected = Counter()
     for user, timeline in timelines(rows).items():
@@ -95,7 +96,12 @@ def test_consecutive_equals_a_scan(events, times, within):
             if all(r["event_type"] == "fail" for r in run) and run[-1]["ts"] - run[0]["ts"] < within:
                 expected[user, run[0]["ts"], run[-1]["ts"]] += 1
     found = patterns.consecutive(
-        events(rows, LOGIN), "user_id", F.col("event_type") == "fail", times, within * SECOND
+        events(rows, LOGIN),
+        "user_id",
+        F.col("event_type") == "fail",
+        times,
+        within * SECOND,
+        width=width and width * 1_000_000,
     ).collect()
     assert Counter((r.user_id, seconds(r.first_ts), seconds(r.last_ts)) for r in found) == expected and expected
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.eventtime import as_micros
-from tidemark.operators.slicing import copy_to_slices, slice_width
+from tidemark.operators.slicing import copy_to_slices, home_slice, slice_width
 
 
 def consecutive(
@@ -19,30 +19,61 @@ def consecutive(
     within: timedelta,
     ts: str = "ts",
     seq: str = "event_id",
+    width: int | None = None,
 ) -> DataFrame:
     """`times` strictly consecutive matching events of a key, last - first < `within`.
 
     Overlapping matches are all reported: key, `first_ts`, `last_ts`, `events`.
+
+    Slices of any `width` (microseconds) will do. Matches inside a slice are found there. For the
+    rest, only the first and last `times - 1` events of each slice count, as far as they are near
+    its border: these few are put in order per key once more.
     """
-    span = as_micros(within)
-    rows = events.select(
-        key, F.unix_micros(ts).alias("us"), F.col(seq).alias("seq"), matches.alias("hit")
+    span, more = as_micros(within), times - 1
+    width = width or slice_width(span)
+    rows = home_slice(
+        events.filter(F.col(ts).isNotNull()).select(
+            key, F.unix_micros(ts).alias("us"), F.col(seq).alias("seq"), matches.alias("hit")
+        ),
+        F.col("us"),
+        width,
     )
-    # a match starts at most `span` before any of its events
-    rows = copy_to_slices(rows, F.col("us"), slice_width(span), back=span)
-    timeline = Window.partitionBy(key, "slice").orderBy("us", "seq")
-    following = [F.lead("hit", i).over(timeline) for i in range(1, times)]
-    all_hit = F.col("hit")
-    for hit in following:
-        all_hit = all_hit & F.coalesce(hit, F.lit(False))
-    last = F.lead("us", times - 1).over(timeline) if times > 1 else F.col("us")
+
+    def run(window) -> tuple[Column, Column]:
+        """Whether a match starts here, and the time `times - 1` events on (null: not in view)."""
+        last = F.lead("us", more).over(window) if more else F.col("us")
+        all_hit = F.col("hit")
+        for i in range(1, times):
+            all_hit = all_hit & F.lead("hit", i).over(window)
+        return F.coalesce(all_hit & (last - F.col("us") < span), F.lit(False)), last
+
+    in_slice = Window.partitionBy(key, "slice").orderBy("us", "seq")
+    found, last = run(in_slice)
+    begin = F.col("slice") * width
+    is_head = F.lag("us", more).over(in_slice).isNull() if more else F.lit(False)
+    marked = rows.select(
+        key,
+        "slice",
+        "us",
+        "seq",
+        "hit",
+        found.alias("found"),
+        last.alias("last"),
+        (last.isNull() & (F.col("us") + span > begin + width)).alias("is_tail"),
+        (is_head & (F.col("us") - span < begin)).alias("is_head"),
+    ).filter("found OR is_tail OR is_head")
+
+    # border events in one line per key, matches already found beside them per slice
+    line = F.when(~F.col("is_tail") & ~F.col("is_head"), F.col("slice"))
+    across, last_across = run(Window.partitionBy(key, "line").orderBy("us", "seq"))
     return (
-        rows.select(key, "us", "is_home", all_hit.alias("_all"), last.alias("_last"))
-        .filter(F.col("_all") & F.col("is_home") & (F.col("_last") - F.col("us") < span))
+        marked.withColumn("line", line)
+        .withColumns({"across": across, "last_across": last_across})
+        .filter("found OR (is_tail AND across)")
         .select(
             key,
             F.timestamp_micros("us").alias("first_ts"),
-            F.timestamp_micros("_last").alias("last_ts"),
+            F.timestamp_micros(F.when(F.col("found"), F.col("last")).otherwise(F.col("last_across"))).alias("last_ts"),
             F.lit(times).cast("bigint").alias("events"),
         )
     )

@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import epoch_seconds, next_midnight
+from tidemark.functions.eventtime import as_micros, epoch_seconds, next_midnight
 from tidemark.functions.hashing import rolling_offset
 from tidemark.operators import aggregates, clickcap, joins, lateness, patterns, ranking, visitors, windows
 from tidemark.operators.bursts import failure_bursts
@@ -28,6 +28,7 @@ MARKET_WINDOW = (HOUR, 5 * SECOND)
 PAGE_DISORDER, PAGE_LATENESS = SECOND, MINUTE
 # The tables' events are minutes apart, so the pattern and join spans are hours and days.
 LOGIN_SPAN = 2 * HOUR
+LOGIN_SLICE = HOUR
 CLICK_LIMIT = 1
 ORDER_TIMEOUT, ORDER_DISORDER = timedelta(days=365), timedelta(days=30)
 RECEIPT_EARLY, RECEIPT_LATE = 3 * HOUR, 5 * HOUR
@@ -280,7 +281,12 @@ def login_fail_burst(spark: SparkSession, folder: str) -> DataFrame:
 
 def _login_fail_run(spark: SparkSession, folder: str, times: int, within: timedelta) -> DataFrame:
     runs = patterns.consecutive(
-        Tables(spark, folder).logins(), "user_id", F.col("event_type") == "fail", times, within
+        Tables(spark, folder).logins(),
+        "user_id",
+        F.col("event_type") == "fail",
+        times,
+        within,
+        width=as_micros(LOGIN_SLICE),
     )
     return _micros(runs, "first_ts", "last_ts")
 

@@ -11,7 +11,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import epoch_seconds
+from tidemark.functions.eventtime import as_micros, epoch_seconds
 from tidemark.operators import windows
 from tidemark.plans import batch
 from tidemark.plans.batch import HOUR, SECOND, Report
@@ -91,8 +91,8 @@ def stream_market_total(spark: SparkSession, folder: str) -> DataFrame:
     )
     counts = windows.sliding_counts_of_panes(panes, [], size, slide)
     # complete are the windows that end by the last closed slide
-    closed = panes.agg(F.max("pane").alias("last"))
-    complete = counts.join(F.broadcast(closed), F.col("window_end") <= F.col("last") + F.lit(slide))
+    last = panes.agg(F.max(F.unix_micros("pane"))).first()[0]
+    complete = counts.filter(F.unix_micros("window_end") <= F.lit(last) + as_micros(slide))
     return complete.select(
         epoch_seconds("window_start").alias("window_start"),
         epoch_seconds("window_end").alias("window_end"),

@@ -85,11 +85,13 @@ def rank_changing_counts(
     def rank_touched(batch: DataFrame, batch_id: int) -> None:
         panes.write(batch, batch_id)
         own = panes.read(spark, pane_schema).filter(F.col("batch_id") == batch_id)
-        first, last = own.agg(F.min("pane"), F.max("pane")).first()
+        first, last = own.agg(F.min(F.unix_micros("pane")), F.max(F.unix_micros("pane"))).first()
         if first is None:
             return
+        # compared as times, so that files without such slides are skipped
+        since, until = F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))
         near = panes.latest(spark, pane_schema, [key, "pane"]).filter(
-            F.col("pane").between(F.lit(first) - F.lit(size), F.lit(last) + F.lit(size))
+            F.col("pane").between(since - F.lit(size), until + F.lit(size))
         )
         counts = windows.sliding_counts_of_panes(near, [key], size, slide)
         ends = F.sequence(F.col("pane") + F.lit(slide), F.col("pane") + F.lit(size), F.lit(slide))
