@@ -37,14 +37,14 @@ def event_rows(n=400, span=3000, seed=8):
 
 @pytest.fixture(params=["in order", "out of order"])
 def source(request, spark, events, tmp_path):
-    """(batch, stream) of the same rows; the stream reads files of 80 rows, one per micro-batch."""
+    """(batch, stream) of the same rows; the stream reads files of 150 rows, one per micro-batch."""
     rows = event_rows()
     arriving = list(rows)
     if request.param == "out of order":
         rng = random.Random(1)
         arriving.sort(key=lambda r: r["ts"] + rng.uniform(0, DISORDER * 0.9))
-    for i in range(0, len(arriving), 80):
-        part = events(arriving[i : i + 80], SCHEMA).coalesce(1)
+    for i in range(0, len(arriving), 150):
+        part = events(arriving[i : i + 150], SCHEMA).coalesce(1)
         part.write.mode("append").parquet(str(tmp_path / "parts" / f"p{i:04d}"))
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "parts" / "*"))
     return events(rows, SCHEMA), stream, str(tmp_path / "run")

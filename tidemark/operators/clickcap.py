@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.limits import number_first
+
 DEFAULT_KEYS = ("user_id", "ad_id")
 
 
@@ -16,15 +18,10 @@ def _first_clicks(
 ) -> DataFrame:
     """The first `limit + 1` clicks of each group, numbered in `_rn`.
 
-    The bound is a filter on the row number, so each task passes on at most that many rows of a
-    group: a bot with a third of all clicks adds next to nothing to the shuffle.
+    A bot with a third of all clicks adds next to nothing to the shuffle.
     """
-    order = Window.partitionBy(*keys, "_day").orderBy(ts, seq)
-    return (
-        clicks.withColumn("_day", F.to_date(ts))
-        .withColumn("_rn", F.row_number().over(order))
-        .filter(F.col("_rn") <= limit + 1)
-    )
+    dated = clicks.withColumn("_day", F.to_date(ts))
+    return number_first(dated, limit + 1, [*keys, "_day"], [F.col(ts), F.col(seq)], spread_by=seq, name="_rn")
 
 
 def capped_clicks(

@@ -4,21 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.report import ranking_text
+from tidemark.operators.limits import number_first
 
 
 def top_n(
     counts: DataFrame, n: int, key: str, by: Sequence[str] = ("window_end",), cnt: str = "cnt"
 ) -> DataFrame:
-    """The `n` highest counts per window, ties by key.
-
-    Spark keeps only `n` rows per window and task before the shuffle.
-    """
-    order = Window.partitionBy(*by).orderBy(F.desc(cnt), F.asc(key))
-    ranked = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    """The `n` highest counts per window, ties by key."""
+    ranked = number_first(counts, n, by, [F.desc(cnt), F.asc(key)], spread_by=key, name="rank")
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
