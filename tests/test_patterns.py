@@ -75,6 +75,16 @@ def test_bursts_equal_a_replay(events, seed, times, span, width, grain):
     assert result == expected and expected
 
 
+def test_bursts_with_slices_cut_between_batches(spark, events):
+    rows = logins(7, n=1500, grain=0.5)
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}):
+        found = failure_bursts(
+            events(rows, LOGIN), "user_id", F.col("event_type") == "fail", 2, 20 * SECOND, width=80_000_000
+        ).collect()
+    result = sorted((r.user_id, seconds(r.first_ts), seconds(r.last_ts), r.fails) for r in found)
+    assert result == simulate_bursts(rows, 2, 20)
+
+
 def test_burst_example(events):
     rows = [
         {"user_id": 7, "event_type": t, "ts": s, "event_id": i}

@@ -116,12 +116,13 @@ def _long_streaks(fails: DataFrame, span: int, width: int) -> DataFrame:
     3. The slices cut their streaks into spans, and spans across a border are added up.
     """
     key_type = fails.schema["key"].dataType.simpleString()
+    # slices are whole within a task here, as they were shuffled by key and slice
     exits = (
         fails.filter("goes_on")
         .select("key", "slice", "streak", "us", "closing")
-        .groupBy("key", "slice")
-        .applyInPandas(
-            lambda pdf: _exits(pdf, span, width),
+        .sortWithinPartitions("key", "slice", "us")
+        .mapInPandas(
+            lambda batches: _exits(batches, span, width),
             f"key {key_type}, slice bigint, from_expiry bigint, exit_open bigint",
         )
     )
@@ -147,23 +148,62 @@ def _long_streaks(fails: DataFrame, span: int, width: int) -> DataFrame:
     )
 
 
-def _exits(pdf: pd.DataFrame, span: int, width: int) -> pd.DataFrame:
+def _exits(batches: Iterator[pd.DataFrame], span: int, width: int) -> Iterator[pd.DataFrame]:
     """Opening time of the span that leaves a slice, as a step function of how one enters.
 
     A row holds for entering spans that expire at `from_expiry` or later, up to the next row.
+    Holds one batch and the slice that goes on after it.
     """
-    key, number = pdf["key"].iat[0], int(pdf["slice"].iat[0])
-    begin, end = number * width, (number + 1) * width
-    fails = np.unique(pdf["us"].to_numpy())
-    entered = pdf["streak"].iat[0] == 0
-    may_enter = int(np.searchsorted(fails, begin + span)) if entered else 0
-
-    last = fails[_last_opening(fails, span)]
-    leaving = np.append(np.where(last + span >= end, last, NONE), NONE)[: may_enter + 1]
-    expiry = np.concatenate(([NONE], fails[:may_enter]))
-    changed = leaving != np.concatenate(([NONE], leaving[:-1]))
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        changes = _changes(pdf)
+        if held and _place(held[-1]) != _place(pdf.iloc[:1]):
+            changes = [0, *changes]
+        if changes:
+            held.append(pdf.iloc[: changes[-1]])
+            yield _exits_of_slices(pd.concat(held, ignore_index=True), span, width)
+            held = [pdf.iloc[changes[-1] :]]
+        else:
+            held.append(pdf)
+    if held:
+        yield _exits_of_slices(pd.concat(held, ignore_index=True), span, width)
+
+
+def _changes(pdf: pd.DataFrame) -> list[int]:
+    """Positions where another slice begins."""
+    key, number = pdf["key"].to_numpy(), pdf["slice"].to_numpy()
+    return [*(np.flatnonzero((key[1:] != key[:-1]) | (number[1:] != number[:-1])) + 1)]
+
+
+def _place(pdf: pd.DataFrame) -> tuple:
+    return pdf["key"].iat[-1], pdf["slice"].iat[-1]
+
+
+def _exits_of_slices(pdf: pd.DataFrame, span: int, width: int) -> pd.DataFrame:
+    key, number, streak, us = (pdf[c].to_numpy() for c in ("key", "slice", "streak", "us"))
+    edges = [0, *_changes(pdf), len(us)]
+    slices, expiries, openings = [], [], []
+    for at, stop in zip(edges, edges[1:]):
+        begin = number[at] * width
+        fails = us[at:stop]
+        fails = fails[np.append(True, fails[1:] != fails[:-1])]
+        may_enter = int(np.searchsorted(fails, begin + span)) if streak[at] == 0 else 0
+        last = fails[_last_opening(fails, span)]
+        leaving = np.append(np.where(last + span >= begin + width, last, NONE), NONE)[: may_enter + 1]
+        changed = leaving != np.append(NONE, leaving[:-1])
+        slices.append(np.full(np.count_nonzero(changed), at))
+        expiries.append(np.append(NONE, fails[:may_enter])[changed])
+        openings.append(leaving[changed])
+    rows = np.concatenate(slices)
     return pd.DataFrame(
-        {"key": key, "slice": number, "from_expiry": expiry[changed], "exit_open": leaving[changed]}
+        {
+            "key": key[rows],
+            "slice": number[rows],
+            "from_expiry": np.concatenate(expiries),
+            "exit_open": np.concatenate(openings),
+        }
     )
 
 
