@@ -14,6 +14,11 @@ def as_micros(span: timedelta) -> int:
     return span // timedelta(microseconds=1)
 
 
+def as_interval(span: timedelta) -> str:
+    """The span as Spark's window and watermark functions take it."""
+    return f"{as_micros(span)} microseconds"
+
+
 def align_down(us: Column, width: int) -> Column:
     """Start of the epoch-aligned interval of `width` that holds `us`."""
     return us - F.pmod(us, F.lit(width))

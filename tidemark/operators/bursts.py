@@ -103,7 +103,7 @@ def _streaks(rows: DataFrame, span: int, width: int, times: int) -> DataFrame:
     # Spark would drop a repartition by the same columns in the same order
     return (
         numbered.repartition("slice", "key")
-        .select("key", "slice", "streak", "us", "closing", goes_on.alias("goes_on"), brief.alias("_brief"))
+        .withColumns({"goes_on": goes_on, "_brief": brief})
         .withColumn("short", F.col("_brief") & ~F.col("goes_on"))
     )
 

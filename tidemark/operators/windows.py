@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import align_down, as_micros, interval_no
+from tidemark.functions.eventtime import align_down, as_interval, as_micros, interval_no
 
 BLOCK_SIZES = 8
 
@@ -81,7 +81,8 @@ def sliding_counts_of_panes(
     return _running_counts(rows, keys, size_us, slide_us, cnt)
 
 
-def _running_counts(panes: DataFrame, keys, size_us: int, slide_us: int, cnt: str) -> DataFrame:
+def _running_counts(panes: DataFrame, keys: Sequence[str], size_us: int, slide_us: int, cnt: str) -> DataFrame:
+    """Counts per window from panes: `_first` and `_stop` bound their window ends, `_n` is their count."""
     block_us = size_us * BLOCK_SIZES
     first, stop, n = F.col("_first"), F.col("_stop"), F.col("_n")
 
@@ -121,13 +122,9 @@ def sliding_counts_direct(
     df: DataFrame, keys: Sequence[str], size: timedelta, slide: timedelta, ts: str = "ts", cnt: str = "cnt"
 ) -> DataFrame:
     """The built-in sliding window: for streams, and for windows of few slides."""
-    window = F.window(ts, _interval(size), _interval(slide))
+    window = F.window(ts, as_interval(size), as_interval(slide))
     return (
         df.groupBy(*keys, window.alias("_w"))
         .agg(F.count("*").alias(cnt))
         .select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), cnt)
     )
-
-
-def _interval(span: timedelta) -> str:
-    return f"{as_micros(span)} microseconds"

@@ -48,15 +48,10 @@ def _end(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(epoch_seconds("window_end").alias("window_end"), *keep)
 
 
-def _micros(df: DataFrame, *times: str) -> DataFrame:
-    """Times as epoch microseconds, renamed from `*_ts` / `ts` to `*_us` / `us`."""
-    shown = [
-        F.unix_micros(c).alias(c.removesuffix("ts").removesuffix("_at") + ("us" if c.endswith("ts") else "_us"))
-        if c in times
-        else F.col(c)
-        for c in df.columns
-    ]
-    return df.select(*shown)
+def _micros(df: DataFrame, **renamed: str) -> DataFrame:
+    """Times as epoch microseconds under a new name, given as `new="old"`."""
+    names = {old: new for new, old in renamed.items()}
+    return df.select(*(F.unix_micros(c).alias(names[c]) if c in names else F.col(c) for c in df.columns))
 
 
 # sources and sinks
@@ -187,7 +182,7 @@ def _hits_with_watermark(tables: Tables) -> DataFrame:
 def late_events(spark: SparkSession, folder: str) -> DataFrame:
     hits = _hits_with_watermark(Tables(spark, folder))
     late = hits.filter(lateness.too_late(*PAGE_WINDOW, PAGE_LATENESS))
-    return _micros(late.select("event_id", "url", "ts"), "ts")
+    return _micros(late.select("event_id", "url", "ts"), us="ts")
 
 
 def hot_pages_on_time_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -251,17 +246,17 @@ def market_total(spark: SparkSession, folder: str) -> DataFrame:
 
 def ad_click_capped(spark: SparkSession, folder: str) -> DataFrame:
     capped = clickcap.capped_clicks(Tables(spark, folder).ad_clicks(), CLICK_LIMIT)
-    return _micros(capped, "ts")
+    return _micros(capped, us="ts")
 
 
 def ad_click_capped_once(spark: SparkSession, folder: str) -> DataFrame:
     """The variant that drops only the click raising the alert."""
     capped = clickcap.capped_clicks(Tables(spark, folder).ad_clicks(), CLICK_LIMIT, mode="drop_first_only")
-    return _micros(capped, "ts")
+    return _micros(capped, us="ts")
 
 
 def ad_blacklist_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return _micros(clickcap.cap_alerts(Tables(spark, folder).ad_clicks(), CLICK_LIMIT), "ts")
+    return _micros(clickcap.cap_alerts(Tables(spark, folder).ad_clicks(), CLICK_LIMIT), us="ts")
 
 
 def ad_by_province(spark: SparkSession, folder: str) -> DataFrame:
@@ -276,7 +271,7 @@ def login_fail_burst(spark: SparkSession, folder: str) -> DataFrame:
     bursts = failure_bursts(
         Tables(spark, folder).logins(), "user_id", F.col("event_type") == "fail", 2, LOGIN_SPAN
     )
-    return _micros(bursts, "first_ts", "last_ts")
+    return _micros(bursts, first_us="first_ts", last_us="last_ts")
 
 
 def _login_fail_run(spark: SparkSession, folder: str, times: int, within: timedelta) -> DataFrame:
@@ -288,7 +283,7 @@ def _login_fail_run(spark: SparkSession, folder: str, times: int, within: timede
         within,
         width=as_micros(LOGIN_SLICE),
     )
-    return _micros(runs, "first_ts", "last_ts")
+    return _micros(runs, first_us="first_ts", last_us="last_ts")
 
 
 def login_fail_next(spark: SparkSession, folder: str) -> DataFrame:
@@ -311,12 +306,12 @@ def _order_pattern(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_paid(spark: SparkSession, folder: str) -> DataFrame:
     paid = _order_pattern(spark, folder).filter("end_ts IS NOT NULL")
-    return _micros(paid.select("order_id", "begin_ts", "end_ts"), "begin_ts", "end_ts")
+    return _micros(paid.select("order_id", "begin_ts", "end_ts"), begin_us="begin_ts", end_us="end_ts")
 
 
 def order_timeouts(spark: SparkSession, folder: str) -> DataFrame:
     unpaid = _order_pattern(spark, folder).filter("end_ts IS NULL")
-    return _micros(unpaid.select("order_id", "begin_ts", "timeout_at"), "begin_ts", "timeout_at")
+    return _micros(unpaid.select("order_id", "begin_ts", "timeout_at"), begin_us="begin_ts", timeout_us="timeout_at")
 
 
 def order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
@@ -343,7 +338,7 @@ def pay_receipt_match(spark: SparkSession, folder: str) -> DataFrame:
     matched = joins.match_one_to_one(
         tables.pays(), tables.receipts(), "tx_id", RECEIPT_EARLY, RECEIPT_LATE, "pay_id", "receipt_id"
     )
-    return _micros(matched, "pay_ts", "receipt_ts")
+    return _micros(matched, pay_us="pay_ts", receipt_us="receipt_ts")
 
 
 def unmatched_pays(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import as_micros, epoch_seconds
+from tidemark.functions.eventtime import as_interval, as_micros, epoch_seconds
 from tidemark.operators import windows
 from tidemark.plans import batch
 from tidemark.plans.batch import HOUR, SECOND, Report
@@ -154,7 +154,7 @@ def stream_login_fail(spark: SparkSession, folder: str) -> DataFrame:
             "user_id",
             {"seq": F.col("event_id"), "fail": F.col("event_type") == "fail"},
             processors.FailureBurst(2, batch.LOGIN_SPAN),
-            pipelines.span_text(DISORDER),
+            as_interval(DISORDER),
         )
         return append_available(bursts, scratch_dir(spark, "login-fail"))
 
@@ -167,7 +167,7 @@ def stream_login_fail_next(spark: SparkSession, folder: str) -> DataFrame:
             "user_id",
             {"seq": F.col("event_id"), "hit": F.col("event_type") == "fail"},
             processors.ConsecutiveHits(2, batch.LOGIN_SPAN),
-            pipelines.span_text(DISORDER),
+            as_interval(DISORDER),
         )
         return append_available(runs, scratch_dir(spark, "login-fail-next"))
 
@@ -181,7 +181,7 @@ def stream_order_timeouts(spark: SparkSession, folder: str) -> DataFrame:
             "order_id",
             {"seq": (F.col("event_type") == "pay").cast("bigint"), "begins": F.col("event_type") == "create"},
             processors.FollowedBy(STREAM_ORDER_TIMEOUT),
-            pipelines.span_text(STREAM_ORDER_DISORDER),
+            as_interval(STREAM_ORDER_DISORDER),
         )
         return append_available(found, scratch_dir(spark, "order-timeouts"))
 
@@ -194,7 +194,7 @@ def stream_order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
             "order_id",
             {"seq": (F.col("event_type") == "pay").cast("bigint"), "event_type": F.col("event_type")},
             processors.OrderLifecycle(STREAM_ORDER_TIMEOUT, STREAM_ORDER_DISORDER),
-            pipelines.span_text(STREAM_ORDER_DISORDER),
+            as_interval(STREAM_ORDER_DISORDER),
         )
         return append_available(outcomes, scratch_dir(spark, "orders"))
 

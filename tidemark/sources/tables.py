@@ -51,7 +51,7 @@ class Tables:
         )
 
     def log_lines(self) -> DataFrame:
-        """Access-log lines of the views, arriving out of order within blocks of 97."""
+        """Access-log lines of the views."""
         ip = F.concat_ws(".", F.lit("10"), F.lit("0"), _text(F.floor(F.col("user_id") / 256)), _text(F.col("user_id") % 256))
         line = F.concat_ws(
             " ",

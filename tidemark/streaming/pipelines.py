@@ -8,16 +8,12 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import as_micros
+from tidemark.functions.eventtime import as_interval, as_micros
 from tidemark.operators import lateness, ranking, windows
 from tidemark.operators.joins import interval_join
 from tidemark.streaming.sinks import BatchLog, each_batch
 
 
-def span_text(span: timedelta) -> str:
-    return f"{as_micros(span)} microseconds"
-
-
 def rank_final_counts(
     events: DataFrame, folder: str, key: str, n: int, size: timedelta, slide: timedelta, disorder: timedelta
 ) -> DataFrame:
@@ -27,7 +23,7 @@ def rank_final_counts(
     batch operator and nothing of it is kept in state.
     """
     counts = windows.sliding_counts_direct(
-        events.withWatermark("ts", span_text(disorder)), [key], size, slide
+        events.withWatermark("ts", as_interval(disorder)), [key], size, slide
     )
     log = BatchLog(f"{folder}/table")
 
@@ -44,9 +40,9 @@ def final_panes(events: DataFrame, keys: Sequence[str], slide: timedelta, disord
 
     For windows of many slides: state holds one count per slide instead of one per window.
     """
-    pane = F.window("ts", span_text(slide))
+    pane = F.window("ts", as_interval(slide))
     return (
-        events.withWatermark("ts", span_text(disorder))
+        events.withWatermark("ts", as_interval(disorder))
         .groupBy(*keys, pane.alias("_w"))
         .agg(F.count("*").alias("cnt"))
         .select(*keys, F.col("_w.start").alias("pane"), "cnt")
@@ -71,9 +67,9 @@ def rank_changing_counts(
     """
     spark = hits.sparkSession
     open_for = disorder + allowed_lateness + size
-    pane = F.window("ts", span_text(slide))
+    pane = F.window("ts", as_interval(slide))
     changed = (
-        hits.withWatermark("ts", span_text(open_for))
+        hits.withWatermark("ts", as_interval(open_for))
         .groupBy(key, pane.alias("_w"))
         .agg(F.count("*").alias("cnt"))
         .select(key, F.col("_w.start").alias("pane"), "cnt")
@@ -107,9 +103,9 @@ def rank_changing_counts(
 
 def final_visitors(events: DataFrame, size: timedelta, disorder: timedelta, visitor: str = "user_id") -> DataFrame:
     """Exact distinct visitors per closed window: distinct pairs first, then their count."""
-    window = F.window("ts", span_text(size))
+    window = F.window("ts", as_interval(size))
     pairs = (
-        events.withWatermark("ts", span_text(disorder))
+        events.withWatermark("ts", as_interval(disorder))
         .groupBy(window.alias("window"), visitor)
         .agg(F.count("*").alias("_n"))
     )
@@ -130,8 +126,8 @@ def running_visitors(
     """
     log = BatchLog(f"{folder}/table")
     fresh = (
-        events.withWatermark("ts", span_text(disorder))
-        .select(F.window("ts", span_text(size)).alias("window"), visitor)
+        events.withWatermark("ts", as_interval(disorder))
+        .select(F.window("ts", as_interval(size)).alias("window"), visitor)
         .dropDuplicates(["window", visitor])
     )
 
@@ -180,7 +176,7 @@ def joined_in_range(
     pays: DataFrame, receipts: DataFrame, key: str, early: timedelta, late: timedelta, disorder: timedelta
 ) -> DataFrame:
     """All pairs in range; both sides forget rows once the watermark rules out partners."""
-    delay = span_text(disorder)
+    delay = as_interval(disorder)
     return interval_join(
         pays.withWatermark("ts", delay), receipts.withWatermark("ts", delay), key, -early, late
     )
@@ -194,7 +190,7 @@ def matched_or_alone(
     `outcome` tells the three apart. With one pay and one receipt per key this is the one-to-one
     match; repeated keys pair with all their partners.
     """
-    delay = span_text(disorder)
+    delay = as_interval(disorder)
     p = pays.withWatermark("ts", delay).select(F.col(key).alias("_pk"), "pay_id", F.col("ts").alias("pay_ts"))
     r = receipts.withWatermark("ts", delay).select(
         F.col(key).alias("_rk"), "receipt_id", F.col("ts").alias("receipt_ts")
