@@ -207,13 +207,24 @@ def test_next_midnight_of_the_running_day():
 
 
 def test_batch_log_counts_a_retried_batch_once(spark, tmp_path):
-    log = BatchLog(str(tmp_path / "log"))
+    log = BatchLog(spark, str(tmp_path / "log"), "k string, v bigint")
+    assert log.read().count() == 0
     rows = lambda *values: spark.createDataFrame(list(values), "k string, v bigint")
     log.write(rows(("a", 1), ("b", 2)), 0)
     log.write(rows(("a", 9)), 1)
     log.write(rows(("a", 5), ("c", 3)), 1)
-    assert as_set(log.latest(spark, "k string, v bigint", ["k"]), "k", "v") == {("a", 5), ("b", 2), ("c", 3)}
-    assert log.read(spark, "k string, v bigint", before=1).count() == 2
+    assert as_set(log.latest(["k"]), "k", "v") == {("a", 5), ("b", 2), ("c", 3)}
+    assert log.read(before=1).count() == 2
+
+
+def test_streams_without_input_give_empty_tables(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "none"))
+    minute = 60 * SECOND
+    ranked = pipelines.rank_final_counts(stream, str(tmp_path / "a"), "user_id", 3, minute, minute, SECOND)
+    updated = pipelines.rank_changing_counts(stream, str(tmp_path / "b"), "user_id", 3, minute, minute, SECOND, minute)
+    visits = append_available(pipelines.final_visitors(stream, minute, SECOND), str(tmp_path / "c"))
+    assert [df.count() for df in (ranked, updated, visits)] == [0, 0, 0]
 
 
 def test_settings_are_put_back(spark):

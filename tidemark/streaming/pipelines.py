@@ -25,14 +25,14 @@ def rank_final_counts(
     counts = windows.sliding_counts_direct(
         events.withWatermark("ts", as_interval(disorder)), [key], size, slide
     )
-    log = BatchLog(f"{folder}/table")
+    schema = f"{_ddl(counts, key)}, window_end timestamp, cnt bigint, rank bigint"
+    log = BatchLog(events.sparkSession, f"{folder}/table", schema)
 
     def rank(batch: DataFrame, batch_id: int) -> None:
         log.write(ranking.top_n(batch.select(key, "window_end", "cnt"), n, key), batch_id)
 
     each_batch(counts, folder, rank)
-    schema = f"{_ddl(counts, key)}, window_end timestamp, cnt bigint, rank bigint"
-    return log.read(events.sparkSession, schema).drop("batch_id")
+    return log.read().drop("batch_id")
 
 
 def final_panes(events: DataFrame, keys: Sequence[str], slide: timedelta, disorder: timedelta) -> DataFrame:
@@ -74,19 +74,20 @@ def rank_changing_counts(
         .agg(F.count("*").alias("cnt"))
         .select(key, F.col("_w.start").alias("pane"), "cnt")
     )
-    pane_schema = f"{_ddl(changed, key)}, pane timestamp, cnt bigint"
-    rank_schema = f"{_ddl(changed, key)}, window_end timestamp, cnt bigint, rank bigint"
-    panes, ranks = BatchLog(f"{folder}/panes"), BatchLog(f"{folder}/ranks")
+    panes = BatchLog(spark, f"{folder}/panes", f"{_ddl(changed, key)}, pane timestamp, cnt bigint")
+    ranks = BatchLog(
+        spark, f"{folder}/ranks", f"{_ddl(changed, key)}, window_end timestamp, cnt bigint, rank bigint"
+    )
 
     def rank_touched(batch: DataFrame, batch_id: int) -> None:
         panes.write(batch, batch_id)
-        own = panes.read(spark, pane_schema).filter(F.col("batch_id") == batch_id)
+        own = panes.read().filter(F.col("batch_id") == batch_id)
         first, last = own.agg(F.min(F.unix_micros("pane")), F.max(F.unix_micros("pane"))).first()
         if first is None:
             return
         # compared as times, so that files without such slides are skipped
         since, until = F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))
-        near = panes.latest(spark, pane_schema, [key, "pane"]).filter(
+        near = panes.latest([key, "pane"]).filter(
             F.col("pane").between(since - F.lit(size), until + F.lit(size))
         )
         counts = windows.sliding_counts_of_panes(near, [key], size, slide)
@@ -96,7 +97,7 @@ def rank_changing_counts(
         ranks.write(top.select(key, "window_end", "cnt", "rank"), batch_id)
 
     each_batch(changed, folder, rank_touched, mode="update")
-    all_ranks = ranks.read(spark, rank_schema)
+    all_ranks = ranks.read()
     newest = all_ranks.groupBy("window_end").agg(F.max("batch_id").alias("batch_id"))
     return all_ranks.join(newest, ["window_end", "batch_id"]).drop("batch_id")
 
@@ -124,7 +125,7 @@ def running_visitors(
     State holds the (window, visitor) pairs seen; a batch writes how many new ones it brought, and
     the sum of these is the running count. No row of a window is kept.
     """
-    log = BatchLog(f"{folder}/table")
+    log = BatchLog(events.sparkSession, f"{folder}/table", "window_end timestamp, uv bigint")
     fresh = (
         events.withWatermark("ts", as_interval(disorder))
         .select(F.window("ts", as_interval(size)).alias("window"), visitor)
@@ -136,8 +137,7 @@ def running_visitors(
         log.write(counted, batch_id)
 
     each_batch(fresh, folder, add)
-    rows = log.read(events.sparkSession, "window_end timestamp, uv bigint")
-    return rows.groupBy("window_end").agg(F.sum("uv").alias("uv"))
+    return log.read().groupBy("window_end").agg(F.sum("uv").alias("uv"))
 
 
 def late_rows(
@@ -155,12 +155,13 @@ def late_rows(
     earlier batches' marks and the earlier arrivals of its own batch.
     """
     spark = hits.sparkSession
-    late, marks = BatchLog(f"{folder}/late"), BatchLog(f"{folder}/marks")
+    late = BatchLog(spark, f"{folder}/late", ", ".join(_ddl(hits, c) for c in hits.columns))
+    marks = BatchLog(spark, f"{folder}/marks", "seen bigint")
     late_us = as_micros(disorder)
 
     def split(batch: DataFrame, batch_id: int) -> None:
         marks.write(batch.agg(F.max(F.unix_micros("ts")).alias("seen")), batch_id)
-        earlier = marks.read(spark, "seen bigint", before=batch_id).agg(F.max("seen")).first()[0]
+        earlier = marks.read(before=batch_id).agg(F.max("seen")).first()[0]
         rows = lateness.with_watermark_at_arrival(batch, disorder, seq=seq)
         if earlier is not None:
             rows = rows.withColumn("watermark_us", F.greatest("watermark_us", F.lit(earlier - late_us)))
@@ -168,8 +169,7 @@ def late_rows(
         late.write(found.drop("watermark_us"), batch_id)
 
     each_batch(hits, folder, split)
-    schema = ", ".join(_ddl(hits, c) for c in hits.columns)
-    return late.read(spark, schema).drop("batch_id")
+    return late.read().drop("batch_id")
 
 
 def joined_in_range(

@@ -76,19 +76,21 @@ class BatchLog:
     Keyed results are read back as the newest row per key: an upsert that never rewrites old data.
     """
 
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, spark: SparkSession, folder: str, schema: str):
+        self.spark, self.folder, self.schema = spark, folder, f"{schema}, batch_id bigint"
+        # an empty batch before the first, so that the log can be read when no input has come yet
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{folder}/batch_id=-1")
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.folder}/batch_id={batch_id}")
 
-    def read(self, spark: SparkSession, schema: str, before: int | None = None) -> DataFrame:
+    def read(self, before: int | None = None) -> DataFrame:
         """All rows with their `batch_id`, optionally only of batches before one."""
-        rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(self.folder)
+        rows = self.spark.read.schema(self.schema).parquet(self.folder)
         return rows if before is None else rows.filter(F.col("batch_id") < before)
 
-    def latest(self, spark: SparkSession, schema: str, keys: Sequence[str]) -> DataFrame:
-        rows = self.read(spark, schema)
+    def latest(self, keys: Sequence[str]) -> DataFrame:
+        rows = self.read()
         values = [c for c in rows.columns if c not in keys and c != "batch_id"]
         newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_newest"))
         return newest.select(*keys, *(F.col("_newest")[v].alias(v) for v in values))
