@@ -15,14 +15,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def written(frame: DataFrame, purpose: str) -> DataFrame:
+def written(frame: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """The frame as a table in the shared folder, read back.
 
     This cuts the lineage in a way that survives lost executors, fixes values that depend on how
     rows were partitioned, and lets Spark choose joins by the table's real size.
     """
     path = scratch_dir(frame.sparkSession, purpose)
-    frame.write.parquet(path)
+    frame.write.option("compression", codec).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

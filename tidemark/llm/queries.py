@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, preference, secret_scan
+from tidemark.llm import bpe, exact_dedup, mixing, preference, secret_scan, warc
 from tidemark.llm.common import table, text_or_empty
+from tidemark.runtime import scratch_dir
 
 
 def op1_preference(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,6 +47,44 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to archives, and what reading these gives."""
+    path = scratch_dir(spark, "warc-archives")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    records = warc.read_archives(spark, path)
+
+    def value(name: str):
+        return warc.field(F.col("header"), name)
+
+    def page(name: str):
+        return F.regexp_extract(value(name), r"<urn:page:(-?[0-9]+)>", 1).try_cast("bigint")
+
+    stored = value("WARC-Type") == "response"
+    return records.select(
+        page("WARC-Record-ID").alias("page_id"),
+        F.when(stored, F.octet_length("payload")).otherwise(value("X-Payload-Length")).cast("bigint").alias("payload_bytes"),
+        F.when(stored, F.sha1("payload")).otherwise(F.regexp_extract(value("WARC-Payload-Digest"), "^sha1:(.*)", 1)).alias("payload_digest"),
+        value("WARC-Type").alias("record_type"),
+        page("WARC-Refers-To").alias("refers_to"),
+    )
+
+
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, and their text again."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, folder, "documents"), path)
+    numbered = encoded.select(
+        F.struct(
+            "doc_id",
+            F.size("ids").cast("bigint").alias("n_tokens"),
+            F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        ).alias("row"),
+        "ids",
+    )
+    decoded = bpe.decode(numbered, path, carry=["row"])
+    return decoded.select("row.*", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of equal texts among all documents."""
     digest = F.sha2(text_or_empty("text"), 256)
@@ -59,6 +99,8 @@ def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
 REPORTS = {
     "op1_preference": op1_preference,
     "op2_secrets": op2_secrets,
+    "op5_warc": op5_warc,
+    "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_mix": op10_mix,
 }
