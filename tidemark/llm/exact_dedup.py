@@ -59,7 +59,8 @@ def exact_groups(
             ),
             "radix-groups",
         )
-        joined = dealt.join(nodes, (F.col("_group") == F.col("_from")) & (F.col("_digit") == F.col("_by")), "left")
+        # by sorted partitions at any size: only these are split where a group is large
+        joined = dealt.join(nodes.hint("merge"), (F.col("_group") == F.col("_from")) & (F.col("_digit") == F.col("_by")), "left")
         goes_on = F.col("_next").isNotNull() & (F.length("_digit") == width)
         split = written(
             joined.select(
