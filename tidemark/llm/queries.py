@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, mixing, preference, secret_scan, warc
+from tidemark.llm import bpe, exact_dedup, mixing, preference, secret_scan, toxicity, warc
 from tidemark.llm.common import table, text_or_empty
 from tidemark.runtime import scratch_dir
 
@@ -47,6 +47,19 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document."""
+    documents = table(spark, folder, "documents")
+    scored = toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("segments").alias("n_passages"),
+    )
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written to archives, and what reading these gives."""
     path = scratch_dir(spark, "warc-archives")
@@ -99,6 +112,7 @@ def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
 REPORTS = {
     "op1_preference": op1_preference,
     "op2_secrets": op2_secrets,
+    "op4_toxicity": op4_toxicity,
     "op5_warc": op5_warc,
     "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
