@@ -63,3 +63,33 @@ def prefix_sums(rows: DataFrame, group: str, order: list[str], value: str, purpo
         .withColumn("row_before", F.col("_row_offset") + F.col("_row_inside"))
         .drop("_part", "_group", "_of", "_offset", "_row_offset", "_inside", "_row_inside")
     )
+
+
+def components(edges: DataFrame, purpose: str) -> DataFrame:
+    """(node, component) of each node of the edges (a, b); a component is named by its least node.
+
+    Large stars and small stars in turn: each node's larger neighbours, then its smaller ones, are
+    linked to the least node next to it, until nothing changes. The least is counted before the
+    shuffle, and edges meet it by a join whose large partitions Spark splits, so a node with very
+    many neighbours is no single task's work.
+    """
+
+    def least(links: DataFrame) -> DataFrame:
+        return links.groupBy(F.col("a").alias("_u")).agg(F.min("b").alias("_m")).select("_u", F.least("_u", "_m").alias("_m"))
+
+    def state(links: DataFrame) -> tuple:
+        return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
+    links = written(ordered.distinct(), purpose)
+    before = None
+    while (now := state(links)) != before:
+        before = now
+        both = links.union(links.select("b", "a").toDF("a", "b"))
+        large = both.filter("b > a").join(least(both).hint("merge"), F.col("a") == F.col("_u"))
+        links = written(large.select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct(), purpose)
+        small = links.join(least(links).hint("merge"), F.col("a") == F.col("_u"))
+        joined = small.select(F.col("b").alias("a"), F.col("_m").alias("b")).union(small.select("a", F.col("_m").alias("b")))
+        links = written(joined.filter("a <> b").distinct(), purpose)
+    roots = links.select("b").distinct()
+    return links.toDF("node", "component").union(roots.select("b", F.col("b").alias("component")))

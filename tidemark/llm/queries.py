@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, mixing, preference, secret_scan, toxicity, warc
+from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, preference, secret_scan, toxicity, warc
 from tidemark.llm.common import table, text_or_empty
 from tidemark.runtime import scratch_dir
 
@@ -104,6 +104,11 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"), {"text_sha256": digest})
 
 
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of near duplicates among all documents."""
+    return near_dedup.near_groups(table(spark, folder, "documents"))
+
+
 def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
     """The mix of all documents."""
     return mixing.mix(table(spark, folder, "documents"))
@@ -116,6 +121,7 @@ REPORTS = {
     "op5_warc": op5_warc,
     "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_near_dedup": op8_near_dedup,
     "op10_mix": op10_mix,
 }
 STATEMENTS: dict[str, str] = {}
