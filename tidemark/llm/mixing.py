@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,8 +67,9 @@ def mix(
     share: float = SHARE,
     most_epochs: int = MOST_EPOCHS,
     seed: int = SEED,
+    carry: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of each row of (doc_id, text, source).
+    """(doc_id, size, source_size, target, taken) and the columns of `carry`, for each row of (doc_id, text, source).
 
     `size` is the number of words, null texts having none. A source's documents stand in the order
     of a hash of `doc_id` and `seed`. The mix takes the whole source as often as its target allows
@@ -79,8 +80,14 @@ def mix(
     count as often as they occur and follow one another. An empty table gives an empty table, and
     sources without words have the target 0. Other columns are not read.
     """
+    carry = dict(carry or {})
+    carried = F.struct(F.lit(0).alias("_none"), *(column.alias(name) for name, column in carry.items()))
     sized = documents.select(
-        "doc_id", "source", word_count("text").alias("size"), F.xxhash64("doc_id", F.lit(seed)).alias("_key")
+        "doc_id",
+        "source",
+        word_count("text").alias("size"),
+        F.xxhash64("doc_id", F.lit(seed)).alias("_key"),
+        carried.alias("_carried"),
     )
     rows = written(sized, "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -92,5 +99,18 @@ def mix(
     rest = goal - epochs * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
     return joined.select(
-        "doc_id", "size", "source_size", "target", (epochs * F.col("size") + part).cast("bigint").alias("taken")
+        "doc_id", "size", "source_size", "target", (epochs * F.col("size") + part).cast("bigint").alias("taken"),
+        *(F.col(f"_carried.{name}") for name in carry),
+    )
+
+
+def taken_documents(documents: DataFrame, taken: Column, size: Column) -> DataFrame:
+    """The rows of (text) as often as `taken` words fill them, the last time up to the word where they end."""
+    pieces = F.split(text_or_empty("text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_words")), "")
+    counted = documents.withColumn("_epochs", F.floor(taken / size).cast("int")).withColumn("_words", (taken % size).cast("int"))
+    copies = F.concat(
+        F.array_repeat(F.lit(False), F.col("_epochs")), F.array_repeat(F.lit(True), F.when(F.col("_words") > 0, 1).otherwise(0))
     )
+    repeated = counted.filter(taken > 0).withColumn("_cut", F.explode(copies))
+    return repeated.withColumn("text", F.when(F.col("_cut"), cut).otherwise(F.col("text"))).drop("_epochs", "_words", "_cut")

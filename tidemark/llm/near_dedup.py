@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import components, prefix_sums, written
 
@@ -101,12 +102,15 @@ def least_matches(percent: int = PERCENT, miss: float = MISS) -> list[int]:
     return result
 
 
-def sketches(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """(row, doc_id, shingles, digest, bands) of each row: the set's size, its SHA-256, and its band keys.
+def sketches(documents: DataFrame, words: int = SHINGLE, carry: Mapping[str, Column] | None = None) -> DataFrame:
+    """(row, doc_id, shingles, digest, bands, _carried) of each row: the set's size, its SHA-256, and its band keys.
 
     Without words, the set is empty and digest and bands are null. Written, so `row` stays what it is.
     """
-    kind = documents.schema["doc_id"].dataType.simpleString()
+    carried = F.struct(F.lit(0).alias("_none"), *(column.alias(name) for name, column in (carry or {}).items()))
+    read = documents.select("doc_id", F.col("text").alias("_text"), carried.alias("_carried"))
+    made = T.StructType.fromDDL("shingles bigint, digest binary, bands array<bigint>")
+    schema = T.StructType([read.schema["doc_id"], read.schema["_carried"], *made.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, factors = Shingler(words), multipliers()
@@ -119,16 +123,15 @@ def sketches(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
+                        batch.column(2),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "shingles", "digest", "bands"],
+                    schema.names,
                 )
 
-    read = documents.select("doc_id", F.col("text").alias("_text"))
-    made = read.mapInArrow(run, f"doc_id {kind}, shingles bigint, digest binary, bands array<bigint>")
-    return written(made.withColumn("row", F.monotonically_increasing_id()), "near-sketches")
+    return written(read.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "near-sketches")
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -211,9 +214,13 @@ def compare(sets, groups, left, right, factors, enough, percent) -> list[tuple[i
 
 
 def near_groups(
-    documents: DataFrame, words: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK
+    documents: DataFrame,
+    words: int = SHINGLE,
+    percent: int = PERCENT,
+    block: int = BLOCK,
+    carry: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row of (doc_id, text).
+    """(doc_id, n_shingles, component_id, kept) and the columns of `carry`, for each row of (doc_id, text).
 
     Documents with equal sets of shingles are one class. Classes that share a band are candidates; those
     that candidates connect are a family. A family of up to `block` classes is compared in one task.
@@ -228,7 +235,7 @@ def near_groups(
     that repeat a doc_id are documents of their own, all kept if the id is the least. An empty table
     gives an empty table. Other columns are not read.
     """
-    rows = sketches(documents, words)
+    rows = sketches(documents, words, carry)
     full = rows.filter("digest IS NOT NULL")
     classes = written(
         full.groupBy("digest").agg(F.min("row").alias("id"), F.min("doc_id").alias("least")), "near-classes"
@@ -277,6 +284,7 @@ def near_groups(
             F.col("shingles").alias("n_shingles"),
             component.alias("component_id"),
             F.col("doc_id").eqNullSafe(component).alias("kept"),
+            *(F.col(f"_carried.{name}") for name in carry or {}),
         )
     )
 

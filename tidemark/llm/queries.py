@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, preference, secret_scan, toxicity, warc
+from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, preference, secret_scan, toxicity, url_filter, vptree, warc
 from tidemark.llm.common import table, text_or_empty
 from tidemark.runtime import scratch_dir
 
@@ -47,6 +47,12 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict on every page's url."""
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, folder, "pages"), model)
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """The toxicity of every document."""
     documents = table(spark, folder, "documents")
@@ -109,6 +115,12 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, folder, "documents"))
 
 
+def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of all vectors to every twentieth."""
+    vectors = vptree.usable(table(spark, folder, "embeddings"))
+    return vptree.search(vptree.index(vectors), vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
     """The mix of all documents."""
     return mixing.mix(table(spark, folder, "documents"))
@@ -117,11 +129,13 @@ def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
 REPORTS = {
     "op1_preference": op1_preference,
     "op2_secrets": op2_secrets,
+    "op3_url_filter": op3_url_filter,
     "op4_toxicity": op4_toxicity,
     "op5_warc": op5_warc,
     "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
+    "op9_nearest": op9_nearest,
     "op10_mix": op10_mix,
 }
 STATEMENTS: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -13,6 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import text_or_empty, written
 
@@ -268,25 +269,27 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(weights[0]), max(0.0, float(weights[1]))
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, segments) of each row of (doc_id, text).
+def score(documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns `carry`, `score` and `segments` of each row of (text).
 
     `score` is the probability that the text is labelled toxic. `segments` are its significant
     passages: start and stop in code points of the lower-cased text, the sum of log-odds, and the
     number of passages as good that chance gives a clean text of that length.
 
     Every row is scored by its own whole text, so repeated rows repeat. Null and empty texts have no
-    words and score as such; an empty table gives an empty table. Other columns are not read.
+    words and score as such; an empty table gives an empty table. Columns not in `carry` are not read.
     """
-    read = documents.select("doc_id", text_or_empty("text").alias("_text"))
-    kind = documents.select("doc_id").schema[0].dataType.simpleString()
+    names = list(carry)
+    read = documents.select(*names, text_or_empty("text").alias("_text"))
+    made = T.StructType.fromDDL(f"score double, segments {SEGMENTS}")
+    schema = T.StructType([*documents.select(*names).schema.fields, *made.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(start, ROWS_AT_ONCE)
                 scores, found = [], []
-                for text in batch.column(1).to_pylist():
+                for text in batch.column(len(names)).to_pylist():
                     words = split_words(text)
                     segments = model.segments(words)
                     scores.append(model.probability(model.evidence(segments, len(words))))
@@ -294,6 +297,8 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                     places = [m.span() for m in re.finditer(r"[^\W\d_]+", text.lower())] if kept else []
                     found.append([{"start": places[a][0], "stop": places[b - 1][1], "score": s, "expected": e} for a, b, s, e in kept])
                 spans = pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())])))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), spans], ["doc_id", "score", "segments"])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[: len(names)], pa.array(scores, pa.float64()), spans], [*names, "score", "segments"]
+                )
 
-    return read.mapInArrow(run, f"doc_id {kind}, score double, segments {SEGMENTS}")
+    return read.mapInArrow(run, schema)
