@@ -86,7 +86,7 @@ def mix(
         "doc_id",
         "source",
         word_count("text").alias("size"),
-        F.xxhash64("doc_id", F.lit(seed)).alias("_key"),
+        F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")).cast("binary")).alias("_key"),
         carried.alias("_carried"),
     )
     rows = written(sized, "mix-rows")
