@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, preference, secret_scan, toxicity, url_filter, vptree, warc
 from tidemark.llm.common import table, text_or_empty
+from tidemark.llm.statements import STATEMENTS  # noqa: F401
 from tidemark.runtime import scratch_dir
 
 
@@ -35,10 +36,11 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     rules = secret_scan.BASE + secret_scan.MORE
     found = secret_scan.scan(table(spark, folder, "documents"), rules).select("doc_id", "spans")
     base = F.filter("spans", lambda s: s["number"] < len(secret_scan.BASE))
-    counts = [
-        F.size(F.filter("spans", lambda s, n=number: s["number"] == n)).cast("bigint").alias(f"n_{rule.kind}")
-        for number, rule in enumerate(secret_scan.BASE)
-    ]
+
+    def count(number: int):
+        return F.size(F.filter("spans", lambda s: s["number"] == number)).cast("bigint")
+
+    counts = [count(number).alias(f"n_{rule.kind}") for number, rule in enumerate(secret_scan.BASE)]
     return found.select(
         "doc_id",
         *counts,
@@ -138,4 +140,3 @@ REPORTS = {
     "op9_nearest": op9_nearest,
     "op10_mix": op10_mix,
 }
-STATEMENTS: dict[str, str] = {}
