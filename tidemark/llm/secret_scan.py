@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import product
 
@@ -15,6 +15,7 @@ from tidemark.llm.common import text_or_empty, written
 #: A class of at most so many characters, and runs of at most so many strings, are spelled out.
 SMALL_CLASS = 4
 MOST_STRINGS = 64
+SPANS = "array<struct<start:bigint,number:int,stop:bigint>>"
 
 
 @dataclass(frozen=True)
@@ -61,7 +62,9 @@ def trigram_query(pattern: str) -> list[Clause]:
     def close() -> None:
         nonlocal run
         if min(map(len, run)) >= 3:
-            clauses.append(frozenset(frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in run))
+            options = {frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in run}
+            # what asks for more than another option adds nothing
+            clauses.append(frozenset(o for o in options if not any(other < o for other in options)))
         run = {""}
 
     def extend(strings: set[str]) -> None:
@@ -146,42 +149,51 @@ def candidates(documents: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return held.select(F.col("doc_id").alias("_id"), kinds.alias("_kinds")).filter(F.size("_kinds") > 0)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value worked out once, however often it is named."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _before(lengths: Column) -> Column:
     """Of an array of numbers, the sum before each; in pieces of about the root of its size, so that long arrays stay cheap."""
     zero = F.lit(0).cast("bigint")
-    step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(lengths)))).cast("int")
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.ceil(F.size(lengths) / step).cast("int") - 1),
-        lambda k: F.slice(lengths, k * step + 1, step),
-    )
 
     def running(values: Column, start: Column) -> Column:
         added = F.aggregate(values, F.array(start), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-        return F.slice(added, F.lit(1), F.size(values))
+        return _let(added, lambda sums: F.slice(sums, F.lit(1), F.size(sums) - 1))
+
+    def in_pieces(step: Column) -> Column:
+        last = F.ceil(F.size(lengths) / step).cast("int") - 1
+        pieces = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(lengths, k * step + 1, step))
+        return _let(pieces, lambda cut: F.flatten(F.zip_with(cut, starts(cut), running)))
 
-    starts = running(F.transform(pieces, lambda p: F.aggregate(p, zero, lambda acc, x: acc + x)), zero)
-    return F.flatten(F.zip_with(pieces, starts, running))
+    def starts(cut: Column) -> Column:
+        return running(F.transform(cut, lambda piece: F.aggregate(piece, zero, lambda acc, x: acc + x)), zero)
+
+    return _let(F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(lengths)))).cast("int"), in_pieces)
 
 
 def _found(text: Column, rule: Rule, number: int) -> Column:
     """An array of (start, number, stop) of the rule's matches in the text, in code points."""
-    spans = "array<struct<start:bigint,number:int,stop:bigint>>"
     pattern = F.lit(rule.pattern)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, rule.pattern, -1)
-    long = F.transform(matches, lambda m: F.length(m).cast("bigint"))
-    # what stands before the i-th match: i matches and i + 1 gaps
-    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), long, lambda gap, m: F.length(gap) + m)
     checked = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else matches
-    ends = F.zip_with(_before(steps), steps, lambda before, step: before + step)
-    built = F.transform(
-        F.arrays_zip(ends.alias("e"), long.alias("m"), checked.alias("c")),
-        lambda x: F.when(
-            F.length(x["c"]) >= rule.least,
-            F.struct((x["e"] - x["m"]).alias("start"), F.lit(number).alias("number"), x["e"].alias("stop")),
-        ),
+    parts = F.struct(
+        F.transform(matches, lambda m: F.length(m).cast("bigint")).alias("long"),
+        F.transform(checked, lambda c: F.length(c) >= rule.least).alias("counts"),
+        F.transform(F.split(text, rule.pattern, -1), lambda gap: F.length(gap).cast("bigint")).alias("gaps"),
     )
-    return F.when(F.regexp_like(text, pattern), F.array_compact(built)).otherwise(F.array()).cast(spans)
+
+    def placed(part: Column) -> Column:
+        # before the end of the i-th match stand i matches and i gaps
+        steps = F.zip_with(F.slice(part["gaps"], F.lit(1), F.size(part["long"])), part["long"], lambda gap, m: gap + m)
+        ends = _let(steps, lambda lengths: F.zip_with(_before(lengths), lengths, lambda before, step: before + step))
+        spans = F.zip_with(
+            ends, part["long"], lambda end, m: F.struct((end - m).alias("start"), F.lit(number).alias("number"), end.alias("stop"))
+        )
+        return F.array_compact(F.zip_with(spans, part["counts"], lambda span, ok: F.when(ok, span)))
+
+    return F.when(F.regexp_like(text, pattern), _let(parts, placed)).otherwise(F.array()).cast(SPANS)
 
 
 def scan(documents: DataFrame, rules: Sequence[Rule] = BASE + MORE) -> DataFrame:
@@ -204,7 +216,7 @@ def scan(documents: DataFrame, rules: Sequence[Rule] = BASE + MORE) -> DataFrame
         spans = _found(F.col("text"), rule, number)
         if trigram_query(rule.pattern):
             asked = F.coalesce(F.array_contains("_kinds", rule.kind), F.lit(False))
-            spans = F.when(asked, spans).otherwise(F.array().cast("array<struct<start:bigint,number:int,stop:bigint>>"))
+            spans = F.when(asked, spans).otherwise(F.array().cast(SPANS))
         found.append(spans)
     return joined.select("doc_id", "text", F.array_sort(F.flatten(F.array(*found))).alias("spans"))
 
