@@ -173,6 +173,39 @@ def test_order_outcomes(events, create, pay, expected):
     assert sorted(r.outcome for r in found) == sorted(expected)
 
 
+def replayed(timeline, timeout, disorder):
+    """The outcomes of one order, event by event."""
+    waiting, found = None, Counter()
+    for row in timeline:
+        if waiting and waiting["event_type"] != row["event_type"]:
+            waited = row["ts"] - waiting["ts"]
+            if row["event_type"] == "pay" or waited <= disorder:
+                found[PAID_LATE if row["event_type"] == "pay" and waited >= timeout else PAID] += 1
+                waiting = None
+                continue
+        if waiting:
+            found[NO_CREATE if waiting["event_type"] == "pay" else TIMED_OUT] += 1
+        waiting = row
+    if waiting:
+        found[NO_CREATE if waiting["event_type"] == "pay" else TIMED_OUT] += 1
+    return found
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_order_outcomes_equal_a_replay(events, seed):
+    rng = random.Random(seed)
+    rows = [
+        {"order_id": rng.choice([1, 1, 2, 3, 4]), "event_type": rng.choice(["create", "pay"]), "ts": rng.randrange(120), "event_id": i}
+        for i in range(200)
+    ]
+    expected = {}
+    for row in sorted(rows, key=lambda r: (r["ts"], r["event_type"])):
+        expected.setdefault(row["order_id"], []).append(row)
+    found = order_outcomes(events(rows, ORDER), 4 * SECOND, 2 * SECOND).groupBy("order_id", "outcome").count().collect()
+    result = {order: Counter({r["outcome"]: r["count"] for r in found if r["order_id"] == order}) for order in expected}
+    assert result == {order: replayed(timeline, 4, 2) for order, timeline in expected.items()}
+
+
 def clicks(n=400):
     rng = random.Random(4)
     return [

@@ -1,10 +1,10 @@
-"""Outcome of each order from its create and pay events."""
+"""Outcomes of orders from their create and pay events."""
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.eventtime import as_micros
@@ -24,34 +24,41 @@ def order_outcomes(
     event_type: str = "event_type",
     ts: str = "ts",
 ) -> DataFrame:
-    """One row per order and outcome, from its first create and first pay.
+    """One row for each pair of a create and a pay, and for each event left alone.
 
-    A pay up to `disorder` ahead of its create is taken as arriving out of order and still counts
-    as paid. Further ahead, the pay stands alone and the create then waits in vain: two rows.
-    Both times come from one aggregation, so an order's events are combined before the shuffle.
+    An order is a state machine over its events in time order, creates first at equal times: a create
+    waits for the next pay, and that pay takes it, late or not. A pay without a waiting create waits
+    for a create up to `disorder` later, which arrived out of order, and that pair counts as paid. The
+    event that comes next replaces a waiting one that it can't match, which then stands alone.
+
+    An event is matched with the one before it or after it or with none, so the machine needs no state:
+    where each event could match the one before it, runs of such events pair up from their first on.
+    Events of an order are sorted in one task, which spills, and are never gathered in memory.
     """
     timeout_us, disorder_us = as_micros(timeout), as_micros(disorder)
-    kind = F.col(event_type)
-    times = (
-        events.filter(kind.isin("create", "pay"))
-        .select(key, kind.alias("_kind"), F.unix_micros(ts).alias("_us"))
-        .groupBy(key)
-        .agg(
-            F.min(F.when(F.col("_kind") == "create", F.col("_us"))).alias("_c"),
-            F.min(F.when(F.col("_kind") == "pay", F.col("_us"))).alias("_p"),
-        )
+    is_pay = F.col(event_type) == "pay"
+    timeline = Window.partitionBy("_key").orderBy("_us", "_pay")
+    rows = events.filter(F.col(event_type).isin("create", "pay") & F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), is_pay.alias("_pay"), F.unix_micros(ts).alias("_us")
     )
-    wait = F.col("_p") - F.col("_c")
-    outcomes = (
-        F.when(F.col("_p").isNull(), F.array(F.lit(TIMED_OUT)))
-        .when(F.col("_c").isNull(), F.array(F.lit(NO_CREATE)))
-        .when(wait >= timeout_us, F.array(F.lit(PAID_LATE)))
-        .when(wait >= -disorder_us, F.array(F.lit(PAID)))
-        .otherwise(F.array(F.lit(NO_CREATE), F.lit(TIMED_OUT)))
+    ahead = F.lag(F.struct("_pay", "_us")).over(timeline)
+    waited = F.col("_us") - F.col("_before._us")
+    fits = (F.col("_before._pay") != F.col("_pay")) & (F.col("_pay") | (waited <= disorder_us))
+    linked = rows.withColumn("_before", ahead).withColumn("_fits", F.coalesce(fits, F.lit(False)))
+    # an event that doesn't fit begins a run; within a run the second takes the first, the fourth the third
+    order = F.row_number().over(timeline)
+    so_far = timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow)  # equal events one by one
+    placed = linked.withColumn("_n", order).withColumn("_start", F.max(F.when(~F.col("_fits"), F.col("_n"))).over(so_far))
+    second = (F.col("_n") - F.col("_start")) % 2 == 1
+    paired = placed.withColumn("_second", second).withColumn("_taken", F.coalesce(F.lead("_second").over(timeline), F.lit(False)))
+    late = F.col("_pay") & (waited >= timeout_us)
+    outcome = F.when(F.col("_second"), F.when(late, PAID_LATE).otherwise(PAID)).otherwise(
+        F.when(F.col("_pay"), NO_CREATE).otherwise(TIMED_OUT)
     )
-    return times.select(
-        key,
-        F.explode(outcomes).alias("outcome"),
-        F.timestamp_micros("_c").alias("create_ts"),
-        F.timestamp_micros("_p").alias("pay_ts"),
+    other = F.when(F.col("_second"), F.col("_before._us"))
+    return paired.filter(F.col("_second") | ~F.col("_taken")).select(
+        F.col("_key").alias(key),
+        outcome.alias("outcome"),
+        F.timestamp_micros(F.when(F.col("_pay"), other).otherwise(F.col("_us"))).alias("create_ts"),
+        F.timestamp_micros(F.when(F.col("_pay"), F.col("_us")).otherwise(other)).alias("pay_ts"),
     )

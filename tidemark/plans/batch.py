@@ -170,11 +170,6 @@ def hot_pages_counts(spark: SparkSession, folder: str) -> DataFrame:
     return _end(_page_counts(Tables(spark, folder)), "url", "cnt")
 
 
-def hot_pages_top3(spark: SparkSession, folder: str) -> DataFrame:
-    top = ranking.top_n(_page_counts(Tables(spark, folder)), 3, "url")
-    return _end(top, "url", "cnt", "rank")
-
-
 def _hits_with_watermark(tables: Tables) -> DataFrame:
     return lateness.with_watermark_at_arrival(tables.url_hits(), PAGE_DISORDER, seq="arrival")
 
@@ -185,13 +180,20 @@ def late_events(spark: SparkSession, folder: str) -> DataFrame:
     return _micros(late.select("event_id", "url", "ts"), us="ts")
 
 
+def _on_time_counts(tables: Tables) -> DataFrame:
+    return windows.sliding_counts(
+        _hits_with_watermark(tables), ["url"], *PAGE_WINDOW, first_open=lateness.first_open_end(PAGE_LATENESS)
+    )
+
+
 def hot_pages_on_time_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Counts from rows as they arrive: a row adds to the windows still open for it."""
-    hits = _hits_with_watermark(Tables(spark, folder))
-    counts = windows.sliding_counts(
-        hits, ["url"], *PAGE_WINDOW, first_open=lateness.first_open_end(PAGE_LATENESS)
-    )
-    return _end(counts, "url", "cnt")
+    return _end(_on_time_counts(Tables(spark, folder)), "url", "cnt")
+
+
+def hot_pages_top3(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranks what the windows have counted; rows that came too late for a window are not in its count."""
+    return _end(ranking.top_n(_on_time_counts(Tables(spark, folder)), 3, "url"), "url", "cnt", "rank")
 
 
 def pv_hourly(spark: SparkSession, folder: str) -> DataFrame:
@@ -315,10 +317,8 @@ def order_timeouts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
-    # the first pay of an order comes out of the same aggregation as its outcome
-    events = Tables(spark, folder).order_events(first_pay_only=False)
-    outcomes = order_outcomes(events, ORDER_TIMEOUT, ORDER_DISORDER)
-    return outcomes.select("order_id", "outcome")
+    outcomes = order_outcomes(Tables(spark, folder).order_events(), ORDER_TIMEOUT, ORDER_DISORDER)
+    return _micros(outcomes, create_us="create_ts", pay_us="pay_ts")
 
 
 def pay_receipt_interval_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -375,7 +375,6 @@ REPORTS: dict[str, Report] = {
     "uv_collect_set": uv_collect_set,
     "uv_bitmap": uv_bitmap,
     "uv_bitmap_native": uv_bitmap_native,
-    "uv_approx": uv_approx,
     "avg_by_key": avg_by_key,
     "market_by_channel": market_by_channel,
     "market_total": market_total,

@@ -102,8 +102,8 @@ class Tables:
         outcome = F.when(F.col("event_type") == "error", "fail").otherwise("success")
         return self.events().select("event_id", "user_id", outcome.alias("event_type"), "ts")
 
-    def order_events(self, first_pay_only: bool = True) -> DataFrame:
-        """Orders as create events, shipments (or each order's first one) as pay events.
+    def order_events(self) -> DataFrame:
+        """Orders as create events, all their shipments as pay events.
 
         Every fiftieth order has lost its create event.
         """
@@ -113,11 +113,8 @@ class Tables:
             F.col("o_orderdate").cast("timestamp").alias("ts"),
             F.lit(0).alias("seq"),
         )
-        shipped = self.table("lineitem").select(F.col("l_orderkey").alias("order_id"), "l_shipdate")
-        if first_pay_only:
-            shipped = shipped.groupBy("order_id").agg(F.min("l_shipdate").alias("l_shipdate"))
-        pays = shipped.select(
-            "order_id",
+        pays = self.table("lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
             F.lit("pay").alias("event_type"),
             F.col("l_shipdate").cast("timestamp").alias("ts"),
             F.lit(1).alias("seq"),
