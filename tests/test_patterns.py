@@ -266,19 +266,21 @@ def test_interval_join_equals_nested_loops(events):
 
 
 @pytest.mark.parametrize("seed", range(2))
-def test_one_to_one_match_equals_nested_loops(events, seed):
+def test_one_to_one_match_equals_a_replay(events, seed):
     pays, receipts = sides(seed)
-    order = lambda row: (row["ts"], row["id"])
-    first_receipt = {p["id"]: min((r for r in receipts if in_range(p, r)), key=order, default=None) for p in pays}
-    first_pay = {r["id"]: min((p for p in pays if in_range(p, r)), key=order, default=None) for r in receipts}
-    matched = {
-        (p["id"], r["id"])
-        for p in pays
-        if (r := first_receipt[p["id"]]) is not None and first_pay[r["id"]]["id"] == p["id"]
-    }
-    expected = {("matched", *pair) for pair in matched}
-    expected |= {("unmatched_pay", p["id"], None) for p in pays if p["id"] not in {a for a, _ in matched}}
-    expected |= {("unmatched_receipt", None, r["id"]) for r in receipts if r["id"] not in {b for _, b in matched}}
+    log = sorted([(r["tx_id"], r["ts"], side, r["id"]) for side, rows in enumerate((pays, receipts)) for r in rows])
+    waiting, expected = {}, set()
+    for tx, ts, side, number in log:
+        queue = waiting.setdefault((tx, 1 - side), [])
+        queue[:] = [(at, n) for at, n in queue if ts - at <= (3 if side == 0 else 5)]
+        if queue:
+            other = queue.pop(0)[1]
+            expected.add(("matched", *((number, other) if side == 0 else (other, number))))
+        else:
+            waiting.setdefault((tx, side), []).append((ts, number))
+    taken = [{pair[k] for pair in expected} for k in (1, 2)]
+    expected |= {("unmatched_pay", p["id"], None) for p in pays if p["id"] not in taken[0]}
+    expected |= {("unmatched_receipt", None, r["id"]) for r in receipts if r["id"] not in taken[1]}
     schema = "tx_id string, ts timestamp, id bigint"
     found = joins.match_one_to_one(
         events(pays, schema), events(receipts, schema), "tx_id", 3 * SECOND, 5 * SECOND, "id", "id"
@@ -287,6 +289,14 @@ def test_one_to_one_match_equals_nested_loops(events, seed):
     assert {(r.outcome, r.pay_id, r.receipt_id) for r in found} == expected
 
 
+def test_one_to_one_match_takes_the_oldest(events):
+    """Pays at 0 and 2, receipts at 1 and 3: both pairs match."""
+    schema = "tx_id string, ts timestamp, id bigint"
+    pays, receipts = ([{"tx_id": "t", "ts": ts, "id": ts} for ts in times] for times in ((0, 2), (1, 3)))
+    found = joins.match_one_to_one(events(pays, schema), events(receipts, schema), "tx_id", 3 * SECOND, 5 * SECOND, "id", "id")
+    assert {(r.outcome, r.pay_id, r.receipt_id) for r in found.collect()} == {("matched", 0, 1), ("matched", 2, 3)}
+
+
 @pytest.mark.parametrize("receipt,outcome", [(97, "matched"), (96.999999, "alone"), (105, "matched"), (105.000001, "alone")])
 def test_match_range_includes_both_ends(events, receipt, outcome):
     pay = events([{"tx_id": "t", "ts": 100, "id": 1}], "tx_id string, ts timestamp, id bigint")

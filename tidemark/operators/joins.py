@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.eventtime import as_micros
 from tidemark.operators.slicing import copy_to_slices, home_slice, slice_width
 
+#: Times the longest wait that a slice spans in the search for breaks.
+SLICES_OF_PIECES = 64
+
 
 def interval_join(
     left: DataFrame, right: DataFrame, key: str, lower: timedelta, upper: timedelta, ts: str = "ts"
@@ -46,78 +52,91 @@ def match_one_to_one(
     receipt_id: str,
     ts: str = "ts",
 ) -> DataFrame:
-    """Pairs pays and receipts of a key one to one; every row of both sides comes back once.
+    """Pairs pays and receipts of a key one to one; every row of both sides with a key comes back once.
 
-    A receipt may come up to `early` before and `late` after its pay. A pair matches when each is
-    the other's earliest partner in range. Result: `outcome` (`matched`, `unmatched_pay`,
-    `unmatched_receipt`), the key, and `pay_id`, `pay_ts`, `receipt_id`, `receipt_ts`.
+    Rows are read in time order, pays first at equal times, then by id. Each takes the oldest row of the
+    other side that still waits for it, a pay waiting for `late` and a receipt for `early`; if there is
+    none, it waits itself. Result: `outcome` (`matched`, `unmatched_pay`, `unmatched_receipt`), the key,
+    and `pay_id`, `pay_ts`, `receipt_id`, `receipt_ts`.
 
-    Both sides are laid on one timeline and each row looks up its earliest partner with a running
-    window, so pairs are never enumerated and the work is linear in the rows, dense keys included.
+    A key's timeline breaks where nothing comes for longer than any row waits. The pieces between breaks
+    are spread over the tasks, and a task holds the rows that wait, never a piece. Only a key that never
+    pauses is read by one task.
     """
-    early_us, late_us = as_micros(early), as_micros(late)
-    width = slice_width(early_us + late_us)
-    p = pays.select(key, F.lit(True).alias("is_pay"), F.unix_micros(ts).alias("us"), F.col(pay_id).alias("id"))
-    r = receipts.select(
-        key, F.lit(False).alias("is_pay"), F.unix_micros(ts).alias("us"), F.col(receipt_id).alias("id")
-    )
-    rows = copy_to_slices(p, F.col("us"), width, back=early_us, ahead=late_us).unionByName(
-        copy_to_slices(r, F.col("us"), width, back=late_us, ahead=early_us)
-    ).filter(F.col(key).isNotNull())
-    partner_of_pay = _earliest_partner(rows, key, seeker=F.col("is_pay"), reach_back=early_us)
-    partner_of_receipt = _earliest_partner(rows, key, seeker=~F.col("is_pay"), reach_back=late_us)
-    slices = Window.partitionBy(key, "slice")
-    looked_up = rows.select(
-        key,
-        "is_pay",
-        "us",
-        "id",
-        "is_home",
-        partner_of_pay(slices).alias("_receipt"),
-        partner_of_receipt(slices).alias("_pay"),
-    ).filter("is_home")
-
-    me = F.struct("us", "id")
-    in_reach = lambda partner, reach: F.when(partner["us"] <= F.col("us") + reach, partner)
-    pointers = looked_up.select(
-        key,
-        F.when(F.col("is_pay"), me).otherwise(in_reach(F.col("_pay"), early_us)).alias("pay"),
-        F.when(F.col("is_pay"), in_reach(F.col("_receipt"), late_us)).otherwise(me).alias("receipt"),
-        "is_pay",
+    reach = {True: as_micros(late), False: as_micros(early)}
+    side = lambda df, is_pay, name: df.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), F.lit(is_pay).alias("is_pay"), F.unix_micros(ts).alias("us"), F.col(name).alias("id")
     )
-    # a pair that both sides point to gets two pointers, anything else one
-    grouped = pointers.groupBy(key, "pay", "receipt").agg(
-        F.count("*").alias("_n"), F.first("is_pay").alias("_from_pay")
+    rows = _in_pieces(side(pays, True, pay_id).unionByName(side(receipts, False, receipt_id)), max(reach.values()))
+    number = rows.select("id").schema[0].dataType.simpleString()
+    of_key = rows.select("key").schema[0].dataType.simpleString()
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(tasks, "key", "piece").sortWithinPartitions("key", "piece", "us", F.desc("is_pay"), "id")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, waiting = None, {True: deque(), False: deque()}
+
+        def alone(is_pay: bool, upto: int | None) -> Iterator[tuple]:
+            queue = waiting[is_pay]
+            while queue and (upto is None or queue[0][0] + reach[is_pay] < upto):
+                us, name = queue.popleft()
+                pair = (name, us, None, None) if is_pay else (None, None, name, us)
+                yield ("unmatched_pay" if is_pay else "unmatched_receipt", place[0], *pair)
+
+        def shown(found: list[tuple]) -> pd.DataFrame:
+            names = ["outcome", "key", "pay_id", "pay_us", "receipt_id", "receipt_us"]
+            return pd.DataFrame(found, columns=names, dtype=object)
+
+        for batch in batches:
+            found: list[tuple] = []
+            columns = (batch[name].tolist() for name in ("key", "piece", "is_pay", "us", "id"))
+            for own_key, piece, is_pay, us, name in zip(*columns, strict=True):
+                new = (own_key, piece) != place
+                for each in (True, False):
+                    found.extend(alone(each, None if new else us))
+                place = own_key, piece
+                if waiting[not is_pay]:
+                    other_us, other = waiting[not is_pay].popleft()
+                    pair = (name, us, other, other_us) if is_pay else (other, other_us, name, us)
+                    found.append(("matched", own_key, *pair))
+                else:
+                    waiting[is_pay].append((us, name))
+            yield shown(found)
+        yield shown([*alone(True, None), *alone(False, None)])
+
+    matched = dealt.mapInPandas(
+        run,
+        f"outcome string, key {of_key}, pay_id {number}, pay_us bigint, receipt_id {number}, receipt_us bigint",
     )
-    matched, from_pay = F.col("_n") == 2, F.col("_from_pay")
-    shown = lambda side, keep: F.when(keep, side)
-    pay, receipt = shown(F.col("pay"), matched | from_pay), shown(F.col("receipt"), matched | ~from_pay)
-    return grouped.select(
-        F.when(matched, "matched").when(from_pay, "unmatched_pay").otherwise("unmatched_receipt").alias("outcome"),
-        key,
-        pay["id"].alias("pay_id"),
-        F.timestamp_micros(pay["us"]).alias("pay_ts"),
-        receipt["id"].alias("receipt_id"),
-        F.timestamp_micros(receipt["us"]).alias("receipt_ts"),
+    return matched.select(
+        "outcome",
+        F.col("key").alias(key),
+        "pay_id",
+        F.timestamp_micros("pay_us").alias("pay_ts"),
+        "receipt_id",
+        F.timestamp_micros("receipt_us").alias("receipt_ts"),
     )
 
 
-def _earliest_partner(rows: DataFrame, key: str, seeker: Column, reach_back: int):
-    """Looks up, for seekers, the first row of the other side at or after `us - reach_back`.
+def _in_pieces(rows: DataFrame, reach_us: int) -> DataFrame:
+    """Adds `piece`, the time at which an unbroken piece of the key's timeline begins.
 
-    Seekers are moved back by their reach; read backwards in time, the last row of the other side
-    seen so far is then the earliest in range. At equal times seekers come last in that order, so
-    that a partner exactly at the edge counts.
+    Breaks are found slice by slice; of earlier slices only the last time and the last beginning count.
     """
-    place = F.when(seeker, F.col("us") - reach_back).otherwise(F.col("us"))
-
-    def over(slices) -> Column:
-        backwards = slices.orderBy(place.desc(), seeker.asc(), F.desc("id")).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        return F.last(F.when(~seeker, F.struct("us", "id")), ignorenulls=True).over(backwards)
-
-    return over
+    sliced = home_slice(rows, F.col("us"), slice_width(reach_us, SLICES_OF_PIECES))
+    within = Window.partitionBy("key", "slice").orderBy("us")
+    slices = Window.partitionBy("_key").orderBy("_slice")
+    ends = sliced.groupBy(F.col("key").alias("_key"), F.col("slice").alias("_slice")).agg(F.max("us").alias("_end"))
+    ends = ends.withColumn("_end", F.lag("_end").over(slices))
+    same = (F.col("key") == F.col("_key")) & (F.col("slice") == F.col("_slice"))
+    before = F.coalesce(F.lag("us").over(within), F.col("_end"))
+    begins = F.when(before.isNull() | (F.col("us") - before > reach_us), F.col("us"))
+    marked = sliced.join(ends, same).withColumn("_begins", begins).drop("_key", "_slice", "_end")
+    starts = marked.groupBy(F.col("key").alias("_key"), F.col("slice").alias("_slice")).agg(F.max("_begins").alias("_start"))
+    earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.withColumn("_start", F.max("_start").over(earlier))
+    piece = F.coalesce(F.max("_begins").over(within), F.col("_start"))
+    return marked.join(starts, same).withColumn("piece", piece).select("key", "is_pay", "us", "id", "piece")
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:

@@ -154,14 +154,26 @@ SIDES = """
     pairs AS (SELECT tx_id, pay_id, receipt_id, pay_us, receipt_us FROM pays JOIN receipts USING (tx_id)
               WHERE receipt_us BETWEEN pay_us - 10800000000 AND pay_us + 18000000000)
 """
+# a key's rows one after the other, with what waits after each and what it takes
 MATCHES = f"""
-    WITH {SIDES},
+    WITH RECURSIVE {SIDES},
+    log AS (SELECT tx_id, TRUE AS pay, pay_us AS us, pay_id AS id FROM pays
+            UNION ALL SELECT tx_id, FALSE, receipt_us, receipt_id FROM receipts),
+    numbered AS (SELECT tx_id, {{'pay': pay, 'us': us, 'id': id}} AS me,
+                 row_number() OVER (PARTITION BY tx_id ORDER BY us, pay DESC, id) AS n FROM log),
+    steps AS (
+        SELECT tx_id, 0::BIGINT AS n, [me][1:0] AS waiting, me AS taken, me FROM numbered WHERE n = 1
+        UNION ALL
+        SELECT tx_id, n, CASE WHEN len(fit) > 0 THEN list_filter(live, lambda w: w <> fit[1]) ELSE list_append(live, me) END,
+            fit[1], me
+        FROM (SELECT tx_id, n, me, live, list_filter(live, lambda w: w.pay <> me.pay) AS fit
+              FROM (SELECT e.tx_id, e.n, e.me, list_filter(s.waiting, lambda w:
+                        e.me.us - w.us <= CASE WHEN w.pay THEN 18000000000 ELSE 10800000000 END) AS live
+                    FROM steps s JOIN numbered e ON e.tx_id = s.tx_id AND e.n = s.n + 1))),
     matched AS (
-        SELECT tx_id, pay_id, receipt_id, pay_us, receipt_us FROM (
-            SELECT *, row_number() OVER (PARTITION BY pay_id ORDER BY receipt_us, receipt_id) AS a,
-                      row_number() OVER (PARTITION BY receipt_id ORDER BY pay_us, pay_id) AS b
-            FROM pairs)
-        WHERE a = 1 AND b = 1),
+        SELECT tx_id, CASE WHEN me.pay THEN me.id ELSE taken.id END AS pay_id, CASE WHEN me.pay THEN taken.id ELSE me.id END AS receipt_id,
+            CASE WHEN me.pay THEN me.us ELSE taken.us END AS pay_us, CASE WHEN me.pay THEN taken.us ELSE me.us END AS receipt_us
+        FROM steps WHERE n > 0 AND taken IS NOT NULL),
     lone_pays AS (SELECT tx_id, pay_id, pay_us FROM pays
                   WHERE pay_id NOT IN (SELECT pay_id FROM matched)),
     lone_receipts AS (SELECT tx_id, receipt_id, receipt_us FROM receipts
