@@ -116,8 +116,12 @@ NEXT_PAY = f"""
     SELECT order_id, c, (SELECT min(epoch_us(l_shipdate)) FROM lineitem WHERE l_orderkey = order_id AND epoch_us(l_shipdate) >= c) AS p
     FROM ({ORDER_TIMES})
 """
-# an order's events one after the other, with what waits after each
-LIFECYCLE = f"""
+
+
+def lifecycle(expires: bool) -> str:
+    """An order's events one after the other, with what waits after each; a waiting create may expire."""
+    in_time = f"us - wait_us <= CASE WHEN pay = 0 THEN {30 * DAY_US} ELSE {YEAR_US if expires else 10**18} END"
+    return f"""
     WITH RECURSIVE log AS (
         SELECT order_id, c AS us, 0 AS pay FROM ({ORDER_TIMES})
         UNION ALL SELECT l_orderkey, epoch_us(l_shipdate), 1 FROM lineitem),
@@ -135,7 +139,7 @@ LIFECYCLE = f"""
                  WHEN wait_pay = 0 THEN 'order timeout' END,
             CASE WHEN wait_pay = 0 THEN wait_us WHEN match THEN us END,
             CASE WHEN wait_pay = 1 THEN wait_us WHEN match THEN us END
-        FROM (SELECT s.*, e.us, e.pay, coalesce(wait_pay <> pay AND (pay = 1 OR us - wait_us <= {30 * DAY_US}), FALSE) AS match
+        FROM (SELECT s.*, e.us, e.pay, coalesce(wait_pay <> pay AND {in_time}, FALSE) AS match
               FROM steps s JOIN numbered e ON e.order_id = s.order_id AND e.n = s.n + 1) s),
     ends AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY n DESC) = 1 AS last FROM steps)
     SELECT order_id, outcome, create_us, pay_us FROM steps WHERE outcome IS NOT NULL
@@ -246,7 +250,7 @@ STATEMENTS: dict[str, str] = {
     "order_timeouts": f"""
         SELECT order_id, c AS begin_us, c + {YEAR_US} AS timeout_us
         FROM ({NEXT_PAY}) WHERE (p - c < {YEAR_US}) IS NOT TRUE""",
-    "order_lifecycle": LIFECYCLE,
+    "order_lifecycle": lifecycle(expires=False),
     "pay_receipt_interval_join": f"WITH {SIDES} SELECT {HIT_COLUMNS} FROM pairs",
     "pay_receipt_match": f"""
         {MATCHES}
@@ -257,78 +261,34 @@ STATEMENTS: dict[str, str] = {
     "unmatched_receipts": f"{MATCHES} SELECT tx_id, receipt_id, receipt_us FROM lone_receipts",
 }
 
-# streams: the batch result up to the watermark
-
-
-def _watermark(condition: str, disorder_us: int = 1_000_000) -> str:
-    return f"(SELECT epoch_us(max(ts)) // 1000 * 1000 - {disorder_us} FROM events WHERE {condition})"
-
-
-VIEW_MARK, EVENT_MARK = _watermark("event_type = 'view'"), _watermark("TRUE")
-MARKET_MARK = _watermark("event_type <> 'error'")
-PAY_MARK = f"least({_watermark("event_type = 'click'")}, {_watermark("event_type = 'purchase'")})"
-
-# events of the order log: created at c, paid at p (either may be missing)
-ORDER_LOG = f"""
-    SELECT o_orderkey AS order_id,
-           CASE WHEN o_orderkey % 50 <> 0 THEN epoch_us(o_orderdate) END AS c,
-           CASE WHEN o_orderkey % 11 <> 0
-                THEN epoch_us(o_orderdate) + (o_orderkey * 7 % 41 - 10) * {DAY_US} END AS p
-    FROM orders
-"""
-STREAM_OUTCOMES = f"""
-    WITH log AS ({ORDER_LOG}),
-    mark AS (SELECT greatest(max(c), max(p)) - {3 * DAY_US} AS wm FROM log),
-    results AS (
-        SELECT order_id, 'payed successfully' AS outcome, greatest(c, p) AS due
-        FROM log WHERE p - c < {15 * DAY_US} AND c - p <= {3 * DAY_US}
-        UNION ALL
-        SELECT order_id, 'payed but already timeout', p FROM log WHERE p - c = {15 * DAY_US}
-        UNION ALL
-        SELECT order_id, 'order timeout', c + {15 * DAY_US} + 1
-        FROM log WHERE c IS NOT NULL AND (p IS NULL OR p - c > {15 * DAY_US} OR c - p > {3 * DAY_US})
-        UNION ALL
-        SELECT order_id, 'already payed but not found create log', p + {3 * DAY_US} + 1
-        FROM log WHERE p IS NOT NULL AND (c IS NULL OR p - c > {15 * DAY_US} OR c - p > {3 * DAY_US})
-    )
-    SELECT order_id, outcome FROM results, mark WHERE due <= wm
-"""
+# streams: an ended input gives what the batch gives
 
 STATEMENTS |= {
-    "stream_hot_items_top5": f"""
-        SELECT * FROM ({ranked(ITEM_COUNTS, 5, "item_id")}) WHERE window_end * 1000000 <= {VIEW_MARK}""",
+    "stream_hot_items_top5": STATEMENTS["hot_items_top5"],
     # one micro-batch: no row is late
     "stream_hot_pages_top3": ranked(PAGE_COUNTS, 3, "url"),
     "stream_hot_items_updates": STATEMENTS["hot_items_sql"],
     "stream_late_events": STATEMENTS["late_events"],
-    "stream_market_total": f"""
-        SELECT *, window_end - 3600 AS window_start FROM ({sliding(MARKETING, [], 3600, 5)})
-        WHERE window_end <= (SELECT max(secs // 5 * 5 + 5) FROM ({MARKETING})
-                             WHERE (secs // 5 * 5 + 5) * 1000000 <= {MARKET_MARK})""",
-    "stream_uv": f"""
-        SELECT * FROM ({STATEMENTS["uv_exact"]}) WHERE window_end * 1000000 <= {VIEW_MARK}""",
+    "stream_market_total": STATEMENTS["market_total"],
+    "stream_market_by_channel": STATEMENTS["market_by_channel"],
+    "stream_pv_hourly": STATEMENTS["pv_hourly"],
+    "stream_uv": STATEMENTS["uv_exact"],
     "stream_uv_running": STATEMENTS["uv_exact"],
     "stream_interval_join": STATEMENTS["pay_receipt_interval_join"],
     "stream_pay_receipt": f"""
         WITH {SIDES}
         SELECT 'matched' AS outcome, {HIT_COLUMNS} FROM pairs
         UNION ALL SELECT 'unmatched_pay', tx_id, pay_id, NULL, pay_us, NULL FROM pays
-        WHERE pay_id NOT IN (SELECT pay_id FROM pairs) AND pay_us + 18000000000 < {PAY_MARK}
+        WHERE pay_id NOT IN (SELECT pay_id FROM pairs)
         UNION ALL SELECT 'unmatched_receipt', tx_id, NULL, receipt_id, NULL, receipt_us FROM receipts
-        WHERE receipt_id NOT IN (SELECT receipt_id FROM pairs) AND receipt_us + 10800000000 < {PAY_MARK}""",
-    "stream_login_fail": f"""
-        SELECT * FROM ({BURSTS}) WHERE first_us + 7200000000 < {EVENT_MARK}""",
-    "stream_login_fail_next": f"""
-        SELECT * FROM ({fail_run(2, 7_200_000_000)}) WHERE last_us <= {EVENT_MARK}""",
+        WHERE receipt_id NOT IN (SELECT receipt_id FROM pairs)""",
+    "stream_login_fail": BURSTS,
+    "stream_login_fail_next": fail_run(2, 7_200_000_000),
     "stream_order_timeouts": f"""
-        WITH log AS ({ORDER_LOG}), mark AS (SELECT greatest(max(c), max(p)) - {3 * DAY_US} AS wm FROM log)
-        SELECT order_id, c AS begin_us, p AS end_us, NULL AS timeout_us
-        FROM log, mark WHERE p >= c AND p - c < {15 * DAY_US} AND p <= wm
-        UNION ALL
-        SELECT order_id, c, NULL, c + {15 * DAY_US} FROM log, mark
-        WHERE c IS NOT NULL AND (p >= c AND p - c < {15 * DAY_US}) IS NOT TRUE
-          AND (c + {15 * DAY_US} < wm OR p = c + {15 * DAY_US} AND p <= wm)""",
-    "stream_order_lifecycle": STREAM_OUTCOMES,
+        SELECT order_id, c AS begin_us, CASE WHEN p - c < {YEAR_US} THEN p END AS end_us,
+            CASE WHEN (p - c < {YEAR_US}) IS NOT TRUE THEN c + {YEAR_US} END AS timeout_us
+        FROM ({NEXT_PAY})""",
+    "stream_order_lifecycle": f"SELECT order_id, outcome FROM ({lifecycle(expires=True)})",
     "stream_ad_cap": f"""
         SELECT user_id, ad_id, event_id, us, CASE WHEN n <= 2 THEN 'click' ELSE 'alert' END AS kind
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id ORDER BY us, event_id) AS n

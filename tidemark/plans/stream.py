@@ -1,8 +1,4 @@
-"""Streaming reports: each streams the whole table, and returns what has been finalised.
-
-A stream that has read all its input still waits for its watermark, so windows and deadlines
-after the last event time minus the disorder are not in the result.
-"""
+"""Streaming reports: each streams the whole table and, as the table is all there is, ends its input."""
 
 from __future__ import annotations
 
@@ -11,8 +7,8 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import as_interval, as_micros, epoch_seconds
-from tidemark.operators import windows
+from tidemark.functions.eventtime import as_interval, epoch_seconds
+from tidemark.operators import ranking, windows
 from tidemark.plans import batch
 from tidemark.plans.batch import HOUR, SECOND, Report
 from tidemark.runtime import scratch_dir
@@ -22,22 +18,25 @@ from tidemark.streaming.sinks import append_available, custom_state
 
 DISORDER = SECOND
 STREAM_CLICK_LIMIT = 2
-STREAM_ORDER_TIMEOUT, STREAM_ORDER_DISORDER = timedelta(days=15), timedelta(days=3)
 
 
 def _streams(spark: SparkSession, folder: str) -> Tables:
     return Tables(spark, folder, stream=True)
 
 
+def _bounded(spark: SparkSession, folder: str) -> Tables:
+    return Tables(spark, folder, stream=True, ending=scratch_dir(spark, "ending"))
+
+
 def stream_hot_items_top5(spark: SparkSession, folder: str) -> DataFrame:
-    top = pipelines.rank_final_counts(
-        _streams(spark, folder).page_views(),
+    """Closed five-minute counts from the stream, then ranked sliding hours over them."""
+    tables, (size, slide) = _bounded(spark, folder), batch.ITEM_WINDOW
+    panes = append_available(
+        pipelines.final_panes(tables.page_views(), ["item_id"], slide, DISORDER),
         scratch_dir(spark, "hot-items"),
-        "item_id",
-        5,
-        *batch.ITEM_WINDOW,
-        DISORDER,
+        tables.end_input,
     )
+    top = ranking.top_n(windows.sliding_counts_of_panes(panes, ["item_id"], size, slide), 5, "item_id")
     return top.select(epoch_seconds("window_end").alias("window_end"), "item_id", "cnt", "rank")
 
 
@@ -82,28 +81,42 @@ def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
     return late.select("event_id", "url", F.unix_micros("ts").alias("us"))
 
 
-def stream_market_total(spark: SparkSession, folder: str) -> DataFrame:
+def _market_counts(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
     """Closed five-second counts from the stream, then sliding hours over them."""
-    size, slide = batch.MARKET_WINDOW
-    kept = _streams(spark, folder).marketing().filter(F.col("behavior") != "error")
+    tables, (size, slide) = _bounded(spark, folder), batch.MARKET_WINDOW
+    kept = tables.marketing().filter(F.col("behavior") != "error")
     panes = append_available(
-        pipelines.final_panes(kept, [], slide, DISORDER), scratch_dir(spark, "market")
+        pipelines.final_panes(kept, keys, slide, DISORDER), scratch_dir(spark, "market"), tables.end_input
     )
-    counts = windows.sliding_counts_of_panes(panes, [], size, slide)
-    # complete are the windows that end by the last closed slide
-    last = panes.agg(F.max(F.unix_micros("pane"))).first()[0]
-    complete = counts.filter(F.unix_micros("window_end") <= F.lit(last) + as_micros(slide))
-    return complete.select(
+    return windows.sliding_counts_of_panes(panes, keys, size, slide).select(
         epoch_seconds("window_start").alias("window_start"),
         epoch_seconds("window_end").alias("window_end"),
+        *keys,
         "cnt",
     )
 
 
+def stream_market_total(spark: SparkSession, folder: str) -> DataFrame:
+    total = F.lit("total")
+    return _market_counts(spark, folder, []).select("*", total.alias("channel"), total.alias("behavior"))
+
+
+def stream_market_by_channel(spark: SparkSession, folder: str) -> DataFrame:
+    return _market_counts(spark, folder, ["channel", "behavior"])
+
+
+def stream_pv_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _bounded(spark, folder)
+    panes = append_available(
+        pipelines.final_panes(tables.page_views(), [], HOUR, DISORDER), scratch_dir(spark, "pv"), tables.end_input
+    )
+    return panes.select(epoch_seconds(F.col("pane") + F.lit(HOUR)).alias("window_end"), "cnt")
+
+
 def stream_uv(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _bounded(spark, folder)
     uv = append_available(
-        pipelines.final_visitors(_streams(spark, folder).page_views(), HOUR, DISORDER),
-        scratch_dir(spark, "uv"),
+        pipelines.final_visitors(tables.page_views(), HOUR, DISORDER), scratch_dir(spark, "uv"), tables.end_input
     )
     return uv.select(epoch_seconds("window_end").alias("window_end"), "uv")
 
@@ -131,7 +144,7 @@ def stream_interval_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_pay_receipt(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _streams(spark, folder)
+    tables = _bounded(spark, folder)
     rows = pipelines.matched_or_alone(
         tables.pays(), tables.receipts(), "tx_id", batch.RECEIPT_EARLY, batch.RECEIPT_LATE, DISORDER
     )
@@ -143,11 +156,12 @@ def stream_pay_receipt(spark: SparkSession, folder: str) -> DataFrame:
         F.unix_micros("pay_ts").alias("pay_us"),
         F.unix_micros("receipt_ts").alias("receipt_us"),
     )
-    return append_available(shown, scratch_dir(spark, "pay-receipt"))
+    return append_available(shown, scratch_dir(spark, "pay-receipt"), tables.end_input)
 
 
 def stream_login_fail(spark: SparkSession, folder: str) -> DataFrame:
-    logins = _streams(spark, folder).logins()
+    tables = _bounded(spark, folder)
+    logins = tables.logins()
     with custom_state(spark):
         bursts = processors.process_in_order(
             logins,
@@ -156,11 +170,12 @@ def stream_login_fail(spark: SparkSession, folder: str) -> DataFrame:
             processors.FailureBurst(2, batch.LOGIN_SPAN),
             as_interval(DISORDER),
         )
-        return append_available(bursts, scratch_dir(spark, "login-fail"))
+        return append_available(bursts, scratch_dir(spark, "login-fail"), tables.end_input)
 
 
 def stream_login_fail_next(spark: SparkSession, folder: str) -> DataFrame:
-    logins = _streams(spark, folder).logins()
+    tables = _bounded(spark, folder)
+    logins = tables.logins()
     with custom_state(spark):
         runs = processors.process_in_order(
             logins,
@@ -169,34 +184,36 @@ def stream_login_fail_next(spark: SparkSession, folder: str) -> DataFrame:
             processors.ConsecutiveHits(2, batch.LOGIN_SPAN),
             as_interval(DISORDER),
         )
-        return append_available(runs, scratch_dir(spark, "login-fail-next"))
+        return append_available(runs, scratch_dir(spark, "login-fail-next"), tables.end_input)
 
 
 def stream_order_timeouts(spark: SparkSession, folder: str) -> DataFrame:
     """Paid and timed-out orders, told apart by which of `end_us` and `timeout_us` is set."""
-    orders = _streams(spark, folder).order_log()
+    tables = _bounded(spark, folder)
+    orders = tables.order_events()
     with custom_state(spark):
         found = processors.process_in_order(
             orders,
             "order_id",
             {"seq": (F.col("event_type") == "pay").cast("bigint"), "begins": F.col("event_type") == "create"},
-            processors.FollowedBy(STREAM_ORDER_TIMEOUT),
-            as_interval(STREAM_ORDER_DISORDER),
+            processors.FollowedBy(batch.ORDER_TIMEOUT),
+            as_interval(batch.ORDER_DISORDER),
         )
-        return append_available(found, scratch_dir(spark, "order-timeouts"))
+        return append_available(found, scratch_dir(spark, "order-timeouts"), tables.end_input)
 
 
 def stream_order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _streams(spark, folder).order_log()
+    tables = _bounded(spark, folder)
+    orders = tables.order_events()
     with custom_state(spark):
         outcomes = processors.process_in_order(
             orders,
             "order_id",
             {"seq": (F.col("event_type") == "pay").cast("bigint"), "event_type": F.col("event_type")},
-            processors.OrderLifecycle(STREAM_ORDER_TIMEOUT, STREAM_ORDER_DISORDER),
-            as_interval(STREAM_ORDER_DISORDER),
+            processors.OrderLifecycle(batch.ORDER_TIMEOUT, batch.ORDER_DISORDER),
+            as_interval(batch.ORDER_DISORDER),
         )
-        return append_available(outcomes, scratch_dir(spark, "orders"))
+        return append_available(outcomes, scratch_dir(spark, "orders"), tables.end_input)
 
 
 def stream_ad_cap(spark: SparkSession, folder: str) -> DataFrame:
@@ -212,6 +229,8 @@ REPORTS: dict[str, Report] = {
     "stream_hot_items_updates": stream_hot_items_updates,
     "stream_late_events": stream_late_events,
     "stream_market_total": stream_market_total,
+    "stream_market_by_channel": stream_market_by_channel,
+    "stream_pv_hourly": stream_pv_hourly,
     "stream_uv": stream_uv,
     "stream_uv_running": stream_uv_running,
     "stream_interval_join": stream_interval_join,

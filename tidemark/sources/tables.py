@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -12,12 +13,36 @@ ORDERS_SCHEMA = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
     " o_orderdate timestamp_ntz, o_orderpriority string"
 )
+LINEITEM_SCHEMA = "l_orderkey bigint, l_shipdate timestamp_ntz"
+#: Above all ids of tables.
+LAST_ID = 9_000_000_000_000_000
+#: Rows that end an input, by table; no event type shares a user, so they match nothing.
+ENDINGS = {
+    "events": ", ".join(
+        f"({LAST_ID + k}L, timestamp_ntz'2200-01-01', {LAST_ID + k}L, '{kind}', 0D, '{{}}')"
+        for k, kind in enumerate(("view", "click", "purchase", "error"), 1)
+    ) + " AS rows(event_id, ts, user_id, event_type, value, props)",
+    "orders": f"({LAST_ID + 1}L, {LAST_ID + 1}L, 'O', 0D, timestamp_ntz'2200-01-01', '')"
+    " AS rows(o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)",
+}
 
 
 class Tables:
-    """Adapters over one folder. `stream=True` reads the same tables as streams."""
-
-    def __init__(self, spark: SparkSession, folder: str, stream: bool = False, files_per_trigger: int = 64):
+    """Adapters over one folder. `stream=True` reads the same tables as streams.
+
+    With `ending`, a folder that is empty while a bounded input is read, streams go on with what
+    `end_input` writes there: rows far in the future, which let the watermark pass all others.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        stream: bool = False,
+        files_per_trigger: int = 64,
+        ending: str | None = None,
+    ):
+        self.ending = ending
         # the tables hold UTC times without zone; casts to timestamp follow the session zone
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.folder, self.stream, self.files_per_trigger = spark, folder, stream, files_per_trigger
@@ -27,9 +52,20 @@ class Tables:
         if self.stream:
             reader = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.files_per_trigger)
             # as a pattern, since a stream takes a plain path for a folder and the table may be a file
-            return reader.parquet(f"{folder}/{{{name}.parquet}}")
+            rows = reader.parquet(f"{folder}/{{{name}.parquet}}")
+            if self.ending is None or name not in ENDINGS:
+                return rows
+            return rows.unionByName(self.spark.readStream.schema(schema).parquet(f"{self.ending}/{name}/*.parquet"))
         return self.spark.read.parquet(f"{folder}/{name}.parquet")
 
+    def end_input(self) -> None:
+        """Ends the input of streams that have read it all, by a row for each role a table has."""
+        for name, rows in ENDINGS.items():
+            schema = EVENTS_SCHEMA if name == "events" else ORDERS_SCHEMA
+            self.spark.sql(f"SELECT * FROM VALUES {rows}").to(StructType.fromDDL(schema)).coalesce(1).write.parquet(
+                f"{self.ending}/{name}"
+            )
+
     def events(self) -> DataFrame:
         return self.table("events", EVENTS_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -107,13 +143,13 @@ class Tables:
 
         Every fiftieth order has lost its create event.
         """
-        creates = self.table("orders").filter("o_orderkey % 50 <> 0").select(
+        creates = self.table("orders", ORDERS_SCHEMA).filter("o_orderkey % 50 <> 0").select(
             F.col("o_orderkey").alias("order_id"),
             F.lit("create").alias("event_type"),
             F.col("o_orderdate").cast("timestamp").alias("ts"),
             F.lit(0).alias("seq"),
         )
-        pays = self.table("lineitem").select(
+        pays = self.table("lineitem", LINEITEM_SCHEMA).select(
             F.col("l_orderkey").alias("order_id"),
             F.lit("pay").alias("event_type"),
             F.col("l_shipdate").cast("timestamp").alias("ts"),
@@ -121,23 +157,6 @@ class Tables:
         )
         return creates.unionByName(pays)
 
-    def order_log(self) -> DataFrame:
-        """Order events derived from the orders alone, so that they can be read as a stream.
-
-        The key decides what happened to an order: never created, never paid, or paid between ten
-        days ahead of its create and thirty days after it.
-        """
-        key, created = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
-        delay = F.make_dt_interval(days=(key * 7 % 41 - 10).cast("int"))
-        create = F.when(key % 50 != 0, F.struct(F.lit("create").alias("event_type"), created.alias("ts")))
-        pay = F.when(key % 11 != 0, F.struct(F.lit("pay").alias("event_type"), (created + delay).alias("ts")))
-        return (
-            self.table("orders", ORDERS_SCHEMA)
-            .select(key.alias("order_id"), F.explode(F.array(create, pay)).alias("_e"))
-            .filter("_e IS NOT NULL")
-            .select("order_id", "_e.event_type", "_e.ts")
-        )
-
     def pays(self) -> DataFrame:
         return self._side("click", "pay_id")
 

@@ -144,8 +144,9 @@ class OrderLifecycle(InEventTimeOrder):
         us, _, kind = row
         if state is None:
             return (kind, us)
-        if state[0] == kind:
-            return state
+        if state[0] == kind:  # the later one waits on
+            self.expire(state, found)
+            return (kind, us)
         late = state[0] == "create" and us >= self.deadline(state)
         found.append((PAID_LATE if late else PAID,))
         return None

@@ -42,18 +42,24 @@ def custom_state(spark: SparkSession, processing_time: bool = False):
     return settings(spark, values)
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
-    """Processes what the sources hold now, then stops; a rerun resumes from the checkpoint."""
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+def run_available(writer: DataStreamWriter, checkpoint: str, end_input: Callable[[], None] | None = None) -> None:
+    """Processes what the sources hold now, then stops; a rerun resumes from the checkpoint.
+
+    With `end_input` the stream is ended: that adds the last rows to the sources, and the stream
+    goes on with them, so that its watermark passes everything before.
+    """
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer.start().awaitTermination()
+    if end_input is not None:
+        end_input()
+        writer.start().awaitTermination()
 
 
-def append_available(stream: DataFrame, folder: str) -> DataFrame:
+def append_available(stream: DataFrame, folder: str, end_input: Callable[[], None] | None = None) -> DataFrame:
     """Runs an append-mode stream into a parquet table and returns the table."""
     table = f"{folder}/table"
-    run_available(
-        stream.writeStream.outputMode("append").format("parquet").option("path", table), f"{folder}/checkpoint"
-    )
+    writer = stream.writeStream.outputMode("append").format("parquet").option("path", table)
+    run_available(writer, f"{folder}/checkpoint", end_input)
     return stream.sparkSession.read.schema(stream.schema).parquet(table)
 
 
