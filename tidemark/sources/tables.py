@@ -19,7 +19,7 @@ LAST_ID = 9_000_000_000_000_000
 #: Rows that end an input, by table; no event type shares a user, so they match nothing.
 ENDINGS = {
     "events": ", ".join(
-        f"({LAST_ID + k}L, timestamp_ntz'2200-01-01', {LAST_ID + k}L, '{kind}', 0D, '{{}}')"
+        f"({LAST_ID + k}L, timestamp_ntz'2200-01-01', {LAST_ID + k}L, '{kind}', 0D, '{{\"k\": 0}}')"
         for k, kind in enumerate(("view", "click", "purchase", "error"), 1)
     ) + " AS rows(event_id, ts, user_id, event_type, value, props)",
     "orders": f"({LAST_ID + 1}L, {LAST_ID + 1}L, 'O', 0D, timestamp_ntz'2200-01-01', '')"
