@@ -97,3 +97,11 @@ def test_scratch_folders_are_below_the_named_folder_and_differ(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second and first.startswith(f"{root}/tidemark/x-")
+
+
+def test_lenient_access_log(spark):
+    good = '1.2.3.4 7 - 17/05/2015:10:05:03 +0000 GET /a'
+    lines = spark.createDataFrame([(good,), ("too short",), (good.replace("17/05", "99/99"),), ("",), (None,)], "value string")
+    rows = {row.bad_line: row for row in text.parse_access_log(lines, strict=False).collect()}
+    assert rows.keys() == {None, "too short", good.replace("17/05", "99/99"), ""}
+    assert rows[good.replace("17/05", "99/99")].url == "/a" and rows["too short"].ts is None

@@ -276,6 +276,13 @@ def login_fail_burst(spark: SparkSession, folder: str) -> DataFrame:
     return _micros(bursts, first_us="first_ts", last_us="last_ts")
 
 
+def login_warnings(spark: SparkSession, folder: str) -> DataFrame:
+    """The warning of each burst, which names the span that failures are collected for."""
+    span = f"login fail in {int(LOGIN_SPAN.total_seconds())}s for "
+    message = F.concat(F.lit(span), F.col("fails").cast("string"), F.lit(" times."))
+    return login_fail_burst(spark, folder).select("user_id", "first_us", "last_us", message.alias("msg"))
+
+
 def _login_fail_run(spark: SparkSession, folder: str, times: int, within: timedelta) -> DataFrame:
     runs = patterns.consecutive(
         Tables(spark, folder).logins(),
@@ -383,6 +390,7 @@ REPORTS: dict[str, Report] = {
     "ad_blacklist_alerts": ad_blacklist_alerts,
     "ad_by_province": ad_by_province,
     "login_fail_burst": login_fail_burst,
+    "login_warnings": login_warnings,
     "login_fail_next": login_fail_next,
     "login_fail_consecutive": login_fail_consecutive,
     "order_paid": order_paid,

@@ -242,6 +242,8 @@ STATEMENTS: dict[str, str] = {
         SELECT user_id, ad_id, us, 'click over 1 times today' AS msg FROM ({CLICKS}) WHERE rn = 2""",
     "ad_by_province": sliding(f"SELECT * FROM ({CLICKS}) WHERE rn <= 1", ["province"], 3600, 5),
     "login_fail_burst": BURSTS,
+    "login_warnings": f"""
+        SELECT user_id, first_us, last_us, 'login fail in 7200s for ' || fails || ' times.' AS msg FROM ({BURSTS})""",
     "login_fail_next": fail_run(2, 7_200_000_000),
     "login_fail_consecutive": fail_run(3, DAY_US),
     "order_paid": f"""

@@ -52,12 +52,25 @@ def read_socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
 
 
-def parse_access_log(lines: DataFrame, line: str = "value") -> DataFrame:
-    """`ip`, `user_id`, `ts`, `method`, `url` of access-log lines; the zone field is ignored."""
+def parse_access_log(lines: DataFrame, line: str = "value", strict: bool = True) -> DataFrame:
+    """`ip`, `user_id`, `ts`, `method`, `url` of access-log lines; the zone field is ignored.
+
+    A malformed line is an error. With `strict=False` it gives nulls where it can't be read, and
+    `bad_line` keeps it; that column is null for good lines.
+    """
     parts = F.split(F.col(line), " ")
-    fields = {name: parts[at] for name, at in LOG_FIELDS.items()}
-    fields["ts"] = F.to_timestamp(parts[LOG_TIME_FIELD], LOG_TIME_FORMAT)
-    return lines.select(*(fields[n].alias(n) for n in ("ip", "user_id", "ts", "method", "url")))
+    if strict:
+        fields = {name: parts[at] for name, at in LOG_FIELDS.items()}
+        fields["ts"] = F.to_timestamp(parts[LOG_TIME_FIELD], LOG_TIME_FORMAT)
+    else:
+        fields = {name: F.get(parts, F.lit(at)) for name, at in LOG_FIELDS.items()}
+        fields["ts"] = F.try_to_timestamp(F.get(parts, F.lit(LOG_TIME_FIELD)), F.lit(LOG_TIME_FORMAT))
+        good = fields["ts"].isNotNull()
+        for name in LOG_FIELDS:
+            good = good & fields[name].isNotNull()
+        fields["bad_line"] = F.when(~good, F.col(line))
+    names = ["ip", "user_id", "ts", "method", "url", *([] if strict else ["bad_line"])]
+    return lines.select(*(fields[n].alias(n) for n in names))
 
 
 def not_empty(column: str) -> Column:
