@@ -18,8 +18,10 @@ def _key() -> Column:
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose probability of being toxic is below one half, by a model of the labelled ones."""
     model = toxicity.fit(docs, table(spark, folder, "labels"))
-    scored = toxicity.score(docs.select(F.struct("*").alias("row"), "text"), model, carry=["row"])
-    return scored.filter("score < 0.5").select("row.*")
+    # under names of their own, so that no column clashes with the score; the text is sent once
+    own = {name: "text" if name == "text" else f"_column{at}" for at, name in enumerate(docs.columns)}
+    scored = toxicity.score(docs.select(*(F.col(n).alias(o) for n, o in own.items())), model, carry=list(own.values()))
+    return scored.filter("score < 0.5").select(*(F.col(o).alias(n) for n, o in own.items()))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -47,16 +49,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of every document, and whether decoding them gives its text again."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    rows = docs.select(F.struct("doc_id", "lang", "source", text_or_empty("text").alias("text")).alias("row"), "text")
-    encoded = bpe.encode(rows, path, carry=["row"])
-    decoded = bpe.decode(encoded.select(F.struct("row", "ids").alias("one"), "ids"), path, carry=["one"])
+    # texts are compared by digest, so that tasks hold each text once
+    given = F.sha2(text_or_empty("text"), 256).alias("digest")
+    rows = docs.select(F.struct("doc_id", "lang", "source", given).alias("row"), "text")
+    decoded = bpe.decode(bpe.encode(rows, path, carry=["row"]), path, carry=["row", "ids"])
     return decoded.select(
-        "one.row.doc_id",
-        "one.row.lang",
-        "one.row.source",
-        F.size("one.ids").cast("bigint").alias("n_tokens"),
-        F.col("one.ids").alias("ids"),
-        (F.col("text") == F.col("one.row.text")).alias("round_trip"),
+        "row.doc_id",
+        "row.lang",
+        "row.source",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        (F.sha2("text", 256) == F.col("row.digest")).alias("round_trip"),
     )
 
 

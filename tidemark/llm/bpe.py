@@ -193,13 +193,15 @@ def decode(encoded: DataFrame, path: str, carry: Sequence[str] = ("doc_id",)) ->
     """The columns `carry` and `text`, the decoded `ids`, of each row; null or no ids give an empty text."""
     content = _content(encoded, path)
     names = list(carry)
-    read = encoded.select(*names, F.col("ids").alias("_ids"))
+    # ids that are carried along are read there
+    read = encoded.select(*names) if "ids" in names else encoded.select(*names, F.col("ids").alias("_ids"))
+    at = names.index("ids") if "ids" in names else len(names)
     schema = T.StructType([*encoded.select(*names).schema.fields, T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(content.value)
         for batch in _small(batches):
-            texts = [vocabulary.decode(ids or ()) for ids in batch.column(len(names)).to_pylist()]
+            texts = [vocabulary.decode(ids or ()) for ids in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(texts, pa.string())], [*names, "text"])
 
     return read.mapInArrow(run, schema)

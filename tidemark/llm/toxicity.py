@@ -280,7 +280,9 @@ def score(documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",)
     words and score as such; an empty table gives an empty table. Columns not in `carry` are not read.
     """
     names = list(carry)
-    read = documents.select(*names, text_or_empty("text").alias("_text"))
+    # a text that is carried along is read there
+    read = documents.select(*names) if "text" in names else documents.select(*names, text_or_empty("text").alias("_text"))
+    at = names.index("text") if "text" in names else len(names)
     made = T.StructType.fromDDL(f"score double, segments {SEGMENTS}")
     schema = T.StructType([*documents.select(*names).schema.fields, *made.fields])
 
@@ -289,7 +291,7 @@ def score(documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",)
             for start in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(start, ROWS_AT_ONCE)
                 scores, found = [], []
-                for text in batch.column(len(names)).to_pylist():
+                for text in (text or "" for text in batch.column(at).to_pylist()):
                     words = split_words(text)
                     segments = model.segments(words)
                     scores.append(model.probability(model.evidence(segments, len(words))))
