@@ -17,7 +17,8 @@ def plan_of(spark, name):
 def test_no_report_pairs_everything_or_reads_everything(spark, name):
     plan = plan_of(spark, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    if name != "late_events" and name != "hot_pages_on_time_counts":
+    # these three follow the watermark over the arrivals, by one row for each 65,536 * 65,536 of them
+    if name not in ("late_events", "hot_pages_on_time_counts", "hot_pages_top3"):
         assert "SinglePartition" not in plan
     for columns in re.findall(r"ReadSchema: struct<(.*?)>", plan):
         assert "value" not in columns and "o_totalprice" not in columns and "l_extendedprice" not in columns
