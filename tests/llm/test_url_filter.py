@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.llm import queries, url_filter
@@ -62,3 +63,31 @@ def test_query(spark, tmp_path):
     spark.createDataFrame(list(enumerate(URLS)), "page_id bigint, url string").write.parquet(str(tmp_path / "pages.parquet"))
     rows = {r.page_id: r.verdict for r in queries.op3_url_filter(spark, str(tmp_path)).collect()}
     assert len(rows) == len(URLS) and rows[19] == "block" and rows[21] == "allow"
+
+
+def test_names_are_not_taken_from_pages(spark):
+    names = {*url_filter.BLOCKED_NAMES, *url_filter.ALLOWED_NAMES}
+    host, _ = url_filter.host_and_path(F.col("url"))
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet", "/root/testdata/sf0.1/pages.parquet")
+    labels = {label for row in pages.select(host.alias("host")).distinct().collect() for label in row.host.split(".")}
+    assert labels and not names & labels
+
+
+def test_offset_follows_names_held_out(spark):
+    labelled = url_filter.labelled_urls(spark)
+    host, path = url_filter.host_and_path(F.col("url"))
+    rows = labelled.select("name", host.alias("host"), path.alias("path"), "label").orderBy("host", "path").collect()
+    names = [r.name for r in rows]
+    odds, label = url_filter.held_out([url_filter.ngrams(r.host, r.path) for r in rows], np.array([r.label for r in rows], float), names)
+    assert len(odds) == len(rows)
+
+    def missed(cut):
+        return (odds[label == 0] >= cut).mean(), (odds[label == 1] < cut).mean()
+
+    best = url_filter.threshold(odds, label)
+    assert sum(missed(best)) <= min(sum(missed(cut)) for cut in np.linspace(-3, 3, 61)) + 1e-9
+    clean, spam = missed(best)
+    assert clean < 0.15 and spam < 0.5
+    # what has been learned of one name is not used to judge it
+    once = url_filter.held_out([url_filter.ngrams("a.com", "/")] * 2, np.array([1.0, 0.0]), ["a", "a"])
+    assert len(once[0]) == 0
