@@ -32,8 +32,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each component of near copies: of five-word shingles, 80 % alike or more."""
-    kept = near_dedup.near_groups(docs, words=5, percent=80, carry={"key": _key()}).filter("kept").select("key")
+    """One document of each component of near copies: of five-word shingles, 80 % alike or more.
+
+    No two rows have the same id and text, as these are copies. Of several rows with the least id, or
+    of rows without ids only, one stays.
+    """
+    kept = near_dedup.near_groups(docs, words=5, percent=80, carry={"key": _key()}, chosen=True).filter("chosen").select("key")
     return docs.join(kept.hint("merge"), _key() == F.col("key"), "left_semi")
 
 

@@ -64,3 +64,12 @@ def test_thresholds_follow_the_posterior():
 
 def test_empty_table(spark):
     assert near_dedup.near_groups(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_texts_under_one_id_are_not_paired(spark):
+    rows = [(None if k % 2 else 1, f"text {k // 4}") for k in range(400)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    full = near_dedup.sketches(documents).withColumn("content", F.col("_carried._content"))
+    wanted = full.dropDuplicates(["digest"]).select(F.col("row").alias("id"), "doc_id", "content", "digest")
+    texts = near_dedup._texts(documents, wanted)
+    assert texts.select("id").distinct().count() == 100 and texts.count() == 200

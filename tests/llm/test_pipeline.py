@@ -103,3 +103,18 @@ def test_stages_keep_the_columns(spark, tmp_path):
             docs = stage(spark, docs, str(tmp_path))
             assert docs.columns == COLUMNS
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_one_of_near_copies_under_the_same_or_no_id_stays(spark):
+    def near(name):
+        words = [f"{name}{k}" for k in range(100)]
+        return [" ".join(words[:at] + ["other"] + words[at + 1 :]) for at in (10, 50, 90)]
+
+    same, none, mixed_ids = near("a"), near("b"), near("c")
+    rows = [(7, t) for t in same] + [(None, t) for t in none] + [(None, mixed_ids[0]), (9, mixed_ids[1]), (8, mixed_ids[2])]
+    rows += [(7, "another text of this id"), (None, "another text without id"), (None, " "), (5, None)]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "").collect()
+    found = [tuple(row) for row in kept]
+    assert len([r for r in found if r[1] in same]) == len([r for r in found if r[1] in none]) == 1
+    assert [r for r in found if r[1] in mixed_ids] == [(8, mixed_ids[2])]
+    assert len(found) == 3 + 4

@@ -105,9 +105,10 @@ def least_matches(percent: int = PERCENT, miss: float = MISS) -> list[int]:
 def sketches(documents: DataFrame, words: int = SHINGLE, carry: Mapping[str, Column] | None = None) -> DataFrame:
     """(row, doc_id, shingles, digest, bands, _carried) of each row: the set's size, its SHA-256, and its band keys.
 
-    Without words, the set is empty and digest and bands are null. Written, so `row` stays what it is.
+    Without words, the set is empty and digest and bands are null. `_carried` holds a hash of the text
+    besides the columns of `carry`. Written, so `row` stays what it is.
     """
-    carried = F.struct(F.lit(0).alias("_none"), *(column.alias(name) for name, column in (carry or {}).items()))
+    carried = F.struct(F.xxhash64("text").alias("_content"), *(column.alias(name) for name, column in (carry or {}).items()))
     read = documents.select("doc_id", F.col("text").alias("_text"), carried.alias("_carried"))
     made = T.StructType.fromDDL("shingles bigint, digest binary, bands array<bigint>")
     schema = T.StructType([read.schema["doc_id"], read.schema["_carried"], *made.fields])
@@ -139,9 +140,9 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def _sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(id, set) of the classes `wanted` (id, doc_id, digest), out of the texts that they come from.
+    """(id, set) of the classes `wanted` (id, doc_id, content, digest), out of the texts that they come from.
 
-    Another text under the same doc_id has another digest.
+    Another text with the same doc_id and hash has another digest.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,13 +156,22 @@ def _sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 raw = [s.tobytes() for s, o in zip(sets, own, strict=True) if o]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary())], ["id", "set"])
 
-    # by sorted partitions at any size, so the plan at a small size is that at a large one
-    picked = wanted.select("id", "digest", F.col("doc_id").alias("_doc")).hint("merge")
-    texts = documents.select("doc_id", F.col("text").alias("_text")).join(picked, F.col("doc_id").eqNullSafe(F.col("_doc")))
-    made = texts.select("id", "digest", "_text").mapInArrow(run, "id bigint, set binary")
+    made = _texts(documents, wanted).mapInArrow(run, "id bigint, set binary")
     return written(made.dropDuplicates(["id"]), "near-sets")
 
 
+def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, digest, _text): the rows with the doc_id, which may be null or repeat, and the text of a class wanted.
+
+    A row meets one class, but where hashes of texts collide.
+    """
+    # by sorted partitions at any size, so the plan at a small size is that at a large one
+    picked = wanted.select("id", "digest", F.col("doc_id").alias("_doc"), F.col("content").alias("_of")).hint("merge")
+    texts = documents.select("doc_id", F.col("text").alias("_text"), F.xxhash64("text").alias("_content"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_content") == F.col("_of"))
+    return texts.join(picked, same).select("id", "digest", "_text")
+
+
 def _links(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that join what is not joined, of each unit of rows (unit, id, group, left, right).
 
@@ -219,6 +229,7 @@ def near_groups(
     percent: int = PERCENT,
     block: int = BLOCK,
     carry: Mapping[str, Column] | None = None,
+    chosen: bool = False,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) and the columns of `carry`, for each row of (doc_id, text).
 
@@ -232,13 +243,19 @@ def near_groups(
     `component_id` is the least doc_id that links lead to, itself included, and a row is kept if its
     own doc_id is that. Null doc_ids count for nothing; in a component of nothing else it is null.
     Null and empty texts, and those of white space, have no shingles and are linked with nothing. Rows
-    that repeat a doc_id are documents of their own, all kept if the id is the least. An empty table
-    gives an empty table. Other columns are not read.
+    that repeat a doc_id are documents of their own, all kept if the id is the least. With `chosen`, a
+    column of that name is true for one row of each component, one with the least doc_id, and for each
+    row without shingles. An empty table gives an empty table. Other columns are not read.
     """
     rows = sketches(documents, words, carry)
     full = rows.filter("digest IS NOT NULL")
     classes = written(
-        full.groupBy("digest").agg(F.min("row").alias("id"), F.min("doc_id").alias("least")), "near-classes"
+        full.groupBy("digest").agg(
+            F.min("row").alias("id"),
+            F.min("doc_id").alias("least"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"),
+        ),
+        "near-classes",
     )
     first = full.join(classes.select(F.col("id").alias("_id")).hint("merge"), F.col("row") == F.col("_id"), "left_semi")
     banded = written(first.select(F.col("row").alias("id"), F.explode("bands").alias("band")), "near-bands")
@@ -251,7 +268,7 @@ def near_groups(
         components(members.select(F.col("id").alias("a"), F.col("low").alias("b")), "near-families"), "near-families"
     ).toDF("id", "family")
     wanted = full.join(families.select(F.col("id").alias("_id")).hint("merge"), F.col("row") == F.col("_id"), "left_semi")
-    sets = _sets(documents, wanted.select(F.col("row").alias("id"), "doc_id", "digest"), words)
+    sets = _sets(documents, wanted.select(F.col("row").alias("id"), "doc_id", F.col("_carried._content").alias("content"), "digest"), words)
 
     sizes = families.groupBy(F.col("family").alias("_family")).agg(F.count(F.lit(1)).alias("size"))
     sized = written(
@@ -265,13 +282,15 @@ def near_groups(
         links = links.union(_links_of_large(large, members, sets, percent, block))
     linked = components(links, "near-components")
     resolved = classes.join(linked.hint("merge"), F.col("id") == F.col("node"), "left").select(
-        "digest", "least", F.coalesce("component", "id").alias("component")
+        "digest", "least", "first", F.coalesce("component", "id").alias("component")
     )
     named = written(resolved, "near-resolved")
-    names = named.groupBy(F.col("component").alias("_component")).agg(F.min("least").alias("component_id"))
+    names = named.groupBy(F.col("component").alias("_component")).agg(
+        F.min("least").alias("component_id"), F.min("first").alias("first")
+    )
     of_digest = written(
-        named.join(names.hint("merge"), F.col("component") == F.col("_component")).select(
-            F.col("digest").alias("_digest"), "component_id"
+        named.drop("first").join(names.hint("merge"), F.col("component") == F.col("_component")).select(
+            F.col("digest").alias("_digest"), "component_id", F.col("first.row").alias("_first")
         ),
         "near-names",
     )
@@ -284,6 +303,7 @@ def near_groups(
             F.col("shingles").alias("n_shingles"),
             component.alias("component_id"),
             F.col("doc_id").eqNullSafe(component).alias("kept"),
+            *([F.coalesce(F.col("row") == F.col("_first"), F.lit(True)).alias("chosen")] if chosen else []),
             *(F.col(f"_carried.{name}") for name in carry or {}),
         )
     )
