@@ -54,3 +54,14 @@ def test_fewer_candidates_than_asked(spark):
 def test_empty_table(spark):
     vectors = vptree.usable(spark.createDataFrame([], SCHEMA))
     assert vptree.search(vptree.index(vectors), vectors, 20).collect() == []
+
+
+@pytest.mark.parametrize("shard_rows", [100, 10**6])
+def test_ties_of_different_vectors_go_by_id(spark, shard_rows, monkeypatch):
+    monkeypatch.setattr(vptree, "LEAF", 16)
+    rng = random.Random(4)
+    rows = [(k, [float(rng.choice([-1, 0, 1])) for _ in range(8)]) for k in range(600)]  # few values of products, many vectors
+    rows = [(k, v) for k, v in rows if any(v)] + [(600, [1.0] + [0.0] * 7)]
+    vectors = vptree.usable(spark.createDataFrame(rows, SCHEMA))
+    found = vptree.search(vptree.index(vectors, shard_rows), vectors.filter("vec_id % 20 = 0"), 20)
+    assert sorted(map(tuple, found.collect())) == plain(rows, [i for i, _ in rows if i % 20 == 0], 20)

@@ -19,6 +19,8 @@ LEAF = 128
 FACTOR = 1.0
 #: Distinct vectors kept beyond what is asked for, until scores are added up in their final order.
 SPARE = 4
+#: Scores this close, as a part of the squared norms, may be ties that rounding has parted.
+ROUNDING = 1e-7
 
 
 def usable(vectors: DataFrame, name: str = "embedding") -> DataFrame:
@@ -129,7 +131,11 @@ class Tree:
             return cls(dict(arrays))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> Iterator[tuple[int, int, float]]:
-        """(query id, id, score) of the k best of this shard for each query, its own id left out."""
+        """(query id, id, score) of the k best of this shard for each query, its own id left out.
+
+        Where the worst kept is within rounding of the k-th, others that tie may be missing, and the
+        query is compared with all vectors of the shard.
+        """
         keep = min(k + 1 + SPARE, len(self.vectors))
         best = np.full((len(queries), keep), -np.inf)
         where = np.zeros((len(queries), keep), np.int64)
@@ -166,7 +172,19 @@ class Tree:
                 owner = self.owners[place]
                 same = self.ids[self.firsts[owner] : min(self.firsts[owner + 1], self.firsts[owner] + k + 1)]
                 found += [(-score, i) for i in same.tolist() if i != query_ids[q]]
-            yield from ((query_ids[q], i, -score) for score, i in sorted(found)[:k])
+            found = sorted(found)[:k]
+            if found and keep < len(self.vectors) and best[q].min() >= -found[-1][0] - ROUNDING * norms[q]:
+                found = self._all(query_ids[q], queries[q], k)
+            yield from ((query_ids[q], i, -score) for score, i in found)
+
+    def _all(self, query_id: int, query: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """(negative score, id) of the k best of all vectors, by score and id."""
+        by_owner = np.empty(len(self.vectors))
+        by_owner[self.owners] = products(query, self.vectors)
+        scores = np.repeat(by_owner, np.diff(self.firsts))
+        others = np.flatnonzero(self.ids != query_id)
+        best = others[np.lexsort((self.ids[others], -scores[others]))[:k]]
+        return [(-float(scores[i]), int(self.ids[i])) for i in best]
 
 
 def products(query: np.ndarray, vectors: np.ndarray) -> list[float]:
