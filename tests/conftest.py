@@ -1,12 +1,14 @@
 import os
 import sys
-from datetime import datetime, timedelta, timezone
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import SparkSession
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+TESTS = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(TESTS), TESTS]
+
+from times import START  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -27,9 +29,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-START = datetime(2024, 1, 1, tzinfo=timezone.utc)
-
-
 @pytest.fixture
 def events(spark):
     """Builds a DataFrame from dicts whose `ts` is in seconds after the start."""
@@ -45,10 +44,3 @@ def events(spark):
         return spark.createDataFrame(data, schema)
 
     return build
-
-
-def seconds(value) -> float:
-    """Seconds after the start of a collected timestamp."""
-    if value.tzinfo is None:
-        value = value.astimezone(timezone.utc)
-    return (value - START).total_seconds()

@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 from datetime import timedelta
 
 import pytest
-from conftest import seconds
+from times import seconds
 from pyspark.sql import functions as F
 
 from tidemark.operators import clickcap, joins, patterns
@@ -305,3 +305,10 @@ def test_match_range_includes_both_ends(events, receipt, outcome):
     rows = joins.match_one_to_one(*args, 3 * SECOND, 5 * SECOND, "id", "id").collect()
     assert {r.outcome for r in rows} == ({"matched"} if outcome == "matched" else {"unmatched_pay", "unmatched_receipt"})
     assert joins.interval_join(*args, -3 * SECOND, 5 * SECOND).count() == (outcome == "matched")
+
+
+def test_orders_that_lost_their_create(events):
+    schema = "order_id string, event_type string, ts timestamp"
+    rows = [("lost", "pay", 10), ("whole", "create", 0), ("whole", "pay", 10), ("unpaid", "create", 5), (None, "pay", 1)]
+    found = order_outcomes(events([dict(zip(("order_id", "event_type", "ts"), r)) for r in rows], schema), 900 * SECOND, 3 * SECOND)
+    assert {(r.order_id, r.outcome) for r in found.collect()} == {("lost", NO_CREATE), ("whole", PAID), ("unpaid", TIMED_OUT)}

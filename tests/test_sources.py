@@ -7,6 +7,7 @@ from tidemark.functions.eventtime import next_midnight
 from tidemark.functions.hashing import rolling_offset
 from tidemark.runtime import scratch_dir
 from tidemark.sources import kafka, schemas, text
+from tidemark.sources.tables import Tables
 
 LOGINS = "5402,83.149.11.115,success,1558430815\n23064,66.249.3.15,fail,1558430826\n"
 ORDERS = "34729,create,,1558430842\n34729,pay,sd76f87d6,1558430844\n"
@@ -105,3 +106,9 @@ def test_lenient_access_log(spark):
     rows = {row.bad_line: row for row in text.parse_access_log(lines, strict=False).collect()}
     assert rows.keys() == {None, "too short", good.replace("17/05", "99/99"), ""}
     assert rows[good.replace("17/05", "99/99")].url == "/a" and rows["too short"].ts is None
+
+
+def test_every_order_has_its_create(spark):
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    kinds = {r.event_type: r["count"] for r in tables.order_events().groupBy("event_type").count().collect()}
+    assert kinds == {"create": tables.table("orders").count(), "pay": tables.table("lineitem").count()}

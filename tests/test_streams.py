@@ -4,7 +4,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from conftest import START, seconds
+from times import START, seconds
 from pyspark.sql import functions as F
 
 from tidemark.operators import joins, ranking, visitors, windows

@@ -3,7 +3,7 @@ from collections import Counter
 from datetime import timedelta
 
 import pytest
-from conftest import seconds
+from times import seconds
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates, lateness, ranking, visitors, windows

@@ -139,11 +139,8 @@ class Tables:
         return self.events().select("event_id", "user_id", outcome.alias("event_type"), "ts")
 
     def order_events(self) -> DataFrame:
-        """Orders as create events, all their shipments as pay events.
-
-        Every fiftieth order has lost its create event.
-        """
-        creates = self.table("orders", ORDERS_SCHEMA).filter("o_orderkey % 50 <> 0").select(
+        """Orders as create events, all their shipments as pay events."""
+        creates = self.table("orders", ORDERS_SCHEMA).select(
             F.col("o_orderkey").alias("order_id"),
             F.lit("create").alias("event_type"),
             F.col("o_orderdate").cast("timestamp").alias("ts"),
