@@ -14,6 +14,6 @@ def test_query_matches_statement(spark, name):
 
 
 def test_all_are_registered():
-    assert [int(name[2:].split("_")[0]) for name in queries.REPORTS] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in queries.REPORTS] == list(range(1, 14))
     assert {*queries.REPORTS, "pipeline"} <= entry.queries().keys()
     assert queries.STATEMENTS.items() <= entry.oracle_sql().items()

@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, preference, secret_scan, toxicity, url_filter, vptree, warc
-from tidemark.llm.common import table, text_or_empty
+from tidemark.llm import (
+    bpe,
+    exact_dedup,
+    fill_in_middle,
+    language_id,
+    merkle,
+    mixing,
+    near_dedup,
+    preference,
+    secret_scan,
+    toxicity,
+    url_filter,
+    vptree,
+    warc,
+)
+from tidemark.llm.common import table, text_or_empty, written
 from tidemark.llm.statements import STATEMENTS  # noqa: F401
 from tidemark.runtime import scratch_dir
 
@@ -128,6 +144,46 @@ def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The Merkle manifest of all documents by language, checked against texts that were tampered with."""
+    documents = table(spark, folder, "documents")
+    values = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    leaves = documents.select(
+        F.col("lang").alias("grp"),
+        F.col("doc_id").cast("bigint").alias("id"),
+        merkle.leaf([*values, "text"]).alias("digest"),
+        F.when(tampered, merkle.leaf([*values, lowered])).alias("changed"),
+    )
+    manifest = merkle.build(written(leaves, "leaves"))
+    folded = merkle.fold(F.coalesce("changed", "digest"))
+    shown = merkle.proofs(manifest).select(
+        F.col("id").alias("doc_id"),
+        F.col("digest").alias("leaf"),
+        "subroot",
+        F.lit(manifest.root).cast("string").alias("root"),
+        F.sha2(merkle.joined_siblings(), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    )
+    return shown.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document."""
+    documents = table(spark, folder, "documents")
+    predicted = language_id.predict(documents, language_id.fit(documents))
+    return predicted.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in a form with its middle last, and its text again."""
+    cut = fill_in_middle.transform(table(spark, folder, "documents"))
+    facts = F.struct("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"))
+    again = fill_in_middle.restore(cut.select(facts.alias("row"), "form", "output"), carry=["row"])
+    return again.select("row.*", F.sha2("text", 256).alias("restored_sha256"))
+
+
 REPORTS = {
     "op1_preference": op1_preference,
     "op2_secrets": op2_secrets,
@@ -139,4 +195,7 @@ REPORTS = {
     "op8_near_dedup": op8_near_dedup,
     "op9_nearest": op9_nearest,
     "op10_mix": op10_mix,
+    "op11_manifest": op11_manifest,
+    "op12_language": op12_language,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }

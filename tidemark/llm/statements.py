@@ -138,9 +138,104 @@ SELECT doc_id, size, source_size, target,
 FROM goals
 """
 
+_H = [f"('0x' || substr(hexes, {8 * k + 1}, 8))::UBIGINT" for k in range(4)]
+
+FILL_IN_MIDDLE = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS hexes FROM documents
+), cut AS (
+  SELECT doc_id, text, {_H[0]} AS h1, {_H[1]} AS h2, {_H[2]} AS h3, {_H[3]} AS h4,
+    CASE WHEN text = '' THEN [] WHEN text LIKE '%' || chr(10) THEN list_transform(string_split(text, chr(10))[:-2], lambda l: l || chr(10))
+    ELSE list_concat(list_transform(string_split(text, chr(10))[:-2], lambda l: l || chr(10)), [string_split(text, chr(10))[-1]]) END AS lines
+  FROM texts
+), placed AS (
+  SELECT *, len(lines)::BIGINT AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a, greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b
+  FROM cut
+), parts AS (
+  SELECT *, coalesce(array_to_string(lines[1:a::BIGINT], ''), '') AS prefix,
+    coalesce(array_to_string(lines[a::BIGINT + 1:b::BIGINT], ''), '') AS middle,
+    coalesce(array_to_string(lines[b::BIGINT + 1:n], ''), '') AS suffix,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM placed
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def _manifest(levels: int = 8, levels_of_groups: int = 4) -> str:
+    """The manifest of at most 8^levels documents of each of at most 8^levels_of_groups languages."""
+
+    def framed(value: str) -> str:
+        return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(framed(v) for v in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    def joined(over: str) -> str:
+        return f"coalesce(string_agg(h, '') OVER (PARTITION BY grp, p // 8 ORDER BY p ROWS BETWEEN {over}), '')"
+
+    def tree(name: str, leaves: str, height: int) -> list[str]:
+        """Nodes of each level with their siblings, then for each leaf its siblings of all levels."""
+        parts = [f"{name}0 AS ({leaves})"]
+        for k in range(height):
+            parts.append(
+                f"{name}{k + 1} AS (SELECT grp, p // 8 AS p, CASE WHEN n = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY p)) END AS h,"
+                f" (n + 7) // 8 AS n FROM {name}{k} GROUP BY grp, p // 8, n)"
+            )
+            parts.append(
+                f"{name}_beside{k} AS (SELECT grp, p, n, {joined('UNBOUNDED PRECEDING AND 1 PRECEDING')} AS l,"
+                f" {joined('1 FOLLOWING AND UNBOUNDED FOLLOWING')} AS r FROM {name}{k})"
+            )
+        return parts
+
+    def path(name: str, at: str, group: str, height: int) -> str:
+        return " ".join(
+            f"JOIN {name}_beside{k} {name}s{k} ON {name}s{k}.grp IS NOT DISTINCT FROM {group} AND {name}s{k}.p = {at} // {8**k}" for k in range(height)
+        )
+
+    steps = [*(f"ls{k}" for k in range(levels)), *(f"ts{k}" for k in range(levels_of_groups))]
+    folds, own = [], "folded"
+    for number, step in enumerate(steps):
+        source = "placed" if number == 0 else f"fold{number - 1}"
+        folds.append(
+            f"fold{number} AS (SELECT * REPLACE (CASE WHEN {step}_n = 1 THEN folded ELSE sha256({step}_l || {own} || {step}_r) END AS folded) FROM {source})"
+        )
+    beside = ", ".join(f"{s}.n AS {s}_n, {s}.l AS {s}_l, {s}.r AS {s}_r" for s in steps)
+    # the CRC's table of 256 entries by eight steps of one bit each, then one lookup for each byte
+    bit = "list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    crc = "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ord(d)::BIGINT)), lambda c, b: xor(c >> 8, crc[1 + (xor(c, b) & 255)])), 4294967295)"
+    lowered = f"translate(text, '{''.join(map(chr, range(65, 91)))}', '{''.join(map(chr, range(97, 123)))}')"
+    ctes = [
+        f"crcs AS (SELECT list(v ORDER BY i) AS crc FROM (SELECT i, {bit} AS v FROM (SELECT unnest(range(256)) AS i)))",
+        f"leaves AS (SELECT doc_id, lang, {leaf('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(lowered)} END AS changed FROM documents, crcs)",
+        "numbered AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS spot, count(*) OVER (PARTITION BY lang) AS n FROM leaves)",
+        *tree("l", "SELECT lang AS grp, spot AS p, leaf AS h, n FROM numbered", levels),
+        f"subroots AS (SELECT grp AS lang, h AS subroot, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM l{levels})",
+        *tree("t", "SELECT 0 AS grp, place AS p, subroot AS h, n FROM subroots", levels_of_groups),
+        "placed AS (SELECT numbered.doc_id, numbered.leaf, subroots.subroot, coalesce(numbered.changed, numbered.leaf) AS folded, "
+        f"(SELECT h FROM t{levels_of_groups}) AS root, {beside} FROM numbered JOIN subroots ON subroots.lang IS NOT DISTINCT FROM numbered.lang"
+        f" {path('l', 'numbered.spot', 'numbered.lang', levels)} {path('t', 'subroots.place', '0', levels_of_groups)})",
+        *folds,
+    ]
+    proof = " || ".join(f"{s}_l || {s}_r" for s in steps)
+    return (
+        f"WITH {', '.join(ctes)} SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, folded AS folded_root,"
+        f" folded = root AS verified FROM fold{len(steps) - 1}"
+    )
+
+
 STATEMENTS = {
     "op1_preference": PREFERENCE,
     "op2_secrets": _secrets(),
     "op7_exact_dedup": EXACT_DEDUP,
     "op10_mix": MIX,
+    "op11_manifest": _manifest(),
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
 }
