@@ -111,21 +111,95 @@ def test_interval_join(source):
     assert as_set(found, "left_pay_id", "right_receipt_id") == as_set(expected, "left_pay_id", "right_receipt_id")
 
 
-def test_matched_or_alone(source):
+def test_matched_or_alone(spark, source):
     batch, stream, folder = source
-    found = append_available(
-        pipelines.matched_or_alone(*split_sides(stream), "tx_id", 30 * SECOND, 50 * SECOND, DISORDER * SECOND), folder
-    )
-    pairs = as_set(
-        joins.interval_join(*split_sides(on_time(batch)), "tx_id", -30 * SECOND, 50 * SECOND),
-        "left_pay_id",
-        "right_receipt_id",
-    )
-    pays, receipts = (as_set(on_time(b.withColumn("user_id", F.col("tx_id"))), b.columns[1]) for b in split_sides(batch))
-    expected = {("matched", *p) for p in pairs}
-    expected |= {("unmatched_pay", p, None) for (p,) in pays if p not in {a for a, _ in pairs}}
-    expected |= {("unmatched_receipt", None, r) for (r,) in receipts if r not in {b for _, b in pairs}}
-    assert as_set(found.filter("tx_id >= 0"), "outcome", "pay_id", "receipt_id") == expected
+    wait = ("tx_id", 30 * SECOND, 50 * SECOND)
+    with custom_state(spark):
+        found = append_available(pipelines.matched_or_alone(*split_sides(stream), *wait, DISORDER * SECOND), folder)
+    expected = joins.match_one_to_one(*split_sides(on_time(batch)), *wait, "pay_id", "receipt_id")
+    columns = ("outcome", "tx_id", "pay_id", "receipt_id", "pay_ts", "receipt_ts")
+    assert found.filter("tx_id >= 0").count() == expected.count()
+    assert as_set(found.filter("tx_id >= 0"), *columns) == as_set(expected, *columns)
+    assert expected.filter("outcome = 'matched'").count() > 10
+
+
+class Handle:
+    """Processor state in memory, which counts the rows read from map state."""
+
+    def __init__(self):
+        self.read, self.timers = 0, set()
+
+    def getMapState(self, *_):  # noqa: N802
+        return Values(self)
+
+    def getValueState(self, *_):  # noqa: N802
+        return Values(self)
+
+    def registerTimer(self, ms):  # noqa: N802
+        self.timers.add(ms)
+
+
+class Values:
+    def __init__(self, handle):
+        self.handle, self.values = handle, {}
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.values[key] = value
+
+    def getValue(self, key):  # noqa: N802
+        self.handle.read += len(self.values[key][0])
+        return self.values[key]
+
+    def removeKey(self, key):  # noqa: N802
+        del self.values[key]
+
+    def exists(self):
+        return bool(self.values)
+
+    def get(self):
+        return self.values[None]
+
+    def update(self, value):
+        self.values[None] = value
+
+    def clear(self):
+        self.values = {}
+
+
+class Times:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.ms
+
+
+@pytest.mark.parametrize("wait_s", [1, 400, 90_000])
+def test_waiting_rows_are_read_a_few_times_each(wait_s):
+    """4,000 rows, four or more batches a second or a day apart, arriving up to `wait_s` before they are due."""
+
+    class Seen(processors.InEventTimeOrder):
+        row_schema, state_schema, output_schema = "us bigint, seq bigint", "n bigint", "us bigint, seq bigint"
+
+        def advance(self, state, row, found):
+            found.append(row)
+
+        deadline = expire = None
+
+    rng, handle, seen, count = random.Random(1), Handle(), [], 4000
+    processor = Seen()
+    processor.init(handle)
+    rows = [(1_700_000_000_000_000 + i * wait_s * 2500 + rng.randrange(wait_s * 10**6), i) for i in range(count)]
+    batches = [rows[k : k + 10] for k in range(0, count, 10)] + [[]]
+    watermark = 0
+    for batch in batches:
+        processor.handleInputRows(("k",), iter([{"us": us, "seq": i} for us, i in batch]), Times(watermark))
+        watermark = max(watermark, (max(us for us, _ in batch) // 1000 - wait_s * 1000) if batch else 2**42)
+        for ms in sorted(t for t in handle.timers if t <= watermark):
+            handle.timers.discard(ms)
+            seen += [(r.us, r.seq) for r in processor.handleExpiredTimer(("k",), Times(watermark), None)]
+    assert seen == sorted(rows) and not handle.timers
+    assert handle.read <= 5 * count
 
 
 def run_in_order(spark, stream, columns, processor, folder):

@@ -275,13 +275,7 @@ STATEMENTS |= {
     "stream_uv": STATEMENTS["uv_exact"],
     "stream_uv_running": STATEMENTS["uv_exact"],
     "stream_interval_join": STATEMENTS["pay_receipt_interval_join"],
-    "stream_pay_receipt": f"""
-        WITH {SIDES}
-        SELECT 'matched' AS outcome, {HIT_COLUMNS} FROM pairs
-        UNION ALL SELECT 'unmatched_pay', tx_id, pay_id, NULL, pay_us, NULL FROM pays
-        WHERE pay_id NOT IN (SELECT pay_id FROM pairs)
-        UNION ALL SELECT 'unmatched_receipt', tx_id, NULL, receipt_id, NULL, receipt_us FROM receipts
-        WHERE receipt_id NOT IN (SELECT receipt_id FROM pairs)""",
+    "stream_pay_receipt": STATEMENTS["pay_receipt_match"],
     "stream_login_fail": BURSTS,
     "stream_login_fail_next": fail_run(2, 7_200_000_000),
     "stream_order_timeouts": f"""

@@ -12,7 +12,7 @@ from tidemark.operators import ranking, windows
 from tidemark.plans import batch
 from tidemark.plans.batch import HOUR, SECOND, Report
 from tidemark.runtime import scratch_dir
-from tidemark.sources.tables import Tables
+from tidemark.sources.tables import LAST_ID, Tables
 from tidemark.streaming import pipelines, processors
 from tidemark.streaming.sinks import append_available, custom_state
 
@@ -145,18 +145,21 @@ def stream_interval_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_pay_receipt(spark: SparkSession, folder: str) -> DataFrame:
     tables = _bounded(spark, folder)
-    rows = pipelines.matched_or_alone(
-        tables.pays(), tables.receipts(), "tx_id", batch.RECEIPT_EARLY, batch.RECEIPT_LATE, DISORDER
-    )
-    shown = rows.select(
-        "outcome",
-        "tx_id",
-        "pay_id",
-        "receipt_id",
-        F.unix_micros("pay_ts").alias("pay_us"),
-        F.unix_micros("receipt_ts").alias("receipt_us"),
-    )
-    return append_available(shown, scratch_dir(spark, "pay-receipt"), tables.end_input)
+    with custom_state(spark):
+        rows = pipelines.matched_or_alone(
+            tables.pays(), tables.receipts(), "tx_id", batch.RECEIPT_EARLY, batch.RECEIPT_LATE, DISORDER
+        )
+        shown = rows.select(
+            "outcome",
+            "tx_id",
+            "pay_id",
+            "receipt_id",
+            F.unix_micros("pay_ts").alias("pay_us"),
+            F.unix_micros("receipt_ts").alias("receipt_us"),
+        )
+        # the rows that end the input match nothing and are none of the table's
+        ended = shown.filter(F.col("tx_id") < LAST_ID)
+        return append_available(ended, scratch_dir(spark, "pay-receipt"), tables.end_input)
 
 
 def stream_login_fail(spark: SparkSession, folder: str) -> DataFrame:

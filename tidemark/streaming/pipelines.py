@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.eventtime import as_interval, as_micros
 from tidemark.operators import lateness, ranking, windows
 from tidemark.operators.joins import interval_join
+from tidemark.streaming.processors import OneToOne, process_in_order
 from tidemark.streaming.sinks import BatchLog, each_batch
 
 
@@ -185,35 +186,24 @@ def joined_in_range(
 def matched_or_alone(
     pays: DataFrame, receipts: DataFrame, key: str, early: timedelta, late: timedelta, disorder: timedelta
 ) -> DataFrame:
-    """Pairs in range, and rows of either side whose time for a partner has run out.
+    """The one-to-one match of the batch, as the stream goes on; to be started with `custom_state`.
 
-    `outcome` tells the three apart. With one pay and one receipt per key this is the one-to-one
-    match; repeated keys pair with all their partners.
+    Both inputs are one stream of events, told apart by a flag and read in time order per key, pays
+    first at equal times, then by id. A row that is left alone is given once its time has run out.
     """
-    delay = as_interval(disorder)
-    p = pays.withWatermark("ts", delay).select(F.col(key).alias("_pk"), "pay_id", F.col("ts").alias("pay_ts"))
-    r = receipts.withWatermark("ts", delay).select(
-        F.col(key).alias("_rk"), "receipt_id", F.col("ts").alias("receipt_ts")
-    )
-    joined = p.join(
-        r,
-        (F.col("_pk") == F.col("_rk"))
-        & (F.col("receipt_ts") >= F.col("pay_ts") - F.lit(early))
-        & (F.col("receipt_ts") <= F.col("pay_ts") + F.lit(late)),
-        "full_outer",
-    )
-    outcome = (
-        F.when(F.col("receipt_id").isNull(), "unmatched_pay")
-        .when(F.col("pay_id").isNull(), "unmatched_receipt")
-        .otherwise("matched")
+    side = lambda df, receipt, name: df.select(
+        key, "ts", F.lit(receipt).alias("receipt"), F.col(name).cast("bigint").alias("id")
     )
-    return joined.select(
-        outcome.alias("outcome"),
-        F.coalesce("_pk", "_rk").alias(key),
+    events = side(pays, False, "pay_id").unionByName(side(receipts, True, "receipt_id"))
+    columns = {name: F.col(name) for name in ("receipt", "id")}
+    found = process_in_order(events, key, columns, OneToOne(early, late), as_interval(disorder))
+    return found.select(
+        "outcome",
+        key,
         "pay_id",
         "receipt_id",
-        "pay_ts",
-        "receipt_ts",
+        F.timestamp_micros("pay_us").alias("pay_ts"),
+        F.timestamp_micros("receipt_us").alias("receipt_ts"),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from abc import abstractmethod
+from collections import deque
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from itertools import islice
@@ -14,8 +15,76 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidemark.functions.eventtime import as_micros
 from tidemark.operators.lifecycle import NO_CREATE, PAID, PAID_LATE, TIMED_OUT
 
-# Rows handed to the state store at a time.
-APPEND_ROWS = 1000
+# Rows that one entry of the state store holds at most.
+ENTRY_ROWS = 1000
+# Microseconds of the finest bucket of waiting rows; the buckets of each further level are so many times as wide.
+FINEST_US, WIDER = 1 << 16, 64
+
+
+class WaitingRows:
+    """A key's rows until their time has come, in map state by buckets of time.
+
+    A timing wheel of several levels: a row waits in a bucket that is the wider the further its time is
+    off. A bucket is read when its beginning has come; rows that are not due yet go to finer buckets, so
+    a row is read once for each level at most, however many rows wait and however often time moves on.
+    Time moves in steps of the finest bucket.
+    """
+
+    def __init__(self, handle: StatefulProcessorHandle, row_schema: str):
+        columns = ", ".join(f"{name} array<{kind}>" for name, kind in (field.split() for field in row_schema.split(",")))
+        self._rows = handle.getMapState("waiting", "level bigint, bucket bigint, part bigint", columns)
+        self._buckets = handle.getValueState("buckets", "level array<bigint>, bucket array<bigint>, parts array<bigint>")
+
+    def add(self, rows: Iterator[tuple], now: int) -> set[int]:
+        """The times at which buckets that were not there before are to be read."""
+        parts, wake = self._parts(), set()
+        while fresh := list(islice(rows, ENTRY_ROWS)):
+            places: dict[tuple[int, int], list[tuple]] = {}
+            for row in fresh:
+                places.setdefault(_bucket(row[0], now), []).append(row)
+            for place, found in places.items():
+                if place not in parts:
+                    wake.add(_begin(*place) + FINEST_US)
+                number = parts[place] = parts.get(place, 0) + 1
+                self._rows.updateValue((*place, number), tuple(map(list, zip(*found, strict=True))))
+        if wake or parts:
+            self._buckets.update(tuple(map(list, zip(*((*place, n) for place, n in parts.items()), strict=True))))
+        return wake
+
+    def due(self, now: int) -> tuple[list[tuple], set[int]]:
+        """The rows before `now` in order, and the times at which buckets that are new are to be read."""
+        parts, ready, rest = self._parts(), [], []
+        begun = [place for place in parts if _begin(*place) < now]
+        for place in begun:
+            for number in range(1, parts.pop(place) + 1):
+                key = (*place, number)
+                for row in zip(*self._rows.getValue(key), strict=True):
+                    (ready if row[0] < now else rest).append(row)
+                self._rows.removeKey(key)
+        if not begun:
+            return [], set()
+        if parts:
+            self._buckets.update(tuple(map(list, zip(*((*place, n) for place, n in parts.items()), strict=True))))
+        else:
+            self._buckets.clear()
+        return sorted(ready), self.add(iter(rest), now) if rest else set()
+
+    def _parts(self) -> dict[tuple[int, int], int]:
+        if not self._buckets.exists():
+            return {}
+        return {(level, bucket): n for level, bucket, n in zip(*self._buckets.get(), strict=True)}
+
+
+def _bucket(us: int, now: int) -> tuple[int, int]:
+    """The level and number of the bucket in which a row waits."""
+    level, width = 0, FINEST_US
+    while us - now >= width * WIDER:
+        level, width = level + 1, width * WIDER
+    return level, us // width
+
+
+def _begin(level: int, bucket: int) -> int:
+    return bucket * FINEST_US * WIDER**level
 
 
 class InEventTimeOrder(StatefulProcessor):
@@ -26,50 +95,37 @@ class InEventTimeOrder(StatefulProcessor):
     which passes as soon as a later row, or the watermark, does.
     """
 
-    row_schema: str  # starts with `us bigint, seq bigint`
+    row_schema: str  # starts with `us bigint`, by which and by the columns after it rows are ordered
     state_schema: str
     output_schema: str  # besides the key
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._waiting = handle.getListState("waiting", self.row_schema)
+        self._waiting = WaitingRows(handle, self.row_schema)
         self._state = handle.getValueState("state", self.state_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N803
         names = _columns(self.row_schema)
-        earliest = None
-        while fresh := [tuple(row[name] for name in names) for row in islice(rows, APPEND_ROWS)]:
-            self._waiting.appendList(fresh)
-            first = min(row[0] for row in fresh)
-            earliest = first if earliest is None else min(earliest, first)
-        if earliest is not None:
-            self._wake_at(earliest)
+        fresh = (tuple(row[name] for name in names) for row in rows)
+        self._wake_at(self._waiting.add(fresh, _now(timerValues)))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N803
-        reached = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(tuple(row) for row in self._waiting.get())
-        ready = [row for row in waiting if row[0] <= reached]
-        state = self._state.get() if self._state.exists() else None
-        state = None if state is None else tuple(state)
+        now = _now(timerValues)
+        ready, wake = self._waiting.due(now)
+        self._wake_at(wake)
+        stored = self._state.get() if self._state.exists() else None
+        state = None if stored is None else self.load(tuple(stored))
         found: list[tuple] = []
         for row in ready:
             state = self._pass_deadlines(state, row[0], found)
             state = self.advance(state, row, found)
-        state = self._pass_deadlines(state, reached, found)
-
-        if ready:
-            rest = waiting[len(ready):]
-            if rest:
-                self._waiting.put(rest)
-                self._wake_at(rest[0][0])
-            else:
-                self._waiting.clear()
-        if state is None:
+        state = self._pass_deadlines(state, now, found)
+        if state is not None:
+            self._state.update(self.dump(state))
+            self._wake_at({self.deadline(state) + 1 + FINEST_US})
+        elif stored is not None:
             self._state.clear()
-        else:
-            self._state.update(state)
-            self._wake_at(self.deadline(state) + 1)
         names = ["key", *_columns(self.output_schema)]
         return iter([Row(**dict(zip(names, (key[0], *values)))) for values in found])
 
@@ -78,12 +134,20 @@ class InEventTimeOrder(StatefulProcessor):
             state = self.expire(state, found)
         return state
 
-    def _wake_at(self, us: int) -> None:
-        self._handle.registerTimer(-(-us // 1000))
+    def _wake_at(self, times: set[int]) -> None:
+        for us in times:
+            self._handle.registerTimer(-(-us // 1000))
 
     def close(self) -> None:
         pass
 
+    def load(self, stored: tuple):
+        """The state that `advance` works on, of what is stored between timers."""
+        return stored
+
+    def dump(self, state) -> tuple:
+        return state
+
     @abstractmethod
     def advance(self, state, row: tuple, found: list[tuple]):
         """State after `row`; results are added to `found`."""
@@ -97,6 +161,11 @@ class InEventTimeOrder(StatefulProcessor):
         """State once its deadline has passed; results are added to `found`."""
 
 
+def _now(timer_values) -> int:
+    """The watermark, down to the finest bucket: all rows before it have arrived."""
+    return timer_values.getCurrentWatermarkInMs() * 1000 // FINEST_US * FINEST_US
+
+
 class FailureBurst(InEventTimeOrder):
     """A first failure opens a span, a success in it cancels it; see `failure_bursts`."""
 
@@ -198,25 +267,74 @@ class FollowedBy(InEventTimeOrder):
     def __init__(self, within: timedelta):
         self.span = as_micros(within)
 
+    def load(self, stored):
+        return deque(stored[0])
+
+    def dump(self, state):
+        return (list(state),)
+
     def advance(self, state, row, found):
         us, _, begins = row
-        waiting = list(state[0]) if state else []
         if begins:
-            return ([*waiting, us],)
+            state = deque() if state is None else state
+            state.append(us)
+            return state
         # an end exactly at the deadline is too late, and the deadline has not passed yet
         found.extend(
             (begin, us, None) if us - begin < self.span else (begin, None, begin + self.span)
-            for begin in waiting
+            for begin in state or ()
         )
         return None
 
     def deadline(self, state) -> int:
-        return state[0][0] + self.span
+        return state[0] + self.span
 
     def expire(self, state, found):
-        begin, *waiting = state[0]
+        begin = state.popleft()
         found.append((begin, None, begin + self.span))
-        return (waiting,) if waiting else None
+        return state or None
+
+
+class OneToOne(InEventTimeOrder):
+    """Pairs the two sides one to one; see `match_one_to_one`.
+
+    A row takes the oldest row of the other side that still waits, or waits itself. So rows of one
+    side wait at a time, first in, first out, the first until the deadline of its side.
+    """
+
+    row_schema = "us bigint, receipt boolean, id bigint"
+    state_schema = "receipts boolean, us array<bigint>, id array<bigint>"
+    output_schema = "outcome string, pay_id bigint, pay_us bigint, receipt_id bigint, receipt_us bigint"
+
+    def __init__(self, early: timedelta, late: timedelta):
+        self.wait = {False: as_micros(late), True: as_micros(early)}
+
+    def load(self, stored):
+        receipts, times, ids = stored
+        return receipts, deque(zip(times, ids, strict=True))
+
+    def dump(self, state):
+        receipts, queue = state
+        return (receipts, [us for us, _ in queue], [number for _, number in queue])
+
+    def advance(self, state, row, found):
+        us, receipt, number = row
+        if state is None or state[0] == receipt:
+            state = (receipt, deque()) if state is None else state
+            state[1].append((us, number))
+            return state
+        other_us, other = state[1].popleft()
+        pair = (other, other_us, number, us) if receipt else (number, us, other, other_us)
+        found.append(("matched", *pair))
+        return state if state[1] else None
+
+    def deadline(self, state) -> int:
+        return state[1][0][0] + self.wait[state[0]]
+
+    def expire(self, state, found):
+        us, number = state[1].popleft()
+        found.append(("unmatched_receipt", None, None, number, us) if state[0] else ("unmatched_pay", number, us, None, None))
+        return state if state[1] else None
 
 
 class DailyCap(StatefulProcessor):
@@ -284,10 +402,10 @@ def process_in_order(
     disorder: str,
     ts: str = "ts",
 ) -> DataFrame:
-    """Applies an event-time processor per key. `columns` gives the values it reads besides time."""
+    """Applies an event-time processor per key. `columns` gives the values it reads besides time; null keys are left out."""
     extra = [column.alias(name) for name, column in columns.items()]
     key_type = stream.schema[key].dataType.simpleString()
-    rows = stream.withWatermark(ts, disorder).select(
+    rows = stream.withWatermark(ts, disorder).filter(F.col(key).isNotNull()).select(
         F.col(key).alias("key"), ts, F.unix_micros(ts).alias("us"), *extra
     )
     found = rows.groupBy("key").transformWithState(
