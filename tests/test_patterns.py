@@ -206,6 +206,25 @@ def test_order_outcomes_equal_a_replay(events, seed):
     assert result == {order: replayed(timeline, 4, 2) for order, timeline in expected.items()}
 
 
+@pytest.mark.parametrize("span,most", [(40, 10), (40, 0), (4000, 100), (4000, 10**6)])
+def test_an_order_with_a_third_of_all_events_is_no_single_task(events, span, most):
+    rng = random.Random(span)
+    rows = [
+        {"order_id": 7 if i % 3 == 0 else rng.randrange(400), "event_type": rng.choice(["create", "pay"]), "ts": rng.randrange(span), "event_id": i}
+        for i in range(3000)
+    ]
+    expected = Counter()
+    for order in {r["order_id"] for r in rows}:
+        own = sorted((r for r in rows if r["order_id"] == order), key=lambda r: (r["ts"], r["event_type"]))
+        expected.update({(order, outcome): n for outcome, n in replayed(own, 30, 5).items()})
+    found = order_outcomes(events(rows, ORDER).repartition(5), 30 * SECOND, 5 * SECOND, most=most)
+    counts = found.groupBy("order_id", "outcome").count().collect()
+    assert {(r.order_id, r.outcome): r["count"] for r in counts} == dict(expected)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # by ranges as well, and all other windows leave the large orders out
+    assert ("windowspecdefinition(_part#" in plan) == (most < 1000) and ("LeftAnti" in plan) == (most < 1000)
+
+
 def clicks(n=400):
     rng = random.Random(4)
     return [
