@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import joins, ranking, visitors, windows
 from tidemark.operators.bursts import failure_bursts
-from tidemark.operators.lateness import too_late, with_watermark_at_arrival
+from tidemark.operators.lateness import first_open_end, too_late, with_watermark_at_arrival
 from tidemark.streaming import pipelines, processors
+from tidemark.streaming.panes import PaneStore
 from tidemark.streaming.processors import _next_midnight_ms
 from tidemark.streaming.sinks import BatchLog, append_available, custom_state, settings
 
@@ -68,13 +69,49 @@ def test_ranking_of_closed_windows(source):
     assert as_set(found, *columns) == as_set(expected, *columns)
 
 
-def test_ranking_as_counts_change(source):
-    batch, stream, folder = source
-    span = (600 * SECOND, 60 * SECOND)
-    found = pipelines.rank_changing_counts(stream, folder, "user_id", 3, *span, DISORDER * SECOND, 60 * SECOND)
-    expected = ranking.top_n(windows.sliding_counts(batch, ["user_id"], *span), 3, "user_id")
+def arrivals(spark, events, tmp_path, spread, n=240, parts=4):
+    """(batch, stream) of rows that arrive up to `spread` seconds out of order, numbered as they arrive."""
+    rng = random.Random(3)
+    rows = [
+        {"event_id": i, "user_id": rng.randrange(4), "kind": "x", "ts": round(i * 7 + rng.uniform(-spread, spread) + 400, 3)}
+        for i in range(n)
+    ]
+    for i in range(0, n, n // parts):
+        events(rows[i : i + n // parts], SCHEMA).coalesce(1).write.parquet(str(tmp_path / "parts" / f"p{i:04d}"))
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "parts" / "*"))
+    return events(rows, SCHEMA), stream
+
+
+@pytest.mark.parametrize("spread,every", [(20, 16), (300, 2)])
+def test_ranking_as_counts_change(spark, events, tmp_path, monkeypatch, spread, every):
+    """Rows that are late for some of their windows count in the others, and snapshots keep what these need."""
+    monkeypatch.setattr(PaneStore.__init__, "__defaults__", (every,))
+    batch, stream = arrivals(spark, events, tmp_path, spread, parts=6)
+    span, wait = (600 * SECOND, 60 * SECOND), (30 * SECOND, 60 * SECOND)
+    found = pipelines.rank_changing_counts(stream, str(tmp_path / "run"), "user_id", 3, *span, *wait, seq="event_id")
+    marked = with_watermark_at_arrival(batch, wait[0])
+    counts = windows.sliding_counts(marked, ["user_id"], *span, first_open=first_open_end(wait[1]))
+    expected = ranking.top_n(counts, 3, "user_id")
     columns = ("window_end", "user_id", "cnt", "rank")
     assert as_set(found, *columns) == as_set(expected, *columns)
+    whole = ranking.top_n(windows.sliding_counts(batch, ["user_id"], *span), 3, "user_id")
+    assert (as_set(whole, *columns) == as_set(expected, *columns)) == (spread == 20)
+
+
+def test_kept_counts_stay_few(spark, tmp_path):
+    """However many batches there were, a batch reads a snapshot and a few tables of what is still open."""
+    store = PaneStore(spark, str(tmp_path / "panes"), ["k", "_stop"], "_n", "k string, _stop bigint, _n bigint", every=4)
+    reads, rows = [], []
+    for batch_id in range(24):
+        for _ in range(1 + batch_id % 2):  # every other batch is retried
+            store.write(spark.createDataFrame([("a", batch_id, 1), ("b", 1000, 1)], store.schema), batch_id)
+            reads.append(len(store.paths(batch_id)))
+            rows.append(store.read(batch_id).count())
+            total = {r.k: r.n for r in store.read(batch_id).groupBy("k").agg(F.sum("_n").alias("n")).collect()}
+            assert total["b"] == batch_id + 1
+            store.compact(batch_id, F.col("_stop") > batch_id - 3)
+    assert max(reads) <= 5 and max(rows) <= 12
+    assert len(list((tmp_path / "panes").iterdir())) <= 12
 
 
 def test_sliding_counts_from_closed_slides(source):
@@ -245,17 +282,10 @@ def test_order_of_arrival_does_not_matter_to_patterns(spark, source):
 
 
 def test_late_rows(spark, events, tmp_path):
-    rng = random.Random(3)
-    rows = [
-        {"event_id": i, "user_id": 1, "kind": "x", "ts": round(i * 7 + rng.uniform(-300, 300) + 400, 3)}
-        for i in range(200)
-    ]
-    for i in range(0, 200, 50):
-        events(rows[i : i + 50], SCHEMA).coalesce(1).write.parquet(str(tmp_path / "parts" / f"p{i:03d}"))
-    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "parts" / "*"))
+    batch, stream = arrivals(spark, events, tmp_path, 300)
     span = (60 * SECOND, 5 * SECOND)
     found = pipelines.late_rows(stream, str(tmp_path / "run"), *span, SECOND, 30 * SECOND, seq="event_id")
-    marked = with_watermark_at_arrival(events(rows, SCHEMA), SECOND)
+    marked = with_watermark_at_arrival(batch, SECOND)
     expected = marked.filter(too_late(*span, 30 * SECOND))
     assert as_set(found, "event_id") == as_set(expected, "event_id") and found.count() > 0
 
@@ -296,7 +326,7 @@ def test_streams_without_input_give_empty_tables(spark, tmp_path):
     stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "none"))
     minute = 60 * SECOND
     ranked = pipelines.rank_final_counts(stream, str(tmp_path / "a"), "user_id", 3, minute, minute, SECOND)
-    updated = pipelines.rank_changing_counts(stream, str(tmp_path / "b"), "user_id", 3, minute, minute, SECOND, minute)
+    updated = pipelines.rank_changing_counts(stream, str(tmp_path / "b"), "user_id", 3, minute, minute, SECOND, minute, seq="event_id")
     visits = append_available(pipelines.final_visitors(stream, minute, SECOND), str(tmp_path / "c"))
     assert [df.count() for df in (ranked, updated, visits)] == [0, 0, 0]
 

@@ -49,6 +49,14 @@ def sliding_counts(
     `first_open` (epoch microseconds), if given, is the earliest window end a row may still
     count in; rows that find all their windows closed count nowhere.
     """
+    panes = open_panes(df, keys, size, slide, ts, first_open)
+    return counts_of_open_panes(panes, keys, size, slide, cnt)
+
+
+def open_panes(
+    df: DataFrame, keys: Sequence[str], size: timedelta, slide: timedelta, ts: str = "ts", first_open: Column | None = None
+) -> DataFrame:
+    """(keys, `_first`, `_stop`, `_n`): rows by the first window end they count in and the one after the last."""
     size_us, slide_us = as_micros(size), as_micros(slide)
     if size_us % slide_us:
         raise ValueError("the window size must be a multiple of the slide")
@@ -59,7 +67,6 @@ def sliding_counts(
         pane_first.alias("_first"),
         (pane_first + size_us).alias("_stop"),
     )
-    panes = ["_first", "_stop"]
     if first_open is not None:
         opened = align_down(first_open + slide_us - 1, slide_us)
         rows = df.select(
@@ -67,8 +74,14 @@ def sliding_counts(
             F.greatest(pane_first, opened).alias("_first"),
             (pane_first + size_us).alias("_stop"),
         ).filter("_first < _stop")
-    panes = rows.groupBy(*keys, *panes).agg(F.count("*").alias("_n"))
-    return _running_counts(panes, keys, size_us, slide_us, cnt)
+    return rows.groupBy(*keys, "_first", "_stop").agg(F.count("*").alias("_n"))
+
+
+def counts_of_open_panes(
+    panes: DataFrame, keys: Sequence[str], size: timedelta, slide: timedelta, cnt: str = "cnt"
+) -> DataFrame:
+    """Sliding counts from the rows of `open_panes`, which may be added up in several steps."""
+    return _running_counts(panes, keys, as_micros(size), as_micros(slide), cnt)
 
 
 def sliding_counts_of_panes(

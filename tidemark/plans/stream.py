@@ -49,6 +49,7 @@ def stream_hot_pages_top3(spark: SparkSession, folder: str) -> DataFrame:
         *batch.PAGE_WINDOW,
         batch.PAGE_DISORDER,
         batch.PAGE_LATENESS,
+        seq="arrival",
     )
     return top.select(epoch_seconds("window_end").alias("window_end"), "url", "cnt", "rank")
 
@@ -63,6 +64,7 @@ def stream_hot_items_updates(spark: SparkSession, folder: str) -> DataFrame:
         *batch.ITEM_WINDOW,
         DISORDER,
         timedelta(0),
+        seq="event_id",
     )
     return top.select(
         epoch_seconds("window_end").alias("window_end"), "item_id", "cnt", F.col("rank").alias("row_num")

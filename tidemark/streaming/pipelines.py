@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.eventtime import as_interval, as_micros
 from tidemark.operators import lateness, ranking, windows
 from tidemark.operators.joins import interval_join
+from tidemark.streaming.panes import PaneStore
 from tidemark.streaming.processors import OneToOne, process_in_order
 from tidemark.streaming.sinks import BatchLog, each_batch
 
@@ -59,50 +60,77 @@ def rank_changing_counts(
     slide: timedelta,
     disorder: timedelta,
     allowed_lateness: timedelta,
+    seq: str,
 ) -> DataFrame:
     """Top-N per window that is corrected as late rows come in; the newest ranking of each window.
 
-    State holds one count per key and slide. A micro-batch writes the counts it changed, ranks
-    again the windows these belong to, and no others. A count stays open until the last of its
-    windows no longer accepts late rows.
+    A row counts in those of its windows that are open when it arrives, as in the batch: a window takes
+    rows until the watermark at their arrival has passed its end by `allowed_lateness`. `seq` numbers
+    the arrivals of a micro-batch. Kept are counts per key, first open window and end, which raise the
+    counts of all windows between these two. A micro-batch adds to them, ranks again the windows
+    that it adds to, and no others; counts of which all windows are closed are dropped.
     """
     spark = hits.sparkSession
-    open_for = disorder + allowed_lateness + size
-    pane = F.window("ts", as_interval(slide))
-    changed = (
-        hits.withWatermark("ts", as_interval(open_for))
-        .groupBy(key, pane.alias("_w"))
-        .agg(F.count("*").alias("cnt"))
-        .select(key, F.col("_w.start").alias("pane"), "cnt")
-    )
-    panes = BatchLog(spark, f"{folder}/panes", f"{_ddl(changed, key)}, pane timestamp, cnt bigint")
-    ranks = BatchLog(
-        spark, f"{folder}/ranks", f"{_ddl(changed, key)}, window_end timestamp, cnt bigint, rank bigint"
-    )
+    size_us, slide_us = as_micros(size), as_micros(slide)
+    panes = PaneStore(spark, f"{folder}/panes", [key, "_first", "_stop"], "_n", f"{_ddl(hits, key)}, _first bigint, _stop bigint, _n bigint")
+    ranks = BatchLog(spark, f"{folder}/ranks", f"{_ddl(hits, key)}, window_end timestamp, cnt bigint, rank bigint")
+    marks = Marks(spark, f"{folder}/marks", disorder)
 
     def rank_touched(batch: DataFrame, batch_id: int) -> None:
-        panes.write(batch, batch_id)
-        own = panes.read().filter(F.col("batch_id") == batch_id)
-        first, last = own.agg(F.min(F.unix_micros("pane")), F.max(F.unix_micros("pane"))).first()
-        if first is None:
-            return
-        # compared as times, so that files without such slides are skipped
-        since, until = F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))
-        near = panes.latest([key, "pane"]).filter(
-            F.col("pane").between(since - F.lit(size), until + F.lit(size))
-        )
-        counts = windows.sliding_counts_of_panes(near, [key], size, slide)
-        ends = F.sequence(F.col("pane") + F.lit(slide), F.col("pane") + F.lit(size), F.lit(slide))
-        touched = own.select("pane").distinct().select(F.explode(ends).alias("window_end")).distinct()
-        top = ranking.top_n(counts.join(touched, "window_end", "left_semi"), n, key)
-        ranks.write(top.select(key, "window_end", "cnt", "rank"), batch_id)
-
-    each_batch(changed, folder, rank_touched, mode="update")
+        dated = batch.filter(F.col("ts").isNotNull())
+        dated.persist()
+        try:
+            seen = marks.write(dated, batch_id)
+            if seen is None:
+                return
+            rows = marks.at_arrival(dated, batch_id, seq)
+            added = windows.open_panes(rows, [key], size, slide, first_open=lateness.first_open_end(allowed_lateness))
+            own = panes.write(added, batch_id)
+            first, last = own.agg(F.min("_first"), F.max("_stop")).first()
+            if first is not None:
+                near = panes.read(batch_id).filter((F.col("_stop") > first) & (F.col("_first") < last))
+                counts = windows.counts_of_open_panes(near, [key], size, slide)
+                ends = F.sequence(F.col("_first"), F.col("_stop") - slide_us, F.lit(slide_us))
+                touched = own.select("_first", "_stop").distinct().select(F.explode(ends).alias("_end")).distinct()
+                open_ends = touched.select(F.timestamp_micros("_end").alias("window_end"))
+                top = ranking.top_n(counts.join(open_ends, "window_end", "left_semi"), n, key)
+                ranks.write(top.select(key, "window_end", "cnt", "rank"), batch_id)
+            # windows that end by then take no more rows
+            closed = seen - as_micros(disorder) + lateness.TICK_US - as_micros(allowed_lateness)
+            panes.compact(batch_id, F.col("_stop") > closed)
+        finally:
+            dated.unpersist()
+
+    each_batch(hits, folder, rank_touched)
     all_ranks = ranks.read()
     newest = all_ranks.groupBy("window_end").agg(F.max("batch_id").alias("batch_id"))
     return all_ranks.join(newest, ["window_end", "batch_id"]).drop("batch_id")
 
 
+class Marks:
+    """The highest event time of all micro-batches so far, which each batch leaves for the next."""
+
+    def __init__(self, spark: SparkSession, folder: str, disorder: timedelta):
+        self.spark, self.folder, self.disorder = spark, folder, disorder
+
+    def write(self, batch: DataFrame, batch_id: int) -> int | None:
+        """Leaves the highest time up to this batch, and returns it; none if there was no row yet."""
+        own, before = batch.agg(F.max(F.unix_micros("ts"))).first()[0], self.before(batch_id)
+        seen = max((us for us in (own, before) if us is not None), default=None)
+        self.spark.createDataFrame([(seen,)], "seen bigint").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/{batch_id}")
+        return seen
+
+    def before(self, batch_id: int) -> int | None:
+        return self.spark.read.parquet(f"{self.folder}/{batch_id - 1}").first()[0] if batch_id else None
+
+    def at_arrival(self, batch: DataFrame, batch_id: int, seq: str) -> DataFrame:
+        """Adds `watermark_us`, which follows from all earlier batches and the earlier arrivals of this one."""
+        rows, before = lateness.with_watermark_at_arrival(batch, self.disorder, seq=seq), self.before(batch_id)
+        if before is None:
+            return rows
+        return rows.withColumn("watermark_us", F.greatest("watermark_us", F.lit(before - as_micros(self.disorder))))
+
+
 def final_visitors(events: DataFrame, size: timedelta, disorder: timedelta, visitor: str = "user_id") -> DataFrame:
     """Exact distinct visitors per closed window: distinct pairs first, then their count."""
     window = F.window("ts", as_interval(size))
@@ -157,17 +185,16 @@ def late_rows(
     """
     spark = hits.sparkSession
     late = BatchLog(spark, f"{folder}/late", ", ".join(_ddl(hits, c) for c in hits.columns))
-    marks = BatchLog(spark, f"{folder}/marks", "seen bigint")
-    late_us = as_micros(disorder)
+    marks = Marks(spark, f"{folder}/marks", disorder)
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        marks.write(batch.agg(F.max(F.unix_micros("ts")).alias("seen")), batch_id)
-        earlier = marks.read(before=batch_id).agg(F.max("seen")).first()[0]
-        rows = lateness.with_watermark_at_arrival(batch, disorder, seq=seq)
-        if earlier is not None:
-            rows = rows.withColumn("watermark_us", F.greatest("watermark_us", F.lit(earlier - late_us)))
-        found = rows.filter(lateness.too_late(size, slide, allowed_lateness))
-        late.write(found.drop("watermark_us"), batch_id)
+        batch.persist()
+        try:
+            marks.write(batch, batch_id)
+            found = marks.at_arrival(batch, batch_id, seq).filter(lateness.too_late(size, slide, allowed_lateness))
+            late.write(found.drop("watermark_us"), batch_id)
+        finally:
+            batch.unpersist()
 
     each_batch(hits, folder, split)
     return late.read().drop("batch_id")
