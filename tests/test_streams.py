@@ -7,7 +7,7 @@ import pytest
 from times import START, seconds
 from pyspark.sql import functions as F
 
-from tidemark.operators import joins, ranking, visitors, windows
+from tidemark.operators import clickcap, joins, ranking, visitors, windows
 from tidemark.operators.bursts import failure_bursts
 from tidemark.operators.lateness import first_open_end, too_late, with_watermark_at_arrival
 from tidemark.streaming import pipelines, processors
@@ -303,6 +303,34 @@ def test_click_cap(spark, events, tmp_path):
     assert sorted(r.event_id for r in found if r.kind == "click") == list(range(6))
 
 
+@pytest.mark.parametrize("first_only", [False, True])
+def test_capped_report_of_event_days(spark, events, tmp_path, first_only):
+    """Clicks out of order over midnight: counts and alerts equal the batch, whichever click came first."""
+    schema = "event_id bigint, user_id bigint, ad_id bigint, province string, ts timestamp"
+    rng, slide, size = random.Random(6), 60 * SECOND, 600 * SECOND
+    rows = [
+        {"event_id": i, "user_id": 1 if rng.random() < 0.4 else rng.randrange(2, 9), "ad_id": rng.randrange(2), "ts": 80_000 + 40 * i}
+        for i in range(400)
+    ]
+    rows = [{**r, "province": f"p{r['user_id'] % 3}"} for r in rows]
+    arriving = sorted(rows, key=lambda r: r["ts"] + rng.uniform(0, 900))
+    ending = [{"event_id": 999, "user_id": -1, "ad_id": 0, "province": "end", "ts": 400_000}]
+    for i, part in enumerate([*(arriving[k : k + 80] for k in range(0, 400, 80)), ending]):
+        events(part, schema).coalesce(1).write.parquet(str(tmp_path / "parts" / f"p{i:02d}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "parts" / "*"))
+    with custom_state(spark):
+        panes = append_available(pipelines.capped_panes(stream, 5, slide, 900 * SECOND, "province", first_only), str(tmp_path / "run"))
+    batch = events(rows, schema)
+    capped = clickcap.capped_clicks(batch, 5, mode="drop_first_only" if first_only else "drop_all")
+    expected = windows.sliding_counts(capped, ["province"], size, slide)
+    found = windows.sliding_counts_of_panes(panes.filter("kind = 'click'"), ["province"], size, slide)
+    assert as_set(found, "province", "window_end", "cnt") == as_set(expected, "province", "window_end", "cnt")
+    alerts = clickcap.cap_alerts(batch, 5)
+    found = panes.filter("kind = 'alert'").withColumn("ts", F.timestamp_micros("us"))
+    assert as_set(found, "user_id", "ad_id", "ts") == as_set(alerts, "user_id", "ad_id", "ts") and alerts.count() > 3
+    assert panes.filter("kind = 'alert' AND cnt <> 1").count() == 0
+
+
 def test_next_midnight_of_the_running_day():
     day_ms = 86_400_000
     assert _next_midnight_ms(0) == day_ms

@@ -284,7 +284,9 @@ STATEMENTS |= {
     "stream_order_lifecycle": f"SELECT order_id, outcome FROM ({lifecycle(expires=True)})",
     "stream_ad_cap": f"""
         SELECT user_id, ad_id, event_id, us, CASE WHEN n <= 2 THEN 'click' ELSE 'alert' END AS kind
-        FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id ORDER BY us, event_id) AS n
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, us // {DAY_US} ORDER BY us, event_id) AS n
               FROM ({CLICKS}))
         WHERE n <= 3""",
+    "stream_ad_by_province": STATEMENTS["ad_by_province"],
+    "stream_ad_alerts": STATEMENTS["ad_blacklist_alerts"],
 }

@@ -222,10 +222,31 @@ def stream_order_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_ad_cap(spark: SparkSession, folder: str) -> DataFrame:
-    clicks = _streams(spark, folder).ad_clicks()
-    with custom_state(spark, processing_time=True):
-        capped = processors.cap_daily(clicks, STREAM_CLICK_LIMIT)
-        return append_available(capped, scratch_dir(spark, "ad-cap"))
+    """Passed clicks and alerts of each day: the sums of the changes that the stream gives."""
+    with custom_state(spark):
+        changes = processors.cap_by_event_day(_streams(spark, folder).ad_clicks(), STREAM_CLICK_LIMIT, as_interval(DISORDER), "province")
+        shown = changes.select("user_id", "ad_id", "event_id", "us", "kind", "delta")
+        table = append_available(shown, scratch_dir(spark, "ad-cap"))
+    return table.groupBy("user_id", "ad_id", "event_id", "us", "kind").agg(F.sum("delta").alias("n")).filter("n > 0").drop("n")
+
+
+def _capped_panes(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _bounded(spark, folder)
+    with custom_state(spark):
+        panes = pipelines.capped_panes(tables.ad_clicks(), batch.CLICK_LIMIT, batch.MARKET_WINDOW[1], DISORDER, "province")
+        return append_available(panes, scratch_dir(spark, "ad-panes"), tables.end_input)
+
+
+def stream_ad_by_province(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed five-second counts of capped clicks from the stream, then sliding hours over them."""
+    panes = _capped_panes(spark, folder).filter("kind = 'click'")
+    counts = windows.sliding_counts_of_panes(panes, ["province"], *batch.MARKET_WINDOW)
+    return counts.select(epoch_seconds("window_end").alias("window_end"), "province", "cnt")
+
+
+def stream_ad_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    alerts = _capped_panes(spark, folder).filter("kind = 'alert'")
+    return alerts.select("user_id", "ad_id", "us", F.lit(f"click over {batch.CLICK_LIMIT} times today").alias("msg"))
 
 
 REPORTS: dict[str, Report] = {
@@ -245,4 +266,6 @@ REPORTS: dict[str, Report] = {
     "stream_order_timeouts": stream_order_timeouts,
     "stream_order_lifecycle": stream_order_lifecycle,
     "stream_ad_cap": stream_ad_cap,
+    "stream_ad_by_province": stream_ad_by_province,
+    "stream_ad_alerts": stream_ad_alerts,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.eventtime import as_interval, as_micros
 from tidemark.operators import lateness, ranking, windows
 from tidemark.operators.joins import interval_join
+from tidemark.streaming import processors
 from tidemark.streaming.panes import PaneStore
 from tidemark.streaming.processors import OneToOne, process_in_order
 from tidemark.streaming.sinks import BatchLog, each_batch
@@ -234,5 +235,21 @@ def matched_or_alone(
     )
 
 
+def capped_panes(clicks: DataFrame, limit: int, slide: timedelta, disorder: timedelta, label: str, first_only: bool = False) -> DataFrame:
+    """Counts of capped clicks per label and slide, and the alerts of the cap, appended once the watermark has closed them.
+
+    One query of two stateful steps, to be started with `custom_state`: the cap gives changes with the
+    times of their clicks, and a windowed count adds them up. `kind` tells counts and alerts apart; of an
+    alert, the slide is that of the click that raised it, given by its key and `us`.
+    """
+    changes = processors.cap_by_event_day(clicks, limit, as_interval(disorder), label, first_only=first_only)
+    of_alert = F.col("kind") == "alert"
+    keys = [F.when(of_alert, F.col(name)).alias(name) for name in ("user_id", "ad_id", "us")]
+    summed = changes.groupBy(
+        F.window("ts", as_interval(slide)).alias("_w"), "kind", F.when(~of_alert, F.col("label")).alias(label), *keys
+    ).agg(F.sum("delta").alias("cnt"))
+    return summed.filter("cnt <> 0").select(F.col("_w.start").alias("pane"), "kind", label, "user_id", "ad_id", "us", "cnt")
+
+
 def _ddl(df: DataFrame, column: str) -> str:
     return f"{column} {df.schema[column].dataType.simpleString()}"

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import heapq
 from abc import abstractmethod
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta, timezone
-from itertools import islice
+from itertools import chain, islice
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions.eventtime import as_micros
+from tidemark.functions.eventtime import as_micros, interval_no
 from tidemark.operators.lifecycle import NO_CREATE, PAID, PAID_LATE, TIMED_OUT
 
 # Rows that one entry of the state store holds at most.
@@ -384,6 +385,64 @@ class DailyCap(StatefulProcessor):
         pass
 
 
+class EventDayCap(StatefulProcessor):
+    """The cap of `capped_clicks` per key and day of the clicks themselves, as changes of its result.
+
+    State holds the first `limit + 1` clicks of the day seen so far. A click that arrives before one of
+    them moves the later ones back, so a change may take back what was given: `delta` is 1 or -1, and
+    the sums of all changes are what the batch gives. A click that moves back is later than the one
+    that arrives, so no change is older than the watermark, and windows may follow. State of a day
+    is freed when the watermark has passed it.
+    """
+
+    state_schema = "us array<bigint>, event_id array<bigint>, label array<string>"
+
+    def __init__(self, limit: int, keys: dict[str, str], first_only: bool = False):
+        self.limit, self.keys, self.first_only = limit, list(keys), first_only
+        named = ", ".join(f"{name} {kind}" for name, kind in keys.items())
+        self.output_schema = f"{named}, event_id bigint, label string, us bigint, ts timestamp, kind string, delta bigint"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._state = handle.getValueState("first", self.state_schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N803
+        day_end_ms = (key[-1] + 1) * 86_400_000
+        if self._state.exists():
+            before = list(zip(*self._state.get(), strict=True))
+        else:
+            before = []
+            self._handle.registerTimer(day_end_ms)
+        named = dict(zip(self.keys, key, strict=False))
+        first = list(before)
+        for part in iter(lambda: [(r["us"], r["event_id"], r["label"]) for r in islice(rows, ENTRY_ROWS)], []):
+            first = heapq.nsmallest(self.limit + 1, chain(first, part), key=lambda click: click[:2])
+            if self.first_only:  # all of them pass, and below one may be taken back
+                yield from (self._change(named, click, "click", 1) for click in part)
+        self._state.update(tuple(map(list, zip(*first, strict=True))))
+        kinds = [("alert", slice(self.limit, None), 1)]
+        kinds += [("click", slice(self.limit, None), -1)] if self.first_only else [("click", slice(self.limit), 1)]
+        for kind, part, sign in kinds:
+            old, new = before[part], first[part]
+            yield from (self._change(named, click, kind, sign) for click in new if click not in old)
+            yield from (self._change(named, click, kind, -sign) for click in old if click not in new)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N803
+        self._state.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _change(named: dict, click: tuple, kind: str, delta: int) -> Row:
+        us, event_id, label = click
+        return Row(**named, event_id=event_id, label=label, us=us, ts=_EPOCH + timedelta(microseconds=us), kind=kind, delta=delta)
+
+
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
 def _columns(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(",")]
 
@@ -427,3 +486,22 @@ def cap_daily(clicks: DataFrame, limit: int) -> DataFrame:
         outputMode="Append",
         timeMode="ProcessingTime",
     )
+
+
+def cap_by_event_day(
+    clicks: DataFrame, limit: int, disorder: str, label: str, keys: Sequence[str] = ("user_id", "ad_id"), first_only: bool = False
+) -> DataFrame:
+    """Changes of the capped clicks and of the alerts of a click stream, each with its click's time and `label`."""
+    kinds = {name: clicks.schema[name].dataType.simpleString() for name in keys}
+    processor = EventDayCap(limit, kinds, first_only)
+    us = F.unix_micros("ts")
+    rows = clicks.withWatermark("ts", disorder).select(
+        *keys, interval_no(us, as_micros(timedelta(days=1))).alias("day"), "ts", us.alias("us"), "event_id", F.col(label).alias("label")
+    )
+    return rows.groupBy(*keys, "day").transformWithState(
+        statefulProcessor=processor,
+        outputStructType=processor.output_schema,
+        outputMode="Append",
+        timeMode="EventTime",
+        eventTimeColumnName="ts",
+    )
