@@ -6,7 +6,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,7 +29,7 @@ CELLS = 400_000
 PRIOR = 0.5
 #: Letters of a word; a longer run of letters is several words.
 LONGEST = 40
-#: Different words that a task counts or remembers at once.
+#: Different words that a task counts at once.
 REMEMBERED = 200_000
 ROWS_AT_ONCE = 500
 
@@ -51,44 +50,69 @@ def grams(word: str, length: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Per word, and per n-gram of each length, the logarithms of its frequency in all languages."""
+    """The logarithms of the frequencies of words, and of n-grams, in all languages: a row of a table for each."""
 
     languages: list[str] = field(default_factory=list)
     prior: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    words: dict[str, np.ndarray] = field(default_factory=dict)
-    grams: dict[int, dict[str, np.ndarray]] = field(default_factory=dict)
-    #: what a task found of unseen words
-    unseen: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def word(self, word: str) -> np.ndarray:
-        """A known word's own frequencies, else the mean of those of its longest known n-grams."""
-        found = self.words.get(word)
-        if found is None:
-            found = self.unseen.get(word)
-        if found is None:
-            if len(self.unseen) >= REMEMBERED:
-                self.unseen.clear()
-            self.unseen[word] = found = self._backed_off(word)
+    words: dict[str, int] = field(default_factory=dict)
+    word_table: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    grams: dict[str, int] = field(default_factory=dict)
+    gram_table: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+
+    def __post_init__(self) -> None:
+        #: rows of unseen words below those of known ones, as far as a task remembers them
+        self.unseen: dict[str, int] = {}
+        self.table = self.word_table
+
+    def __getstate__(self) -> dict:
+        return {**vars(self), "unseen": {}, "table": self.word_table}
+
+    def predict(self, texts: Sequence[str]) -> list[tuple[str, float]]:
+        """Each text's likeliest language, the least of equals, and its probability; `und` without letters or languages."""
+        counted = [Counter(split_words(text)) if self.languages else {} for text in texts]
+        self._back_off({word for counts in counted for word in counts if word not in self.words})
+        known, unseen, found = self.words.get, self.unseen.__getitem__, []
+        step = max(1, 2 * CELLS // max(1, len(self.languages)))
+        for counts in counted:
+            if not counts:
+                found.append((UNKNOWN, 0.0))
+                continue
+            rows = [unseen(word) if (row := known(word)) is None else row for word in counts]
+            times, total = list(counts.values()), self.prior
+            for start in range(0, len(rows), step):
+                total = total + np.array(times[start : start + step], float) @ self.table[rows[start : start + step]]
+            best = int(total.argmax())
+            found.append((self.languages[best], float(1 / np.exp(np.maximum(total - total[best], -700)).sum())))
         return found
 
-    def _backed_off(self, word: str) -> np.ndarray:
-        for length in LENGTHS:
-            table = self.grams.get(length, {})
-            known = [table[gram] for gram in grams(word, length) if gram in table]
-            if known:
-                return np.mean(known, axis=0)
-        return np.zeros(len(self.languages))
-
-    def predict(self, text: str) -> tuple[str, float]:
-        """The likeliest language, the least of equals, and its probability; `und` without letters or languages."""
-        words = split_words(text)
-        if not words or not self.languages:
-            return UNKNOWN, 0.0
-        counted = Counter(words)
-        evidence = np.array([self.word(word) for word in counted])
-        total = self.prior + np.fromiter(counted.values(), float, len(counted)) @ evidence
-        best = int(np.argmax(total))
-        return self.languages[best], float(1 / np.exp(np.maximum(total - total[best], -700)).sum())
+    def _back_off(self, words: set[str]) -> None:
+        """Gives each unseen word a row: the mean of its longest known n-grams, nothing if none is known."""
+        count = max(1, len(self.languages))
+        if len(self.unseen) + len(words) > 2 * CELLS // count:
+            self.unseen, self.table = {}, self.word_table
+        new = [word for word in words if word not in self.unseen]
+        if not new:
+            return
+        rows, get = [], self.grams.get
+        step = max(1, CELLS // count // 4)
+        for start in range(0, len(new), step):
+            part = np.zeros((min(step, len(new) - start), count))
+            places, sizes, at = [], [], []
+            for number, word in enumerate(new[start : start + step]):
+                for length in LENGTHS:
+                    known = [row for gram in grams(word, length) if (row := get(gram)) is not None]
+                    if known:
+                        at.append(number)
+                        places += known
+                        sizes.append(len(known))
+                        break
+            if at:
+                begins = np.cumsum([0, *sizes[:-1]])
+                part[at] = np.add.reduceat(self.gram_table[places], begins) / np.array(sizes)[:, None]
+            rows.append(part)
+        first = len(self.table)
+        self.unseen.update((word, first + k) for k, word in enumerate(new))
+        self.table = np.concatenate([self.table, *rows])
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
@@ -119,16 +143,21 @@ def fit(documents: DataFrame, cells: int = CELLS) -> Model:
     model.prior = np.log(shares / shares.sum())
     known = words.filter("unit <> ''").filter(F.col("lang").isin(languages) if len(languages) == MOST_LANGUAGES else F.lit(True))
     most = max(1, cells // len(languages))
-    model.words = _frequencies(known.select("lang", "unit", "n"), languages, most)
+    model.words, model.word_table = _frequencies(known.select("lang", "unit", "n"), languages, most)
     parts = known.select("lang", "unit", "n").mapInPandas(_count_grams, "length int, lang string, unit string, n bigint")
     counts = written(parts.groupBy("length", "lang", "unit").agg(F.sum("n").alias("n")), "language-grams")
+    tables = [np.zeros((0, len(languages)))]
     for length in LENGTHS:
-        model.grams[length] = _frequencies(counts.filter(F.col("length") == length).drop("length"), languages, most)
+        units, matrix = _frequencies(counts.filter(F.col("length") == length).drop("length"), languages, most)
+        first = len(model.grams)
+        model.grams.update((unit, first + k) for unit, k in units.items())
+        tables.append(matrix)
+    model.gram_table = np.concatenate(tables)
     return model
 
 
-def _frequencies(counts: DataFrame, languages: list[str], most: int) -> dict[str, np.ndarray]:
-    """The logarithms of the frequencies of the most frequent units in all languages, of counts (lang, unit, n)."""
+def _frequencies(counts: DataFrame, languages: list[str], most: int) -> tuple[dict[str, int], np.ndarray]:
+    """The rows of units, and a table of the logarithms of the frequencies of the most frequent units in all languages, of counts (lang, unit, n)."""
     totals = {row["lang"]: row["n"] for row in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     frequent = counts.groupBy("unit").agg(F.sum("n").alias("_all")).orderBy(F.desc("_all"), "unit").limit(most)
     # at most `most` units of at most LONGEST letters, and as many rows for each language
@@ -138,7 +167,7 @@ def _frequencies(counts: DataFrame, languages: list[str], most: int) -> dict[str
     at = {language: k for k, language in enumerate(languages)}
     matrix[places, [at[language] for language in kept["lang"]]] += kept["n"].to_numpy(float)
     sums = np.array([totals.get(language, 0) for language in languages], float) + PRIOR * max(1, len(units))
-    return dict(zip((str(u) for u in units), np.log(matrix / sums), strict=True))
+    return {str(unit): k for k, unit in enumerate(units)}, np.log(matrix / sums)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,12 +198,14 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Partial counts of the n-grams of counted words."""
     for batch in batches:
-        counts: Counter = Counter()
+        counts: dict[str, dict[str, int]] = {}
         for lang, word, n in zip(batch["lang"], batch["unit"], batch["n"].tolist(), strict=True):
+            own = counts.setdefault(lang, {})
+            get = own.get
             for length in LENGTHS:
                 for gram in grams(word, length):
-                    counts[length, lang, gram] += n
-        rows = [(*unit, n) for unit, n in counts.items()]
+                    own[gram] = get(gram, 0) + n
+        rows = [(len(gram), lang, gram, n) for lang, own in counts.items() for gram, n in own.items()]
         yield pd.DataFrame(rows, columns=["length", "lang", "unit", "n"]).astype({"length": "int32", "n": "int64"})
 
 
@@ -197,8 +228,8 @@ def predict(documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id"
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(start, ROWS_AT_ONCE)
-                found = list(chain.from_iterable(own.predict(text) for text in batch.column(len(names)).to_pylist()))
-                columns = [pa.array(found[::2], pa.string()), pa.array(found[1::2], pa.float64())]
+                languages, scores = zip(*own.predict(batch.column(len(names)).to_pylist()), strict=True)
+                columns = [pa.array(languages, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *columns], schema.names)
 
     return read.mapInArrow(run, schema)
