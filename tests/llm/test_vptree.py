@@ -16,15 +16,24 @@ def awkward():
     rows = [(k, [rng.gauss(0, 1) * (1 + k % 5) for _ in range(6)]) for k in range(700)]
     rows += [(1000 + k, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]) for k in range(250)]  # one very common vector
     rows += [(2000, None), (2001, []), (2002, [0.0] * 6), (2003, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (2004, [float("nan")] * 6)]
-    return rows + [(2005, [float("inf")] + [1.0] * 5), (2006, [1.0] * 5), (None, [1.0] * 6), (2007, [9.0] * 6), (2007, [9.0] * 6)]
+    return rows + [(2005, [float("inf")] + [1.0] * 5), (None, [1.0] * 6), (2007, [9.0] * 6), (2007, [9.0] * 6)] + [
+        (2020, [1.0] * 5), (2021, [2.0] * 5), (40, [0.5] * 6), (40, [0.25] * 6), (60, [7.0])  # other lengths, ids of queries again
+    ]
 
 
 def plain(rows, queries, k):
-    usable = {i: np.array(v, np.float32).astype(float) for i, v in rows if i is not None and (i < 2000 or i == 2007)}
+    """Of all rows, those of the query's length; `queries` are their ids."""
+    usable = [
+        (i, np.array(v, np.float32).astype(float))
+        for i, v in rows
+        if i is not None and v and None not in v and np.isfinite(v).all() and any(v)
+    ]
     result = []
-    for q in queries:
-        scores = sorted((-vptree.products(usable[q], v[None])[0], i) for i, v in usable.items() if i != q)[:k]
-        result += [(q, rank, i, -score) for rank, (score, i) in enumerate(scores, 1)]
+    for at, (q, own) in enumerate(usable):
+        if q in queries:
+            others = [(i, v) for n, (i, v) in enumerate(usable) if n != at and len(v) == len(own)]
+            scores = sorted((-vptree.products(own, v[None])[0], i) for i, v in others)[:k]
+            result += [(q, rank, i, -score) for rank, (score, i) in enumerate(scores, 1)]
     return sorted(result)
 
 
@@ -34,7 +43,7 @@ def test_factor_one_is_exact(spark, shard_rows, monkeypatch):
     frame = spark.createDataFrame(awkward(), SCHEMA).withColumns({"vector": F.lit("clash"), "shard": F.lit(0), "score": F.lit(0)})
     vectors = vptree.usable(frame)
     found = vptree.search(vptree.index(vectors, shard_rows), vectors.filter("vec_id % 20 = 0"), 20)
-    queries = [i for i, _ in awkward() if i is not None and i < 2000 and i % 20 == 0]
+    queries = {i for i, _ in awkward() if i is not None and i % 20 == 0}
     assert sorted(map(tuple, found.collect())) == plain(awkward(), queries, 20)
 
 
@@ -51,6 +60,13 @@ def test_fewer_candidates_than_asked(spark):
     assert sorted(map(tuple, found.collect())) == [(0, 1, 2, 2.0), (0, 2, 1, 0.5)]
 
 
+def test_rows_that_share_an_id_are_all_candidates(spark):
+    rows = [(20, [1.0, 0.0]), (1, [1.0, 1.0]), (1, [5.0, 0.0])]
+    vectors = vptree.usable(spark.createDataFrame(rows, SCHEMA))
+    found = vptree.search(vptree.index(vectors), vectors.filter("vec_id % 20 = 0"), 20)
+    assert sorted(map(tuple, found.collect())) == [(20, 1, 1, 5.0), (20, 2, 1, 1.0)]
+
+
 def test_empty_table(spark):
     vectors = vptree.usable(spark.createDataFrame([], SCHEMA))
     assert vptree.search(vptree.index(vectors), vectors, 20).collect() == []

@@ -24,10 +24,9 @@ ROUNDING = 1e-7
 
 
 def usable(vectors: DataFrame, name: str = "embedding") -> DataFrame:
-    """(vec_id, vector): rows with an id and finite components that are not all zero, in double precision.
+    """(row, vec_id, vector): rows with an id and finite components that are not all zero, in double precision.
 
-    Vectors must have the length that most have, the lesser of equals. Of rows that repeat an id, the
-    least vector counts.
+    `row` is a number that no two rows share, as ids may repeat; written, so it stays what it is.
     """
     vector = F.col(name).cast("array<double>")
     rows = (
@@ -36,26 +35,27 @@ def usable(vectors: DataFrame, name: str = "embedding") -> DataFrame:
         .filter(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
         .filter(F.exists("vector", lambda x: x != 0))
     )
-    once = written(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
-    lengths = once.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return once.filter(F.size("vector") == (lengths["n"] if lengths else 0))
+    return written(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "vector"), "vectors")
 
 
-def _dealt(vectors: DataFrame, rows: int) -> tuple[Column, int]:
+def _dealt(vectors: DataFrame, rows: int) -> Column:
     parts = max(1, -(-vectors.count() // rows))
-    return F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"), parts
+    return F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")
 
 
 def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(shard, tree): a tree for about every `shard_rows` of the rows (vec_id, vector), each row in one."""
-    shard, _ = _dealt(vectors, shard_rows)
-    grouped = vectors.select("vec_id", "vector", shard.alias("shard")).groupBy("shard")
-    return written(grouped.applyInPandas(_built, "shard int, tree binary"), "vp-trees")
+    """(length, shard, tree): a tree for about every `shard_rows` of the rows of `usable`, each row in one.
+
+    Only vectors of the same length have an inner product, so a tree has vectors of one length.
+    """
+    shard = _dealt(vectors, shard_rows)
+    grouped = vectors.select("*", F.size("vector").alias("length"), shard.alias("shard")).groupBy("length", "shard")
+    return written(grouped.applyInPandas(_built, "length int, shard int, tree binary"), "vp-trees")
 
 
 def _built(rows: pd.DataFrame) -> pd.DataFrame:
-    tree = Tree.build(rows["vec_id"].to_numpy(np.int64), np.stack(rows["vector"].to_numpy()))
-    return pd.DataFrame({"shard": rows["shard"].iloc[:1], "tree": [tree.dump()]})
+    tree = Tree.build(rows["row"].to_numpy(np.int64), rows["vec_id"].to_numpy(np.int64), np.stack(rows["vector"].to_numpy()))
+    return pd.DataFrame({"length": rows["length"].iloc[:1], "shard": rows["shard"].iloc[:1], "tree": [tree.dump()]})
 
 
 class Tree:
@@ -72,9 +72,9 @@ class Tree:
         self.longest = float((self.vectors**2).sum(axis=1).max())
 
     @classmethod
-    def build(cls, ids: np.ndarray, rows: np.ndarray) -> Tree:
-        order = np.lexsort((ids, *rows.T[::-1]))
-        ids, rows = ids[order], np.ascontiguousarray(rows[order])
+    def build(cls, numbers: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> Tree:
+        order = np.lexsort((numbers, ids, *rows.T[::-1]))
+        numbers, ids, rows = numbers[order], ids[order], np.ascontiguousarray(rows[order])
         new = np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])
         starts = np.flatnonzero(new)
         vectors, firsts = rows[starts], np.append(starts, len(ids))
@@ -105,7 +105,7 @@ class Tree:
         cls._link(nodes)
         return cls(
             {
-                "ids": ids, "firsts": firsts, "vectors": vectors[places], "owners": places,
+                "numbers": numbers, "ids": ids, "firsts": firsts, "vectors": vectors[places], "owners": places,
                 "points": vectors[[max(0, n[0]) for n in nodes]],
                 "nodes": np.array(nodes, np.int64), "spans": np.array(spans, float),
             }
@@ -130,8 +130,8 @@ class Tree:
         with np.load(io.BytesIO(raw)) as arrays:
             return cls(dict(arrays))
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> Iterator[tuple[int, int, float]]:
-        """(query id, id, score) of the k best of this shard for each query, its own id left out.
+    def search(self, numbers: np.ndarray, queries: np.ndarray, k: int, factor: float) -> Iterator[tuple[int, int, int, float]]:
+        """(query's row, row, id, score) of the k best of this shard for each query, its own row left out.
 
         Where the worst kept is within rounding of the k-th, others that tie may be missing, and the
         query is compared with all vectors of the shard.
@@ -170,21 +170,22 @@ class Tree:
             found = []
             for place, score in zip(kept, scores, strict=True):
                 owner = self.owners[place]
-                same = self.ids[self.firsts[owner] : min(self.firsts[owner + 1], self.firsts[owner] + k + 1)]
-                found += [(-score, i) for i in same.tolist() if i != query_ids[q]]
+                same = slice(self.firsts[owner], min(self.firsts[owner + 1], self.firsts[owner] + k + 1))
+                pairs = zip(self.ids[same].tolist(), self.numbers[same].tolist(), strict=True)
+                found += [(-score, i, n) for i, n in pairs if n != numbers[q]]
             found = sorted(found)[:k]
             if found and keep < len(self.vectors) and best[q].min() >= -found[-1][0] - ROUNDING * norms[q]:
-                found = self._all(query_ids[q], queries[q], k)
-            yield from ((query_ids[q], i, -score) for score, i in found)
+                found = self._all(numbers[q], queries[q], k)
+            yield from ((numbers[q], n, i, -score) for score, i, n in found)
 
-    def _all(self, query_id: int, query: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """(negative score, id) of the k best of all vectors, by score and id."""
+    def _all(self, number: int, query: np.ndarray, k: int) -> list[tuple[float, int, int]]:
+        """(negative score, id, row) of the k best of all vectors, by score, id and row."""
         by_owner = np.empty(len(self.vectors))
         by_owner[self.owners] = products(query, self.vectors)
         scores = np.repeat(by_owner, np.diff(self.firsts))
-        others = np.flatnonzero(self.ids != query_id)
-        best = others[np.lexsort((self.ids[others], -scores[others]))[:k]]
-        return [(-float(scores[i]), int(self.ids[i])) for i in best]
+        others = np.flatnonzero(self.numbers != number)
+        best = others[np.lexsort((self.numbers[others], self.ids[others], -scores[others]))[:k]]
+        return [(-float(scores[i]), int(self.ids[i]), int(self.numbers[i])) for i in best]
 
 
 def products(query: np.ndarray, vectors: np.ndarray) -> list[float]:
@@ -196,34 +197,34 @@ def products(query: np.ndarray, vectors: np.ndarray) -> list[float]:
 
 
 def search(trees: DataFrame, queries: DataFrame, k: int, factor: float = FACTOR) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k rows with the largest inner products for each of (vec_id, vector).
+    """(query_id, rank, vec_id, score): the k rows with the largest inner products for each of some rows of `usable`.
 
-    Queries come in blocks, and each block meets each shard's tree; a shard gives its k best for a query,
-    and the k best of those stay. Equal scores go by smaller vec_id. With fewer candidates than k, all of
-    them are given; without queries or vectors, none. A factor of 1 gives the exact result, a smaller one
-    prunes a branch though it may hold a neighbour.
+    Queries come in blocks, and each block meets each shard's tree of its length; a shard gives its k best
+    for a query, and the k best of those stay. Every other row of that length is a candidate, also those
+    that repeat the query's id or vector; equal scores go by smaller vec_id. Queries that share an id are
+    answered each. With fewer candidates than k, all of them are given; without queries or vectors, none.
+    A factor of 1 gives the exact result, a smaller one prunes a branch though it may hold a neighbour.
     """
-    block, _ = _dealt(queries, QUERY_ROWS)
-    blocks = queries.groupBy(block.alias("block")).agg(
-        F.collect_list("vec_id").alias("query_ids"), F.collect_list("vector").alias("queries")
+    block = _dealt(queries, QUERY_ROWS)
+    blocks = queries.groupBy(F.size("vector").alias("_length"), block.alias("block")).agg(
+        F.collect_list(F.struct("row", "vector")).alias("queries")
     )
     # each block for each shard; a shard is one row, and without any there is nothing to explode
     last = trees.agg(F.max("shard")).first()[0]
     spread = blocks.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(last or 0))))
-    met = spread.join(trees, F.col("_shard") == F.col("shard")).select("shard", "block", "query_ids", "queries", "tree")
+    met = spread.join(trees, (F.col("_shard") == F.col("shard")) & (F.col("_length") == F.col("length")))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         row = rows.iloc[0]
-        ids = np.array(row["query_ids"], np.int64)
-        tree = Tree.load(row["tree"])
-        found = list(tree.search(ids, np.array([np.asarray(v, float) for v in row["queries"]]), k, factor))
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+        numbers = np.array([q["row"] for q in row["queries"]], np.int64)
+        vectors = np.array([np.asarray(q["vector"], float) for q in row["queries"]])
+        found = list(Tree.load(row["tree"]).search(numbers, vectors, k, factor))
+        return pd.DataFrame(found, columns=["query", "row", "vec_id", "score"])
 
-    found = met.groupBy("shard", "block").applyInPandas(run, "query_id bigint, vec_id bigint, score double")
+    sent = met.select("length", "shard", "block", "queries", "tree").groupBy("length", "shard", "block")
+    found = sent.applyInPandas(run, "query bigint, row bigint, vec_id bigint, score double")
     ranked = found.selectExpr(
-        "query_id",
-        "CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS int) AS rank",
-        "vec_id",
-        "score",
+        "*", "CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id, row) AS int) AS rank"
     )
-    return ranked.filter(F.col("rank") <= k)
+    asked = queries.select(F.col("row").alias("_row"), F.col("vec_id").alias("query_id"))
+    return ranked.filter(F.col("rank") <= k).join(asked, F.col("query") == F.col("_row")).select("query_id", "rank", "vec_id", "score")
