@@ -48,8 +48,9 @@ def plain(rows):
     return sorted(((d, len(s), least[g], d == least[g]) for (d, _), s, g in zip(rows, sets, group, strict=True)), key=str)
 
 
-@pytest.mark.parametrize("block", [1000, 30, 6])
-def test_equals_all_pairs(spark, block):
+@pytest.mark.parametrize("block,long_set", [(1000, 4096), (30, 4096), (6, 4096), (40, 3)])
+def test_equals_all_pairs(spark, block, long_set, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LONG_SET", long_set)
     frame = spark.createDataFrame(awkward(), SCHEMA).withColumns({"row": F.lit("clash"), "digest": F.lit(1), "kept": F.lit(2)})
     found = near_dedup.near_groups(frame, block=block, carry={"row": F.col("row")})
     assert {r["row"] for r in found.select("row").distinct().collect()} == {"clash"}
@@ -70,6 +71,7 @@ def test_texts_under_one_id_are_not_paired(spark):
     rows = [(None if k % 2 else 1, f"text {k // 4}") for k in range(400)]
     documents = spark.createDataFrame(rows, "doc_id bigint, text string")
     full = near_dedup.sketches(documents).withColumn("content", F.col("_carried._content"))
-    wanted = full.dropDuplicates(["digest"]).select(F.col("row").alias("id"), "doc_id", "content", "digest")
+    numbers = [F.col("row").alias("id"), F.lit(0).alias("family"), F.lit(1).alias("size")]
+    wanted = full.dropDuplicates(["digest"]).select(*numbers, "doc_id", "content", "digest")
     texts = near_dedup._texts(documents, wanted)
     assert texts.select("id").distinct().count() == 100 and texts.count() == 200

@@ -27,6 +27,8 @@ PERCENT = 85
 MISS = 1e-6
 #: Documents that one task compares with one another, or two blocks of which it compares.
 BLOCK = 512
+#: A document with more shingles counts as several of so many, so that a task is bounded by bytes as well.
+LONG_SET = 4096
 ROWS_AT_ONCE = 256
 REMEMBERED = 300_000
 
@@ -139,8 +141,13 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.sha256(shingles.tobytes()).digest()
 
 
+def _weight(shingles: str | Column = "shingles") -> Column:
+    """How many documents a document counts as."""
+    return F.greatest(F.lit(1), F.ceil((F.col(shingles) if isinstance(shingles, str) else shingles) / LONG_SET)).cast("bigint")
+
+
 def _sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(id, set) of the classes `wanted` (id, doc_id, content, digest), out of the texts that they come from.
+    """(id, family, size, set) of the classes `wanted` (id, family, size, doc_id, content, digest), out of their texts.
 
     Another text with the same doc_id and hash has another digest.
     """
@@ -150,30 +157,34 @@ def _sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(start, ROWS_AT_ONCE)
-                sets = [shingler.set_of(text) for text in batch.column(2).to_pylist()]
-                own = [_digest(s) == d for s, d in zip(sets, batch.column(1).to_pylist(), strict=True)]
-                ids = [i for i, o in zip(batch.column(0).to_pylist(), own, strict=True) if o]
-                raw = [s.tobytes() for s, o in zip(sets, own, strict=True) if o]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary())], ["id", "set"])
+                sets = [shingler.set_of(text) for text in batch.column(4).to_pylist()]
+                own = [_digest(s) == d for s, d in zip(sets, batch.column(3).to_pylist(), strict=True)]
+                kept = batch.select(["id", "family", "size"]).filter(pa.array(own, pa.bool_()))
+                raw = pa.array([s.tobytes() for s, o in zip(sets, own, strict=True) if o], pa.binary())
+                yield pa.RecordBatch.from_arrays([*kept.columns, raw], ["id", "family", "size", "set"])
 
-    made = _texts(documents, wanted).mapInArrow(run, "id bigint, set binary")
+    made = _texts(documents, wanted).mapInArrow(run, "id bigint, family bigint, size bigint, set binary")
     return written(made.dropDuplicates(["id"]), "near-sets")
 
 
 def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, digest, _text): the rows with the doc_id, which may be null or repeat, and the text of a class wanted.
+    """(id, family, size, digest, _text): the rows with the doc_id, which may be null or repeat, and the text of a class wanted.
 
     A row meets one class, but where hashes of texts collide.
     """
     # by sorted partitions at any size, so the plan at a small size is that at a large one
-    picked = wanted.select("id", "digest", F.col("doc_id").alias("_doc"), F.col("content").alias("_of")).hint("merge")
+    picked = wanted.select("id", "family", "size", "digest", F.col("doc_id").alias("_doc"), F.col("content").alias("_of")).hint("merge")
     texts = documents.select("doc_id", F.col("text").alias("_text"), F.xxhash64("text").alias("_content"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_content") == F.col("_of"))
-    return texts.join(picked, same).select("id", "digest", "_text")
+    return texts.join(picked, same).select("id", "family", "size", "digest", "_text")
+
 
+def _with_sets(units: DataFrame, sets: DataFrame) -> DataFrame:
+    return units.join(sets.select(F.col("id").alias("_id"), "set").hint("merge"), F.col("id") == F.col("_id")).drop("_id")
 
-def _links(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that join what is not joined, of each unit of rows (unit, id, group, left, right).
+
+def _links(units: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join what is not joined, of each unit of rows (unit, id, group, left, right, set).
 
     A unit compares its left rows with its right rows, but for those that are of one group already.
     """
@@ -187,8 +198,7 @@ def _links(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         ids = unit["id"].to_numpy()
         return pd.DataFrame({"a": ids[[a for a, _ in found]], "b": ids[[b for _, b in found]]}, dtype="int64")
 
-    joined = units.join(sets.withColumnRenamed("id", "_id").hint("merge"), F.col("id") == F.col("_id")).drop("_id")
-    return written(joined.groupBy("unit").applyInPandas(run, "a bigint, b bigint"), "near-links")
+    return written(units.groupBy("unit").applyInPandas(run, "a bigint, b bigint"), "near-links")
 
 
 def compare(sets, groups, left, right, factors, enough, percent) -> list[tuple[int, int]]:
@@ -234,8 +244,8 @@ def near_groups(
     """(doc_id, n_shingles, component_id, kept) and the columns of `carry`, for each row of (doc_id, text).
 
     Documents with equal sets of shingles are one class. Classes that share a band are candidates; those
-    that candidates connect are a family. A family of up to `block` classes is compared in one task.
-    In a larger one, each band is compared by itself, and bands of more than `block` classes in blocks:
+    that candidates connect are a family. A family of up to `block` classes is compared in one task,
+    where a class of very many shingles counts as several. In a larger one, each band is compared by itself, and bands of more than `block` classes in blocks:
     first all against one class of the band, then those pairs of blocks that are not of one component
     yet. A comparison reads signatures batch by batch, gives up a pair when the posterior probability
     that it should be linked falls below the chosen one, and counts the full sets of the others.
@@ -258,8 +268,8 @@ def near_groups(
         "near-classes",
     )
     first = full.join(classes.select(F.col("id").alias("_id")).hint("merge"), F.col("row") == F.col("_id"), "left_semi")
-    banded = written(first.select(F.col("row").alias("id"), F.explode("bands").alias("band")), "near-bands")
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("low")).filter("size > 1")
+    banded = written(first.select(F.col("row").alias("id"), _weight().alias("weight"), F.explode("bands").alias("band")), "near-bands")
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("size"), F.min("id").alias("low")).filter("n > 1").drop("n")
     members = written(
         banded.join(shared.withColumnRenamed("band", "_band").hint("merge"), F.col("band") == F.col("_band")).drop("_band"),
         "near-members",
@@ -267,19 +277,22 @@ def near_groups(
     families = written(
         components(members.select(F.col("id").alias("a"), F.col("low").alias("b")), "near-families"), "near-families"
     ).toDF("id", "family")
-    wanted = full.join(families.select(F.col("id").alias("_id")).hint("merge"), F.col("row") == F.col("_id"), "left_semi")
-    sets = _sets(documents, wanted.select(F.col("row").alias("id"), "doc_id", F.col("_carried._content").alias("content"), "digest"), words)
-
-    sizes = families.groupBy(F.col("family").alias("_family")).agg(F.count(F.lit(1)).alias("size"))
+    wanted = full.join(families.hint("merge"), F.col("row") == F.col("id"))
+    sizes = wanted.groupBy(F.col("family").alias("_family")).agg(F.sum(_weight()).alias("size"))
     sized = written(
-        families.join(sizes.hint("merge"), F.col("family") == F.col("_family")).select("id", "family", "size"), "near-sized"
+        wanted.join(sizes.hint("merge"), F.col("family") == F.col("_family")).select(
+            "id", "family", "size", "doc_id", F.col("_carried._content").alias("content"), "digest"
+        ),
+        "near-sized",
     )
+    sets = _sets(documents, sized, words)
+    # a small family's sets are dealt by family, and only those of large ones meet their bands
     all_pairs = [F.lit(True).alias("left"), F.lit(True).alias("right")]
-    small = sized.filter(F.col("size") <= block)
-    links = _links(small.select(F.concat_ws(":", F.lit("f"), "family").alias("unit"), "id", F.col("id").alias("group"), *all_pairs), sets, percent)
+    small = sets.filter(F.col("size") <= block)
+    links = _links(small.select(F.col("family").alias("unit"), "id", F.col("id").alias("group"), *all_pairs, "set"), percent)
     large = sized.filter(F.col("size") > block)
     if not large.isEmpty():
-        links = links.union(_links_of_large(large, members, sets, percent, block))
+        links = links.union(_links_of_large(large, members, sets.filter(F.col("size") > block), percent, block))
     linked = components(links, "near-components")
     resolved = classes.join(linked.hint("merge"), F.col("id") == F.col("node"), "left").select(
         "digest", "least", "first", F.coalesce("component", "id").alias("component")
@@ -322,14 +335,14 @@ def _links_of_large(large: DataFrame, members: DataFrame, sets: DataFrame, perce
     narrow = bands.filter(F.col("size") <= block).select(
         F.concat_ws(":", F.lit("b"), "band").alias("unit"), "id", F.col("id").alias("group"), *all_pairs
     )
-    links = _links(narrow, sets, percent)
-    wide = bands.filter(F.col("size") > block).select("band", "id", "low")
+    links = _links(_with_sets(narrow, sets), percent)
+    wide = bands.filter(F.col("size") > block).select("band", "id", "low", "weight")
     if wide.isEmpty():
         return links
 
     def blocks(frame: DataFrame, order: list[str]) -> DataFrame:
-        placed = prefix_sums(frame.withColumn("_one", F.lit(1)), "band", order, "_one", "near-blocks")
-        return placed.withColumn("part", F.floor(F.col("row_before") / block)).drop("before", "row_before", "_one")
+        placed = prefix_sums(frame, "band", order, "weight", "near-blocks")
+        return placed.withColumn("part", F.floor(F.col("before") / block)).drop("before", "row_before", "weight")
 
     # each block against the band's first class, which stands in all of its units
     parts = written(blocks(wide, ["id"]), "near-parts")
@@ -338,18 +351,18 @@ def _links_of_large(large: DataFrame, members: DataFrame, sets: DataFrame, perce
     star = rest.union(firsts).select(
         F.concat_ws(":", F.lit("s"), "band", "part").alias("unit"), "id", F.col("id").alias("group"), "left", (~F.col("left")).alias("right")
     )
-    links = written(links.union(_links(star, sets, percent)), "near-so-far")
+    links = written(links.union(_links(_with_sets(star, sets), percent)), "near-so-far")
     # by component, so that a large one fills blocks of its own, which need no comparison
     known = components(links, "near-so-far")
     grouped = wide.join(known.hint("merge"), F.col("id") == F.col("node"), "left").select(
-        "band", "id", F.coalesce("component", "id").alias("group")
+        "band", "id", "weight", F.coalesce("component", "id").alias("group")
     )
     parts = written(blocks(grouped, ["group", "id"]), "near-parts")
     spans = written(
         parts.groupBy("band", "part").agg(F.min("group").alias("low"), F.max("group").alias("high")), "near-spans"
     )
     other = spans.toDF("_band", "other", "other_low", "other_high")
-    # pairs of blocks, of which there is one for each `block` rows; not pairs of rows
+    # pairs of blocks, of which there is one for each `block` of weight; not pairs of rows
     pairs = spans.join(other, (F.col("band") == F.col("_band")) & (F.col("part") <= F.col("other"))).filter(
         F.least("low", "other_low") < F.greatest("high", "other_high")
     )
@@ -371,4 +384,4 @@ def _links_of_large(large: DataFrame, members: DataFrame, sets: DataFrame, perce
     units = sides.join(parts, (F.col("_band") == F.col("band")) & (F.col("at") == F.col("part"))).select(
         "unit", "id", "group", "left", "right"
     )
-    return links.union(_links(units, sets, percent))
+    return links.union(_links(_with_sets(units, sets), percent))
