@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
+from array import array
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +45,12 @@ class Vocabulary:
         back = {letter: bytes([byte]) for byte, letter in letters.items()}
         ids = model["vocab"]
         self.byte_ids = [ids[letters[byte]] for byte in range(256)]
-        #: by the two ids, in one number: the rank of their merge; by rank: the id it gives
-        self.ranks: dict[int, int] = {}
+        #: by the left id, by the right id: the rank of their merge; by rank: the id it gives
+        self.ranks: list[dict[int, int]] = [{} for _ in range(max(ids.values()) + 1)]
         self.made: list[int] = []
         for merge in model["merges"]:
             left, right = merge if isinstance(merge, list) else merge.split(" ")
-            self.ranks[ids[left] << 32 | ids[right]] = len(self.made)
+            self.ranks[ids[left]][ids[right]] = len(self.made)
             self.made.append(ids[left + right])
         special = {token["content"]: token["id"] for token in parsed["added_tokens"]}
         self.special = special
@@ -60,56 +61,66 @@ class Vocabulary:
         for token, number in special.items():
             self.texts[number] = token.encode()
         self.split = regex.compile(SPLIT)
+        self.split_ascii = re.compile(SPLIT.replace(r"\s\p{L}\p{N}", r"\sA-Za-z0-9").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]"))
+        # separators that the two kinds of patterns may take for white space or not
+        self.odd = re.compile(r"[\x1c-\x1f]")
         young = "".join(
             "-".join(rf"\U{int(end, 16):08x}" for end in part.split("-")) for part in YOUNG.split()
         )
         self.young = regex.compile(f"[{young}]")
         self.beyond = regex.compile(rf"[\u{int(YOUNG.split()[0], 16):04x}-\U0010ffff]")
         self.special_split = regex.compile("|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) or r"(?!)")
-        self.known: dict[str, tuple[int, ...]] = {}
+        #: by word: its ids, four bytes each
+        self.known: dict[str, bytes] = {}
+
+    def __getstate__(self) -> dict:
+        return {**vars(self), "known": {}}
 
     def words(self, text: str) -> list[str]:
-        if text.isascii() or not self.beyond.search(text) or not self.young.search(text):
+        if text.isascii():
+            return (self.split if self.odd.search(text) else self.split_ascii).findall(text)
+        if not self.beyond.search(text) or not self.young.search(text):
             return self.split.findall(text)
         plain = self.young.sub("¡", text)
         return [text[m.start() : m.end()] for m in self.split.finditer(plain)]
 
-    def ids(self, word: str) -> tuple[int, ...]:
+    def ids(self, word: str) -> bytes:
         found = self.known.get(word)
         if found is None:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             raw = word.encode()
-            found = tuple(self._scan(raw) if len(raw) <= SHORT_WORD else self._heap(raw))
+            found = array("i", self._scan(raw) if len(raw) <= SHORT_WORD else self._heap(raw)).tobytes()
             if len(raw) <= SHORT_WORD:
                 self.known[word] = found
         return found
 
     def _scan(self, raw: bytes) -> list[int]:
         """The array of parts and the array of ranks of neighbours; the least rank goes first, the leftmost of equals."""
-        merge, made, never = self.ranks.get, self.made, len(self.made)
-        parts = [self.byte_ids[byte] for byte in raw]
-        ranks = [merge(left << 32 | right, never) for left, right in zip(parts, parts[1:], strict=False)]
+        merges, made, never = self.ranks, self.made, len(self.made)
+        byte_ids = self.byte_ids
+        parts = [byte_ids[byte] for byte in raw]
+        ranks = [merges[left].get(right, never) for left, right in zip(parts, parts[1:], strict=False)]
         while ranks and (least := min(ranks)) != never:
             at = ranks.index(least)
             parts[at] = part = made[least]
             del parts[at + 1], ranks[at]
             if at:
-                ranks[at - 1] = merge(parts[at - 1] << 32 | part, never)
+                ranks[at - 1] = merges[parts[at - 1]].get(part, never)
             if at < len(ranks):
-                ranks[at] = merge(part << 32 | parts[at + 1], never)
+                ranks[at] = merges[part].get(parts[at + 1], never)
         return parts
 
     def _heap(self, raw: bytes) -> list[int]:
         """The same merges for a long word: neighbours in linked lists, ranks in a heap."""
         parts: list[int | None] = [self.byte_ids[byte] for byte in raw]
-        size, merge = len(parts), self.ranks.get
+        size, merges = len(parts), self.ranks
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
         heap = []
 
         def push(at: int) -> None:
             pair = parts[at], parts[after[at]]
-            if (rank := merge(pair[0] << 32 | pair[1])) is not None:
+            if (rank := merges[pair[0]].get(pair[1])) is not None:
                 heapq.heappush(heap, (rank, at, pair))
 
         for at in range(size - 1):
@@ -129,18 +140,37 @@ class Vocabulary:
         return [part for part in parts if part is not None]
 
     def encode(self, text: str) -> list[int]:
-        ids, at = [], 0
+        return array("i", self.encoded(text)).tolist()
+
+    def encoded(self, text: str) -> bytes:
+        """The ids of a text, four bytes each."""
+        pieces, at = [], 0
         for mark in self.special_split.finditer(text) if self.special else ():
-            ids.extend(chain.from_iterable(map(self.ids, self.words(text[at : mark.start()]))))
-            ids.append(self.special[mark.group()])
+            pieces += self._known(self.words(text[at : mark.start()]))
+            pieces.append(array("i", [self.special[mark.group()]]).tobytes())
             at = mark.end()
-        ids.extend(chain.from_iterable(map(self.ids, self.words(text[at:] if at else text))))
-        return ids
+        pieces += self._known(self.words(text[at:] if at else text))
+        return b"".join(pieces)
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, words))
+        return [self.ids(word) if ids is None else ids for word, ids in zip(words, found, strict=True)] if None in found else found
 
     def decode(self, ids: Sequence[int]) -> str:
-        """Bytes that are not UTF-8 become replacement characters, ids outside the vocabulary nothing."""
-        size = len(self.texts)
-        return b"".join([self.texts[i] for i in ids if i is not None and 0 <= i < size]).decode(errors="replace")
+        return decoded(np.array([-1 if i is None else i for i in ids], np.int64), _texts(self.texts))
+
+
+def _texts(texts: list[bytes]) -> np.ndarray:
+    """The texts of ids, and an empty one for ids outside the vocabulary."""
+    table = np.empty(len(texts) + 1, object)
+    table[:] = [*texts, b""]
+    return table
+
+
+def decoded(ids: np.ndarray, texts: np.ndarray) -> str:
+    """Bytes that are not UTF-8 become replacement characters, ids outside the vocabulary nothing."""
+    outside = (ids < 0) | (ids >= len(texts) - 1)
+    return b"".join(texts[np.where(outside, len(texts) - 1, ids)].tolist()).decode(errors="replace")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -156,10 +186,10 @@ def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, ROWS_AT_ONCE)
 
 
-def _content(documents: DataFrame, path: str):
-    """The vocabulary file, read once on the driver and sent to the tasks; it is some megabytes at any input."""
+def _vocabulary(path: str) -> Vocabulary:
+    """The vocabulary file, read once on the driver; it is some megabytes at any input."""
     with open(path, encoding="utf-8") as file:
-        return documents.sparkSession.sparkContext.broadcast(file.read())
+        return Vocabulary(file.read())
 
 
 def encode(documents: DataFrame, path: str, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -172,17 +202,18 @@ def encode(documents: DataFrame, path: str, carry: Sequence[str] = ("doc_id",))
     A null or empty text has no ids. All rows are encoded by themselves, so repeated rows repeat and
     an empty table gives an empty table. Columns not named in `carry` are not read.
     """
-    content = _content(documents, path)
+    # a worker keeps it from task to task, and the words that it learned
+    shared = documents.sparkSession.sparkContext.broadcast(_vocabulary(path))
     names = list(carry)
     read = documents.select(*names, text_or_empty("text").alias("_text"))
     schema = T.StructType([*documents.select(*names).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(content.value)
+        vocabulary = shared.value
         for batch in _small(batches):
-            all_ids = [vocabulary.encode(text) for text in batch.column(len(names)).to_pylist()]
-            offsets = np.cumsum([0, *map(len, all_ids)], dtype=np.int32)
-            flat = np.fromiter(chain.from_iterable(all_ids), dtype=np.int32, count=int(offsets[-1]))
+            all_ids = [vocabulary.encoded(text) for text in batch.column(len(names)).to_pylist()]
+            offsets = np.cumsum([0, *(len(ids) // 4 for ids in all_ids)], dtype=np.int32)
+            flat = np.frombuffer(b"".join(all_ids), np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], ids], [*names, "ids"])
 
@@ -191,7 +222,8 @@ def encode(documents: DataFrame, path: str, carry: Sequence[str] = ("doc_id",))
 
 def decode(encoded: DataFrame, path: str, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The columns `carry` and `text`, the decoded `ids`, of each row; null or no ids give an empty text."""
-    content = _content(encoded, path)
+    # the texts of tokens are all that decoding needs
+    shared = encoded.sparkSession.sparkContext.broadcast(_texts(_vocabulary(path).texts))
     names = list(carry)
     # ids that are carried along are read there
     read = encoded.select(*names) if "ids" in names else encoded.select(*names, F.col("ids").alias("_ids"))
@@ -199,9 +231,12 @@ def decode(encoded: DataFrame, path: str, carry: Sequence[str] = ("doc_id",)) ->
     schema = T.StructType([*encoded.select(*names).schema.fields, T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(content.value)
+        known = shared.value
         for batch in _small(batches):
-            texts = [vocabulary.decode(ids or ()) for ids in batch.column(at).to_pylist()]
+            column = batch.column(at)
+            flat = column.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            texts = [decoded(ids, known) for ids in np.split(flat, ends[:-1])] if len(ends) else []
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(texts, pa.string())], [*names, "text"])
 
     return read.mapInArrow(run, schema)
