@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,25 @@ def _key() -> Column:
     return F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text_or_empty("text")), 256)
 
 
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def own_names(stage: Callable) -> Callable:
+    """A stage that sees further columns under names of their own, so that they clash with none of its helpers."""
+
+    def run(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        own = [name if name in DOCUMENT else f"_column{at}" for at, name in enumerate(docs.columns)]
+        kept = stage(spark, docs.toDF(*own), folder).select(*own)
+        return kept.toDF(*docs.columns)
+
+    return run
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents whose probability of being toxic is below one half, by a model of the labelled ones."""
+    """Documents whose probability of being toxic is below one half, by a model of the labelled ones.
+
+    Null and empty texts are judged as such, repeated rows alike.
+    """
     model = toxicity.fit(docs, table(spark, folder, "labels"))
     # under names of their own, so that no column clashes with the score; the text is sent once
     own = {name: "text" if name == "text" else f"_column{at}" for at, name in enumerate(docs.columns)}
@@ -24,13 +43,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return scored.filter("score < 0.5").select(*(F.col(o).alias(n) for n, o in own.items()))
 
 
+@own_names
 def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of equal texts; a row that is repeated stays once."""
+    """One document of each group of equal texts; a row that is repeated stays once. Null texts are empty ones."""
     kept = exact_dedup.exact_groups(docs, {"key": _key()}).filter("kept").select("key")
     once = docs.withColumn("_key", _key()).dropDuplicates(["_key"])
     return once.join(kept.hint("merge"), F.col("_key") == F.col("key"), "left_semi").drop("_key")
 
 
+@own_names
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each component of near copies: of five-word shingles, 80 % alike or more.
 
@@ -41,6 +62,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     return docs.join(kept.hint("merge"), _key() == F.col("key"), "left_semi")
 
 
+@own_names
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents that the mix takes, as often as it takes them; the one where it ends is cut there."""
     mixed = mixing.mix(docs, carry={"_key": _key()}).filter("taken > 0")
