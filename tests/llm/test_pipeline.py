@@ -118,3 +118,17 @@ def test_one_of_near_copies_under_the_same_or_no_id_stays(spark):
     assert len([r for r in found if r[1] in same]) == len([r for r in found if r[1] in none]) == 1
     assert [r for r in found if r[1] in mixed_ids] == [(8, mixed_ids[2])]
     assert len(found) == 3 + 4
+
+
+def test_further_columns_with_clashing_names_are_kept(spark, tmp_path):
+    rows = [(k, f"words of text number {k // 2} and {'some more of them ' * (k % 3)}", "en", f"s{k % 2}", 30) for k in range(12)]
+    rows += [(None, None, None, None, None), (12, "x" * 100_000 + " y", "en", "s0", 100_002)]
+    plain = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    extra = {"key": F.lit("k"), "_key": F.col("doc_id") + 1, "_size": F.lit(-1), "_of": F.lit("o"), "taken": F.lit(7), "digest": F.lit("d")}
+    wide = plain.withColumns(extra)
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("exact dedup", "near dedup", "mixing"):
+        found = stages[name](spark, wide, str(tmp_path))
+        assert found.columns == wide.columns
+        expected = stages[name](spark, plain, str(tmp_path)).withColumns(extra)
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str), name
