@@ -138,6 +138,25 @@ SELECT doc_id, size, source_size, target,
 FROM goals
 """
 
+# products are added up from the first component to the last, as the query does, so that the sums are the same
+NEAREST = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), usable AS (
+  SELECT * FROM vectors
+  WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS other,
+    list_reduce(list_prepend(0::DOUBLE, list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])), lambda a, b: a + b) AS score
+  FROM usable q JOIN usable c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other)::INTEGER AS rank, vec_id, score FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 _H = [f"('0x' || substr(hexes, {8 * k + 1}, 8))::UBIGINT" for k in range(4)]
 
 FILL_IN_MIDDLE = f"""
@@ -235,6 +254,7 @@ STATEMENTS = {
     "op1_preference": PREFERENCE,
     "op2_secrets": _secrets(),
     "op7_exact_dedup": EXACT_DEDUP,
+    "op9_nearest": NEAREST,
     "op10_mix": MIX,
     "op11_manifest": _manifest(),
     "op13_fill_in_middle": FILL_IN_MIDDLE,
