@@ -138,6 +138,19 @@ SELECT doc_id, size, source_size, target,
 FROM goals
 """
 
+ARCHIVED = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS bytes FROM pages
+), stored AS (
+  SELECT *, CASE WHEN bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS response FROM payloads
+)
+SELECT page_id, bytes::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to
+FROM stored
+"""
+
+
 # products are added up from the first component to the last, as the query does, so that the sums are the same
 NEAREST = """
 WITH vectors AS (
@@ -253,6 +266,7 @@ def _manifest(levels: int = 8, levels_of_groups: int = 4) -> str:
 STATEMENTS = {
     "op1_preference": PREFERENCE,
     "op2_secrets": _secrets(),
+    "op5_warc": ARCHIVED,
     "op7_exact_dedup": EXACT_DEDUP,
     "op9_nearest": NEAREST,
     "op10_mix": MIX,
