@@ -138,6 +138,34 @@ SELECT doc_id, size, source_size, target,
 FROM goals
 """
 
+# all pairs that share a shingle, and all that links lead to
+NEAR = f"""
+WITH RECURSIVE split AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{"".join(map(chr, range(65, 91)))}', '{"".join(map(chr, range(97, 123)))}'),
+      '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT r, unnest(list_distinct(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END)) AS shingle
+  FROM split WHERE len(w) > 0
+), sizes AS (
+  SELECT r, count(*) AS n FROM sets GROUP BY r
+), shared AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS k FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.r < b.r GROUP BY a.r, b.r
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT r AS a, r AS b FROM split UNION SELECT reached.a, ways.b FROM reached JOIN ways ON reached.b = ways.a
+), least AS (
+  SELECT a AS r, min(doc_id) AS component_id FROM reached JOIN split ON split.r = reached.b GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM split JOIN least USING (r) LEFT JOIN sizes USING (r)
+"""
+
+
 ARCHIVED = """
 WITH payloads AS (
   SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS bytes FROM pages
@@ -268,6 +296,7 @@ STATEMENTS = {
     "op2_secrets": _secrets(),
     "op5_warc": ARCHIVED,
     "op7_exact_dedup": EXACT_DEDUP,
+    "op8_near_dedup": NEAR,
     "op9_nearest": NEAREST,
     "op10_mix": MIX,
     "op11_manifest": _manifest(),
