@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import near_dedup
+from tidemark.llm import common, near_dedup
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -75,3 +75,21 @@ def test_texts_under_one_id_are_not_paired(spark):
     wanted = full.dropDuplicates(["digest"]).select(*numbers, "doc_id", "content", "digest")
     texts = near_dedup._texts(documents, wanted)
     assert texts.select("id").distinct().count() == 100 and texts.count() == 200
+
+
+@pytest.mark.parametrize("edges_at_once", [3, 1 << 20])
+def test_components_of_paths_stars_and_repeated_links(spark, monkeypatch, edges_at_once):
+    monkeypatch.setattr(common, "EDGES_AT_ONCE", edges_at_once)
+    rng = random.Random(5)
+    path = list(range(100, 160))
+    rng.shuffle(path)
+    links = [*zip(path, path[1:], strict=False), *((7, n) for n in range(200, 260)), *((n, 3) for n in range(230, 290))]
+    links += [(rng.randrange(1000, 1060), rng.randrange(1000, 1060)) for _ in range(40)] + [(5, 5), (2, 1), (1, 2), (2, 1)]
+    least = {n: n for link in links if link[0] != link[1] for n in link}
+    for _ in least:
+        for a, b in links:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    frame = spark.createDataFrame(links, "a bigint, b bigint").repartition(5)
+    assert sorted(map(tuple, common.components(frame, "test").collect())) == sorted(least.items())
+    assert common.components(frame.limit(0), "test").count() == 0

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +14,8 @@ from tidemark.runtime import scratch_dir
 
 #: A word: a run without space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Links between nodes that a task contracts at a time.
+EDGES_AT_ONCE = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,31 +72,69 @@ def prefix_sums(rows: DataFrame, group: str, order: list[str], value: str, purpo
     )
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) with the same components, of which each task gives a star for each component of its own part.
+
+    A task holds `EDGES_AT_ONCE` edges at a time and gives at most as many as it takes; nothing is shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, rows = [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                waiting.append(batch)
+                rows += batch.num_rows
+            if waiting and (batch is None or rows >= EDGES_AT_ONCE):
+                a, b = (np.concatenate([w.column(k).to_numpy() for w in waiting]) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in stars(a, b)], ["a", "b"])
+                waiting, rows = [], 0
+
+    return edges.select("a", "b").mapInArrow(run, "a bigint, b bigint")
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of the edges that is not its component's least, and that least node."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, other = place[: len(a)], place[len(a) :]
+    least = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(least[one], least[other]), np.maximum(least[one], least[other])
+        if (low == high).all():
+            break
+        np.minimum.at(least, high, low)
+        while (least != (further := least[least])).any():
+            least = further
+    led = least != np.arange(len(nodes))
+    return nodes[led], nodes[least[led]]
+
+
 def components(edges: DataFrame, purpose: str) -> DataFrame:
     """(node, component) of each node of the edges (a, b); a component is named by its least node.
 
-    Large stars and small stars in turn: each node's larger neighbours, then its smaller ones, are
-    linked to the least node next to it, until nothing changes. The least is counted before the
-    shuffle, and edges meet it by a join whose large partitions Spark splits, so a node with very
-    many neighbours is no single task's work.
+    Tasks contract the edges they read. Then large stars and small stars in turn: each node's larger
+    neighbours, then its smaller ones, are linked to the least node next to it, until each node is
+    linked with one that has no smaller neighbour. The least is counted before the shuffle, and edges
+    meet it by a join whose large partitions Spark splits, so a node with very many neighbours is no
+    single task's work.
     """
 
     def least(links: DataFrame) -> DataFrame:
         return links.groupBy(F.col("a").alias("_u")).agg(F.min("b").alias("_m")).select("_u", F.least("_u", "_m").alias("_m"))
 
-    def state(links: DataFrame) -> tuple:
-        return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def unfinished(links: DataFrame) -> bool:
+        sides = both_ways(links).groupBy("a").agg(F.count_if(F.col("b") < F.col("a")).alias("low"), F.count_if(F.col("b") > F.col("a")).alias("high"))
+        return not sides.filter("low > 1 OR low = 1 AND high > 0").isEmpty()
+
+    def both_ways(links: DataFrame) -> DataFrame:
+        return links.union(links.select("b", "a").toDF("a", "b"))
 
-    ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    links = written(ordered.distinct(), purpose)
-    before = None
-    while (now := state(links)) != before:
-        before = now
-        both = links.union(links.select("b", "a").toDF("a", "b"))
+    links = written(contracted(edges.filter("a <> b")), purpose)
+    while unfinished(links):
+        both = both_ways(links)
         large = both.filter("b > a").join(least(both).hint("merge"), F.col("a") == F.col("_u"))
-        links = written(large.select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct(), purpose)
+        links = written(large.select(F.col("b").alias("a"), F.col("_m").alias("b")), purpose)
         small = links.join(least(links).hint("merge"), F.col("a") == F.col("_u"))
         joined = small.select(F.col("b").alias("a"), F.col("_m").alias("b")).union(small.select("a", F.col("_m").alias("b")))
-        links = written(joined.filter("a <> b").distinct(), purpose)
+        links = written(contracted(written(joined.filter("a <> b").distinct(), purpose)), purpose)
     roots = links.select("b").distinct()
     return links.toDF("node", "component").union(roots.select("b", F.col("b").alias("component")))
