@@ -88,7 +88,8 @@ def test_ranking_as_counts_change(spark, events, tmp_path, monkeypatch, spread,
     monkeypatch.setattr(PaneStore.__init__, "__defaults__", (every,))
     batch, stream = arrivals(spark, events, tmp_path, spread, parts=6)
     span, wait = (600 * SECOND, 60 * SECOND), (30 * SECOND, 60 * SECOND)
-    found = pipelines.rank_changing_counts(stream, str(tmp_path / "run"), "user_id", 3, *span, *wait, seq="event_id")
+    changes = pipelines.ranking_changes(stream, str(tmp_path / "run"), "user_id", 3, *span, *wait, seq="event_id")
+    found = pipelines.folded(changes)
     marked = with_watermark_at_arrival(batch, wait[0])
     counts = windows.sliding_counts(marked, ["user_id"], *span, first_open=first_open_end(wait[1]))
     expected = ranking.top_n(counts, 3, "user_id")
@@ -96,6 +97,15 @@ def test_ranking_as_counts_change(spark, events, tmp_path, monkeypatch, spread,
     assert as_set(found, *columns) == as_set(expected, *columns)
     whole = ranking.top_n(windows.sliding_counts(batch, ["user_id"], *span), 3, "user_id")
     assert (as_set(whole, *columns) == as_set(expected, *columns)) == (spread == 20)
+    # a batch inserts what isn't there, deletes what is, and doesn't write what stays
+    there, batches = set(), set()
+    for row in changes.orderBy("batch_id").collect():
+        ranked = tuple(row[name] for name in columns)
+        assert row["delta"] == (-1 if ranked in there else 1)
+        assert (row["batch_id"], ranked) not in batches
+        batches.add((row["batch_id"], ranked))
+        there ^= {ranked}
+    assert there == as_set(expected, *columns) and any(row["delta"] < 0 for row in changes.collect())
 
 
 def test_kept_counts_stay_few(spark, tmp_path):
@@ -130,6 +140,8 @@ def test_visitors(source):
     running = pipelines.running_visitors(stream, f"{folder}/running", size, DISORDER * SECOND)
     assert as_set(closed, "window_end", "uv") == as_set(visitors.exact(on_time(batch), size), "window_end", "uv")
     assert as_set(running, "window_end", "uv") == as_set(visitors.exact(batch, size), "window_end", "uv")
+    bits = append_available(pipelines.final_bitmap_visitors(stream, size, DISORDER * SECOND), f"{folder}/bits")
+    assert as_set(bits, "window_end", "uv") == as_set(visitors.hashed_bitmap(on_time(batch), size), "window_end", "uv")
 
 
 def split_sides(df):

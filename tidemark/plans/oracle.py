@@ -273,6 +273,7 @@ STATEMENTS |= {
     "stream_pv_hourly": STATEMENTS["pv_hourly"],
     "stream_uv": STATEMENTS["uv_exact"],
     "stream_uv_running": STATEMENTS["uv_exact"],
+    "stream_uv_bitmap": STATEMENTS["uv_bitmap"],
     "stream_interval_join": STATEMENTS["pay_receipt_interval_join"],
     "stream_pay_receipt": STATEMENTS["pay_receipt_match"],
     "stream_login_fail": BURSTS,

@@ -55,7 +55,7 @@ def stream_hot_pages_top3(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_hot_items_updates(spark: SparkSession, folder: str) -> DataFrame:
-    """The ranked table as a changelog: the newest ranking of every window, open ones included."""
+    """The ranked table folded from its changelog: the newest ranking of every window, open ones included."""
     top = pipelines.rank_changing_counts(
         _streams(spark, folder).page_views(),
         scratch_dir(spark, "hot-items-updates"),
@@ -123,6 +123,14 @@ def stream_uv(spark: SparkSession, folder: str) -> DataFrame:
     return uv.select(epoch_seconds("window_end").alias("window_end"), "uv")
 
 
+def stream_uv_bitmap(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _bounded(spark, folder)
+    uv = append_available(
+        pipelines.final_bitmap_visitors(tables.page_views(), HOUR, DISORDER), scratch_dir(spark, "uv-bitmap"), tables.end_input
+    )
+    return uv.select(epoch_seconds("window_end").alias("window_end"), "uv")
+
+
 def stream_uv_running(spark: SparkSession, folder: str) -> DataFrame:
     uv = pipelines.running_visitors(
         _streams(spark, folder).page_views(), scratch_dir(spark, "uv-running"), HOUR, DISORDER
@@ -259,6 +267,7 @@ REPORTS: dict[str, Report] = {
     "stream_pv_hourly": stream_pv_hourly,
     "stream_uv": stream_uv,
     "stream_uv_running": stream_uv_running,
+    "stream_uv_bitmap": stream_uv_bitmap,
     "stream_interval_join": stream_interval_join,
     "stream_pay_receipt": stream_pay_receipt,
     "stream_login_fail": stream_login_fail,

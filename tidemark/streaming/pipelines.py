@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.eventtime import as_interval, as_micros
+from tidemark.functions.hashing import rolling_offset
 from tidemark.operators import lateness, ranking, windows
 from tidemark.operators.joins import interval_join
 from tidemark.streaming import processors
@@ -63,18 +64,44 @@ def rank_changing_counts(
     allowed_lateness: timedelta,
     seq: str,
 ) -> DataFrame:
-    """Top-N per window that is corrected as late rows come in; the newest ranking of each window.
+    """Top-N per window that is corrected as late rows come in; the newest ranking of each window."""
+    return folded(ranking_changes(hits, folder, key, n, size, slide, disorder, allowed_lateness, seq))
+
+
+def folded(changes: DataFrame) -> DataFrame:
+    """The rows that a changelog leaves: those inserted (`delta` 1) and not deleted (-1) since."""
+    kept = [name for name in changes.columns if name not in ("delta", "batch_id")]
+    return changes.groupBy(*kept).agg(F.sum("delta").alias("_left")).filter("_left > 0").select(*kept)
+
+
+def ranking_changes(
+    hits: DataFrame,
+    folder: str,
+    key: str,
+    n: int,
+    size: timedelta,
+    slide: timedelta,
+    disorder: timedelta,
+    allowed_lateness: timedelta,
+    seq: str,
+) -> DataFrame:
+    """Top-N per window as a changelog: rows that a micro-batch inserts into the rankings, and those it deletes.
 
     A row counts in those of its windows that are open when it arrives, as in the batch: a window takes
     rows until the watermark at their arrival has passed its end by `allowed_lateness`. `seq` numbers
     the arrivals of a micro-batch. Kept are counts per key, first open window and end, which raise the
     counts of all windows between these two. A micro-batch adds to them, ranks again the windows
-    that it adds to, and no others; counts of which all windows are closed are dropped.
+    that it adds to, and no others; counts of which all windows are closed are dropped. Changes are
+    the difference of a window's rankings before and after, so ranks that stay are not written; the
+    rankings before are kept until their windows are closed. `batch_id` tells the micro-batches apart.
     """
     spark = hits.sparkSession
     size_us, slide_us = as_micros(size), as_micros(slide)
     panes = PaneStore(spark, f"{folder}/panes", [key, "_first", "_stop"], "_n", f"{_ddl(hits, key)}, _first bigint, _stop bigint, _n bigint")
-    ranks = BatchLog(spark, f"{folder}/ranks", f"{_ddl(hits, key)}, window_end timestamp, cnt bigint, rank bigint")
+    ranked = [key, "window_end", "cnt", "rank"]
+    schema = f"{_ddl(hits, key)}, window_end timestamp, cnt bigint, rank bigint, delta bigint"
+    ranks = BatchLog(spark, f"{folder}/ranks", schema)
+    current = PaneStore(spark, f"{folder}/current", ranked, "delta", schema)
     marks = Marks(spark, f"{folder}/marks", disorder)
 
     def rank_touched(batch: DataFrame, batch_id: int) -> None:
@@ -95,17 +122,22 @@ def rank_changing_counts(
                 touched = own.select("_first", "_stop").distinct().select(F.explode(ends).alias("_end")).distinct()
                 open_ends = touched.select(F.timestamp_micros("_end").alias("window_end"))
                 top = ranking.top_n(counts.join(open_ends, "window_end", "left_semi"), n, key)
-                ranks.write(top.select(key, "window_end", "cnt", "rank"), batch_id)
+                versions = top.select(*ranked, F.lit(1).cast("bigint").alias("delta"))
+                if current.paths(batch_id - 1):
+                    before = current.read(batch_id - 1).join(open_ends, "window_end", "left_semi")
+                    versions = versions.unionByName(before.withColumn("delta", -F.col("delta")))
+                changes = versions.groupBy(*ranked).agg(F.sum("delta").alias("delta")).filter("delta <> 0")
+                ranks.write(current.write(changes, batch_id), batch_id)
             # windows that end by then take no more rows
             closed = seen - as_micros(disorder) + lateness.TICK_US - as_micros(allowed_lateness)
             panes.compact(batch_id, F.col("_stop") > closed)
+            if current.paths(batch_id):
+                current.compact(batch_id, F.unix_micros("window_end") > closed)
         finally:
             dated.unpersist()
 
     each_batch(hits, folder, rank_touched)
-    all_ranks = ranks.read()
-    newest = all_ranks.groupBy("window_end").agg(F.max("batch_id").alias("batch_id"))
-    return all_ranks.join(newest, ["window_end", "batch_id"]).drop("batch_id")
+    return ranks.read()
 
 
 class Marks:
@@ -147,6 +179,23 @@ def final_visitors(events: DataFrame, size: timedelta, disorder: timedelta, visi
     )
 
 
+def final_bitmap_visitors(events: DataFrame, size: timedelta, disorder: timedelta, visitor: str = "user_id") -> DataFrame:
+    """Set bits of a hashed bitmap per closed window, as in the batch, collisions included.
+
+    State holds the bitmap's words of 64 bits that have any bit set, merged by OR; their bits are
+    counted once the window is closed. So a window holds 2^24 words at most, however many visitors it has.
+    """
+    window = F.window("ts", as_interval(size))
+    offsets = events.withWatermark("ts", as_interval(disorder)).select(
+        window.alias("window"), rolling_offset(F.col(visitor).cast("string")).alias("_offset")
+    )
+    words = offsets.groupBy("window", F.shiftright("_offset", 6).alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(_offset & 63 AS INT)))").alias("_bits")
+    )
+    counted = words.groupBy("window").agg(F.sum(F.bit_count("_bits")).cast("bigint").alias("uv"))
+    return counted.select(F.col("window.end").alias("window_end"), F.coalesce("uv", F.lit(0)).alias("uv"))
+
+
 def running_visitors(
     events: DataFrame, folder: str, size: timedelta, disorder: timedelta, visitor: str = "user_id"
 ) -> DataFrame:
