@@ -17,6 +17,7 @@ from tidemark.functions.hashing import rolling_offset
 from tidemark.operators import aggregates, clickcap, joins, lateness, patterns, ranking, visitors, windows
 from tidemark.operators.bursts import failure_bursts
 from tidemark.operators.lifecycle import order_outcomes
+from tidemark.operators.outputs import Outputs
 from tidemark.sources import kafka, schemas, text
 from tidemark.sources.tables import Tables
 
@@ -358,6 +359,20 @@ def unmatched_receipts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("tx_id", "receipt_id", "receipt_us")
 
 
+def pay_receipt_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """The matched pairs and both unmatched outputs, out of one pass."""
+    found = Outputs(pay_receipt_match(spark, folder), "outcome", "pay-receipt-outputs")
+    return found.of("matched").unionByName(found.of("unmatched_pay")).unionByName(found.of("unmatched_receipt"))
+
+
+def order_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Paid orders and timed-out ones, out of one pass."""
+    kind = F.when(F.col("end_ts").isNull(), "timeout").otherwise("paid")
+    found = Outputs(_order_pattern(spark, folder).withColumn("output", kind), "output", "order-outputs")
+    rows = found.of("paid").unionByName(found.of("timeout"))
+    return _micros(rows, begin_us="begin_ts", end_us="end_ts", timeout_us="timeout_at").drop("output")
+
+
 REPORTS: dict[str, Report] = {
     "scan_events": scan_events,
     "parse_access_log": parse_access_log,
@@ -398,6 +413,8 @@ REPORTS: dict[str, Report] = {
     "order_lifecycle": order_lifecycle,
     "pay_receipt_interval_join": pay_receipt_interval_join,
     "pay_receipt_match": pay_receipt_match,
+    "pay_receipt_outputs": pay_receipt_outputs,
+    "order_outputs": order_outputs,
     "unmatched_pays": unmatched_pays,
     "unmatched_receipts": unmatched_receipts,
 }

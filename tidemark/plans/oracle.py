@@ -291,3 +291,10 @@ STATEMENTS |= {
     "stream_ad_by_province": STATEMENTS["ad_by_province"],
     "stream_ad_alerts": STATEMENTS["ad_blacklist_alerts"],
 }
+
+# several outputs of one pass, read back
+
+STATEMENTS |= {
+    "pay_receipt_outputs": STATEMENTS["pay_receipt_match"],
+    "order_outputs": STATEMENTS["stream_order_timeouts"],
+}
