@@ -6,7 +6,7 @@ import pytest
 from times import seconds
 from pyspark.sql import functions as F
 
-from tidemark.operators import clickcap, joins, patterns
+from tidemark.operators import bursts, clickcap, joins, patterns
 from tidemark.operators.bursts import failure_bursts
 from tidemark.operators.lifecycle import NO_CREATE, PAID, PAID_LATE, TIMED_OUT, order_outcomes
 from tidemark.operators.limits import LIMIT_BEFORE_SHUFFLE
@@ -85,6 +85,32 @@ def test_bursts_with_slices_cut_between_batches(spark, events):
     assert result == simulate_bursts(rows, 2, 20)
 
 
+@pytest.mark.parametrize("seed,span,width,piece,pause", [(1, 3, 1, 5, 0.5), (2, 20, 4, 9, 0.25), (3, 2, 2, 40, 0.75), (4, 6, 3, 1, 3)])
+def test_bursts_of_a_user_who_fails_without_pause(events, monkeypatch, seed, span, width, piece, pause):
+    """Slices are shorter than a span, and pieces are smaller than what a span holds, or larger."""
+    monkeypatch.setattr(bursts, "PIECE_ROWS", piece)
+    rng = random.Random(seed)
+    rows, at = logins(seed, n=200), 0.0
+    for i in range(500):
+        at += rng.choice([0, pause, pause, 2 * pause])
+        kind = "success" if i in (201, 333) else "fail"
+        rows.append({"user_id": 99, "event_type": kind, "ts": at, "event_id": 1000 + i})
+    found = failure_bursts(
+        events(rows, LOGIN), "user_id", F.col("event_type") == "fail", 2, span * SECOND, width=width * 1_000_000
+    ).collect()
+    result = sorted((r.user_id, seconds(r.first_ts), seconds(r.last_ts), r.fails) for r in found)
+    assert result == simulate_bursts(rows, 2, span)
+
+
+def test_bursts_on_both_sides_of_a_success_at_the_same_time(events):
+    """The span that the success cancels and the one after it open at the same time."""
+    kinds = [("fail", t) for t in (0, 1, 2, 3)] + [("success", 3)] + [("fail", t) for t in (3, 4, 5, 6)]
+    rows = [{"user_id": 1, "event_type": k, "ts": t, "event_id": i} for i, (k, t) in enumerate(kinds)]
+    found = failure_bursts(events(rows, LOGIN), "user_id", F.col("event_type") == "fail", 1, 2 * SECOND, width=2_000_000)
+    result = sorted((r.user_id, seconds(r.first_ts), seconds(r.last_ts), r.fails) for r in found.collect())
+    assert result == simulate_bursts(rows, 1, 2) == [(1, 0, 2, 3), (1, 3, 5, 3), (1, 6, 6, 1)]
+
+
 def test_burst_example(events):
     rows = [
         {"user_id": 7, "event_type": t, "ts": s, "event_id": i}

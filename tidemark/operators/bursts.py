@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import timedelta
 
 import numpy as np
@@ -11,10 +10,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.eventtime import as_micros
+from tidemark.operators.outputs import Outputs
 from tidemark.operators.slicing import copy_to_slices, slice_width
+from tidemark.runtime import scratch_dir
 
 # Stands for "no open span"; below every event time.
 NONE = np.iinfo(np.int64).min
+#: Stands for the span that was open before, in the place of the failure that opened one.
+AS_ENTERED = -1
+#: Failures of long streaks that one call of Python holds.
+PIECE_ROWS = 65_536
+# monotonically_increasing_id has the partition above this many bits
+ID_BITS = 33
 
 
 def failure_bursts(
@@ -34,23 +41,27 @@ def failure_bursts(
 
     Failures form streaks: each follows the one before within the span, with no success between.
     Spans of different streaks do not touch, so a streak no longer than a span is one span and
-    needs only an aggregation. In longer streaks each span opens where the one before ends; these
-    are read in order, slice by slice (`_long_streaks`).
+    needs only an aggregation. In longer streaks each span opens where the one before ends; their
+    failures are sorted by range, and pieces of them hand on the open span (`_long_streaks`), so
+    neither a key nor a slice is any task's work, however densely failures come.
+
+    A slice may be shorter than a span, which spreads a dense key further; each row is then copied to
+    the slices within a span of it.
     """
     span = as_micros(within)
     width = width or slice_width(span)
-    if width < span:
-        raise ValueError("a slice must be at least as long as a span")
     rows = events.select(
         F.col(key).alias("key"),
         F.unix_micros(ts).alias("us"),
         F.col(seq).alias("seq"),
         is_fail.alias("fail"),
     ).filter(F.col("key").isNotNull())
-    streaks = _streaks(rows, span, width, times)
+    # written, so that timelines are sorted once for both kinds of streaks
+    streaks = Outputs(_streaks(rows, span, width, times), "short", "streaks")
+    long = streaks.of(False)
 
     short = (
-        streaks.filter("short")
+        streaks.of(True)
         .groupBy("key", "slice", "streak")
         .agg(
             F.min("us").alias("opened"),
@@ -61,7 +72,9 @@ def failure_bursts(
         .withColumn("cancelled", F.coalesce(F.col("closing") <= F.col("opened") + span, F.lit(False)))
     )
     result = ["key", "opened", "last", "fails", "cancelled"]
-    spans = short.select(result).unionByName(_long_streaks(streaks.filter("NOT short"), span, width).select(result))
+    spans = short.select(result)
+    if not long.isEmpty():
+        spans = spans.unionByName(_long_streaks(long, span).select(result))
     return spans.filter((F.col("fails") >= times) & ~F.col("cancelled")).select(
         F.col("key").alias(key),
         F.timestamp_micros("opened").alias("first_ts"),
@@ -71,14 +84,11 @@ def failure_bursts(
 
 
 def _streaks(rows: DataFrame, span: int, width: int, times: int) -> DataFrame:
-    """Failures by slice and streak.
+    """Failures by slice and streak, and whether the streak is `short`.
 
     `closing` is the time of a success that directly follows within the span. A slice numbers its
-    streaks; number 0 came from the slice before, and a streak `goes_on` if its next failure is in
+    streaks; number 0 came from the slice before, and a streak goes on if its next failure is in
     the slice after. Lone failures cannot matter unless one failure is enough.
-
-    The few rows left are shuffled once more, with the same columns for every use of them, so that
-    all uses read that shuffle and the large one before it is sorted once.
     """
     copies = copy_to_slices(rows, F.col("us"), width, back=span, ahead=span)
     timeline = Window.partitionBy("key", "slice").orderBy("us", "seq")
@@ -92,118 +102,124 @@ def _streaks(rows: DataFrame, span: int, width: int, times: int) -> DataFrame:
         .filter("fail AND is_home")
         .filter(F.lit(times <= 1) | F.col("continues") | ~F.col("starts"))
     )
-    streak_no = F.sum(F.col("starts").cast("bigint")).over(timeline)
-    numbered = fails.select("key", "slice", "us", "closing", "continues", streak_no.alias("streak"))
+    numbered = fails.withColumn("streak", F.sum(F.col("starts").cast("bigint")).over(timeline))
     streak = Window.partitionBy("key", "slice", "streak")
-    # streak 0 has no beginning here; said inside the window, so that no part of the filters on
-    # `short` moves below the shuffle and makes it differ between its uses
+    # streak 0 has no beginning here
     begin = F.min(F.when(F.col("streak") > 0, F.col("us"))).over(streak)
     brief = F.coalesce(F.max("us").over(streak) - begin <= span, F.lit(False))
     goes_on = F.min("continues").over(streak)
-    # Spark would drop a repartition by the same columns in the same order
-    return (
-        numbered.repartition("slice", "key")
-        .withColumns({"goes_on": goes_on, "_brief": brief})
-        .withColumn("short", F.col("_brief") & ~F.col("goes_on"))
-    )
+    return numbered.select("key", "slice", "streak", "us", "seq", "starts", "closing", (brief & ~goes_on).alias("short"))
 
 
-def _long_streaks(fails: DataFrame, span: int, width: int) -> DataFrame:
+def _long_streaks(fails: DataFrame, span: int) -> DataFrame:
     """Spans of streaks that outlast one span or cross a slice border.
 
-    1. A slice left by a streak states which span leaves it, for each way one may enter.
-    2. Reading these few rows of a key in order gives the span that enters each slice.
-    3. The slices cut their streaks into spans, and spans across a border are added up.
+    1. Failures are sorted by range over all keys and cut into pieces of bounded size.
+    2. A piece states which span leaves it, for each way one may enter (`_effect`); where a streak
+       starts in it, that is one span, whatever enters.
+    3. Effects of a piece and the one before are combined, then of twice as many pieces, and so on,
+       until each piece knows the span that leaves it: rounds grow with the logarithm of the longest
+       streak.
+    4. Pieces cut their failures into spans, and spans across a border are added up.
+
+    An effect has a step for each time of failure within a span of the piece's first, at most.
     """
-    key_type = fails.schema["key"].dataType.simpleString()
-    # slices are whole within a task here, as they were shuffled by key and slice
-    exits = (
-        fails.filter("goes_on")
-        .select("key", "slice", "streak", "us", "closing")
-        .sortWithinPartitions("key", "slice", "us")
-        .mapInPandas(
-            lambda batches: _exits(batches, span, width),
-            f"key {key_type}, slice bigint, from_expiry bigint, exit_open bigint",
-        )
+    pieces = _pieces(fails)
+    effects = _written(
+        pieces.groupBy("piece").applyInPandas(lambda pdf: _effect(pdf, span), EFFECT), "burst-effects"
     )
-    entries = (
-        exits.repartition("key")
-        .sortWithinPartitions("key", "slice", "from_expiry")
-        .mapInPandas(lambda batches: _entries(batches, span), f"key {key_type}, slice bigint, opened bigint")
+    distance = 1
+    while True:
+        # a piece is settled if the same span leaves it whatever enters
+        steps = effects.groupBy("piece").agg(F.count("*").alias("steps"), F.min("place").alias("least"))
+        open_pieces = steps.filter((F.col("steps") > 1) | (F.col("least") == AS_ENTERED)).select("piece")
+        if open_pieces.isEmpty():
+            break
+        earlier = effects.withColumn("piece", F.col("piece") + distance)
+        both = effects.withColumn("first", F.lit(False)).unionByName(earlier.withColumn("first", F.lit(True)))
+        combined = both.join(open_pieces, "piece", "left_semi").groupBy("piece")
+        settled = effects.join(open_pieces, "piece", "left_anti")
+        effects = _written(
+            settled.unionByName(combined.applyInPandas(lambda pdf: _combined(pdf, span), EFFECT)), "burst-effects"
+        )
+        distance *= 2
+    entering = effects.select(
+        (F.col("piece") + 1).alias("piece"), F.col("opened").alias("entered"), F.col("place").alias("entered_at")
     )
-    closing, opened = (F.coalesce(c, F.lit(NONE)).alias(c) for c in ("closing", "opened"))
-    # the explicit repartition keeps a slice in one task whatever join Spark settles on
+    key_type = fails.schema["key"].dataType.simpleString()
     parts = (
-        fails.join(entries, ["key", "slice"], "left")
-        .select("key", "slice", "streak", "us", closing, opened)
-        .repartition("key", "slice")
-        .sortWithinPartitions("key", "slice", "streak", "us", "closing")
-        .mapInPandas(
-            lambda batches: _spans(batches, span),
-            f"key {key_type}, opened bigint, fails bigint, last bigint, cancelled boolean",
+        pieces.join(entering, "piece", "left")
+        .fillna(NONE, ["entered", "entered_at"])
+        .groupBy("piece")
+        .applyInPandas(
+            lambda pdf: _spans(pdf, span),
+            f"key {key_type}, opened bigint, place bigint, fails bigint, last bigint, cancelled boolean",
         )
     )
-    return parts.groupBy("key", "opened").agg(
+    # spans may open at the same time on both sides of a success, hence the place
+    return parts.groupBy("key", "opened", "place").agg(
         F.sum("fails").alias("fails"), F.max("last").alias("last"), F.max("cancelled").alias("cancelled")
     )
 
 
-def _exits(batches: Iterator[pd.DataFrame], span: int, width: int) -> Iterator[pd.DataFrame]:
-    """Opening time of the span that leaves a slice, as a step function of how one enters.
+#: The span that leaves a piece, its opening time and the place of the failure that opened it, if the
+#: span that enters expires at `from_expiry` or later, up to the next row.
+EFFECT = "piece bigint, from_expiry bigint, opened bigint, place bigint"
 
-    A row holds for entering spans that expire at `from_expiry` or later, up to the next row.
-    Holds one batch and the slice that goes on after it.
-    """
-    held: list[pd.DataFrame] = []
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        changes = _changes(pdf)
-        if held and _place(held[-1]) != _place(pdf.iloc[:1]):
-            changes = [0, *changes]
-        if changes:
-            held.append(pdf.iloc[: changes[-1]])
-            yield _exits_of_slices(pd.concat(held, ignore_index=True), span, width)
-            held = [pdf.iloc[changes[-1] :]]
-        else:
-            held.append(pdf)
-    if held:
-        yield _exits_of_slices(pd.concat(held, ignore_index=True), span, width)
-
-
-def _changes(pdf: pd.DataFrame) -> list[int]:
-    """Positions where another slice begins."""
-    key, number = pdf["key"].to_numpy(), pdf["slice"].to_numpy()
-    return [*(np.flatnonzero((key[1:] != key[:-1]) | (number[1:] != number[:-1])) + 1)]
-
-
-def _place(pdf: pd.DataFrame) -> tuple:
-    return pdf["key"].iat[-1], pdf["slice"].iat[-1]
-
-
-def _exits_of_slices(pdf: pd.DataFrame, span: int, width: int) -> pd.DataFrame:
-    key, number, streak, us = (pdf[c].to_numpy() for c in ("key", "slice", "streak", "us"))
-    edges = [0, *_changes(pdf), len(us)]
-    slices, expiries, openings = [], [], []
-    for at, stop in zip(edges, edges[1:]):
-        begin = number[at] * width
-        fails = us[at:stop]
-        fails = fails[np.append(True, fails[1:] != fails[:-1])]
-        may_enter = int(np.searchsorted(fails, begin + span)) if streak[at] == 0 else 0
-        last = fails[_last_opening(fails, span)]
-        leaving = np.append(np.where(last + span >= begin + width, last, NONE), NONE)[: may_enter + 1]
-        changed = leaving != np.append(NONE, leaving[:-1])
-        slices.append(np.full(np.count_nonzero(changed), at))
-        expiries.append(np.append(NONE, fails[:may_enter])[changed])
-        openings.append(leaving[changed])
-    rows = np.concatenate(slices)
+
+def _written(frame: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _pieces(fails: DataFrame) -> DataFrame:
+    """(key, us, starts, closing, place, piece): places follow time within a key; pieces are numbered without gaps."""
+    order = ["key", "us", "seq"]
+    tasks = int(fails.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    closing = F.coalesce("closing", F.lit(NONE)).alias("closing")
+    # the place is part of the written rows, so a repeated task can't change it
+    dealt = _written(
+        fails.repartitionByRange(tasks, *order)
+        .sortWithinPartitions(*order)
+        .select("key", "us", "starts", closing, F.monotonically_increasing_id().alias("place")),
+        "burst-failures",
+    )
+    part = F.shiftright("place", ID_BITS).alias("part")
+    number = F.floor(F.col("place").bitwiseAND((1 << ID_BITS) - 1) / PIECE_ROWS).cast("bigint").alias("number")
+    cut = dealt.select("*", part, number)
+    before = F.sum("pieces").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = cut.groupBy("part").agg((F.max("number") + 1).alias("pieces"))
+    # one row for each range
+    offsets = _written(ranges.select("part", F.coalesce(before, F.lit(0)).alias("offset")), "burst-ranges")
+    return cut.join(offsets, "part").select(*dealt.columns, (F.col("offset") + F.col("number")).alias("piece"))
+
+
+def _effect(pdf: pd.DataFrame, span: int) -> pd.DataFrame:
+    pdf = pdf.sort_values("place")
+    us, place = pdf["us"].to_numpy(), pdf["place"].to_numpy()
+    starts = np.flatnonzero(pdf["starts"].to_numpy())
+    if len(starts):
+        us, place = us[starts[-1] :], place[starts[-1] :]
+    new = np.append(True, us[1:] != us[:-1])
+    fails, place = us[new], place[new]
+    last = _last_opening(fails, span)
+    if len(starts):
+        expiry, opened, at = [NONE], fails[last[:1]], place[last[:1]]
+    else:
+        # one that enters has opened at the first failure or before
+        may_enter = int(np.searchsorted(fails, fails[0] + span, side="right"))
+        expiry = np.append(NONE, fails[:may_enter])
+        opened = np.append(fails[last], NONE)[: may_enter + 1]
+        at = np.append(place[last], AS_ENTERED)[: may_enter + 1]
+    return _steps(pdf["piece"].iat[0], np.asarray(expiry), opened, at)
+
+
+def _steps(piece: int, expiry: np.ndarray, opened: np.ndarray, place: np.ndarray) -> pd.DataFrame:
+    """An effect, without steps that change nothing."""
+    changed = np.append(True, place[1:] != place[:-1])
     return pd.DataFrame(
-        {
-            "key": key[rows],
-            "slice": number[rows],
-            "from_expiry": np.concatenate(expiries),
-            "exit_open": np.concatenate(openings),
-        }
+        {"piece": piece, "from_expiry": expiry[changed], "opened": opened[changed], "place": place[changed]}
     )
 
 
@@ -218,60 +234,44 @@ def _last_opening(fails: np.ndarray, span: int) -> np.ndarray:
         jump = further
 
 
-def _entries(batches: Iterator[pd.DataFrame], span: int) -> Iterator[pd.DataFrame]:
-    """Walks each key's slices in order, holding only the span that enters the current one."""
-    columns = ["key", "slice", "opened"]
-    key, number, expiry, leaving = None, None, NONE, NONE
-    for pdf in batches:
-        found = []
-        for k, s, from_expiry, exit_open in zip(*(pdf[c].tolist() for c in pdf.columns)):
-            if k != key or s != number:
-                if leaving != NONE:
-                    found.append((key, number + 1, leaving))
-                follows = leaving != NONE and k == key and s == number + 1
-                expiry = leaving + span if follows else NONE
-                key, number, leaving = k, s, NONE
-            if from_expiry <= expiry:
-                leaving = exit_open
-        yield pd.DataFrame(found, columns=columns)
-    if leaving != NONE:
-        yield pd.DataFrame([(key, number + 1, leaving)], columns=columns)
-
-
-def _spans(batches: Iterator[pd.DataFrame], span: int) -> Iterator[pd.DataFrame]:
-    """Cuts the streaks of each slice into spans, going on with the span that enters the slice.
-
-    Holds one batch and the open span; the loop turns once per span, not per failure.
-    """
-    columns = ["key", "opened", "fails", "last", "cancelled"]
-    place, opened, fails, last = (None, None, None), NONE, 0, NONE
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        found = []
-        key, number, streak, us, closing, entered = (
-            pdf[c].to_numpy() for c in ("key", "slice", "streak", "us", "closing", "opened")
-        )
-        moved = (key[1:] != key[:-1]) | (number[1:] != number[:-1]) | (streak[1:] != streak[:-1])
-        edges = [0, *(np.flatnonzero(moved) + 1), len(us)]
-        for at, stop in zip(edges, edges[1:]):
-            here = (key[at], number[at], streak[at])
-            if here != place:
-                if fails:
-                    found.append((place[0], opened, fails, last, False))
-                place, fails = here, 0
-                carried = streak[at] == 0 and entered[at] != NONE and us[at] <= entered[at] + span
-                opened = entered[at] if carried else us[at]
-            while at < stop:
-                if us[at] > opened + span:
-                    if fails:
-                        found.append((place[0], opened, fails, last, False))
-                    opened, fails = us[at], 0
-                end = at + np.searchsorted(us[at:stop], opened + span, side="right")
-                fails, last, at = fails + end - at, us[end - 1], end
-                if closing[end - 1] != NONE and closing[end - 1] <= opened + span:
-                    found.append((place[0], opened, fails, last, True))
-                    fails = 0
-        yield pd.DataFrame(found, columns=columns).astype({"cancelled": bool})
-    if fails:
-        yield pd.DataFrame([(place[0], opened, fails, last, False)], columns=columns)
+def _combined(pdf: pd.DataFrame, span: int) -> pd.DataFrame:
+    """The effect of earlier pieces followed by that of later ones."""
+    earlier, later = (
+        [part[c].to_numpy() for c in ("from_expiry", "opened", "place")]
+        for part in (pdf[f].sort_values("from_expiry") for f in (pdf["first"], ~pdf["first"]))
+    )
+    expiry, opened, place = earlier
+    # only the last step may hand on what enters, from its expiry on
+    hands_on = place[-1] == AS_ENTERED
+    own = len(place) - int(hands_on)
+    then = np.searchsorted(later[0], opened[:own] + span, side="right") - 1
+    keeps = later[2][then] == AS_ENTERED
+    found = [
+        expiry[:own],
+        np.where(keeps, opened[:own], later[1][then]),
+        np.where(keeps, place[:own], later[2][then]),
+    ]
+    if hands_on:
+        at = np.searchsorted(later[0], expiry[-1], side="right") - 1
+        expiries = np.append(expiry[-1:], later[0][at + 1 :])
+        found = [np.append(f, more) for f, more in zip(found, (expiries, later[1][at:], later[2][at:]), strict=True)]
+    return _steps(pdf["piece"].iat[0], *found)
+
+
+def _spans(pdf: pd.DataFrame, span: int) -> pd.DataFrame:
+    """Cuts the failures of a piece into spans, going on with the span that enters; turns once per span."""
+    pdf = pdf.sort_values("place")
+    key, us, closing, place = (pdf[c].to_numpy() for c in ("key", "us", "closing", "place"))
+    starts = pdf["starts"].to_numpy()
+    edges = np.append(np.flatnonzero(starts), len(us))
+    opened, opener = pdf["entered"].iat[0], pdf["entered_at"].iat[0]
+    found, at = [], 0
+    while at < len(us):
+        if starts[at] or us[at] > opened + span:
+            opened, opener = us[at], place[at]
+        stop = edges[np.searchsorted(edges, at, side="right")]
+        end = at + int(np.searchsorted(us[at:stop], opened + span, side="right"))
+        cancelled = closing[end - 1] != NONE and closing[end - 1] <= opened + span
+        found.append((key[at], opened, opener, end - at, us[end - 1], cancelled))
+        at = end
+    return pd.DataFrame(found, columns=["key", "opened", "place", "fails", "last", "cancelled"]).astype({"cancelled": bool})
