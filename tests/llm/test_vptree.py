@@ -47,6 +47,24 @@ def test_factor_one_is_exact(spark, shard_rows, monkeypatch):
     assert sorted(map(tuple, found.collect())) == plain(awkward(), queries, 20)
 
 
+def test_clustered_vectors_leave_most_cells_out(spark, monkeypatch):
+    monkeypatch.setattr(vptree, "LEAF", 16)
+    rng = random.Random(8)
+    middles = [[rng.gauss(0, 20) for _ in range(6)] for _ in range(30)]
+    # a third of all rows are copies of one vector
+    rows = [(k, middles[0] if k % 3 == 0 else [x + rng.gauss(0, 0.2) for x in rng.choice(middles)]) for k in range(2400)]
+    vectors, sent = vptree.usable(spark.createDataFrame(rows, SCHEMA)), []
+    met = vptree._met
+    monkeypatch.setattr(vptree, "_met", lambda index, asked, *more: sent.append(asked.count()) or met(index, asked, *more))
+    index = vptree.index(vectors, 40)
+    found = vptree.search(index, vectors.filter("vec_id % 20 = 0"), 20)
+    assert sorted(map(tuple, found.collect())) == plain(rows, range(0, 2400, 20), 20)
+    sizes = index.trees.groupBy("cell").count().collect()
+    assert max(r["count"] for r in sizes) > 10, "a cell with a third of all rows fills many shards"
+    first, further = sent
+    assert first == 120 and further < 0.35 * first * (len(sizes) - 1)
+
+
 def test_smaller_factors_find_most(spark):
     vectors = vptree.usable(spark.createDataFrame(awkward()[:700], SCHEMA))
     found = vptree.search(vptree.index(vectors), vectors.filter("vec_id % 20 = 0"), 20, factor=0.8).collect()

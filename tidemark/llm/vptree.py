@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,9 @@ from tidemark.llm.common import written
 
 SHARD_ROWS = 8192
 QUERY_ROWS = 4096
+#: A length of vectors has so many centres at most, and so many lengths have any, the commonest ones.
+CENTRES = 256
+LENGTHS = 16
 LEAF = 128
 #: Lower bounds are compared with this part of the distance of the worst kept: 1 is exact, less is faster.
 FACTOR = 1.0
@@ -38,24 +42,68 @@ def usable(vectors: DataFrame, name: str = "embedding") -> DataFrame:
     return written(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "vector"), "vectors")
 
 
-def _dealt(vectors: DataFrame, rows: int) -> Column:
-    parts = max(1, -(-vectors.count() // rows))
-    return F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")
+@dataclass
+class Index:
+    """`trees` has (length, cell, shard, tree, nearest, farthest, longest); `centres` those of the cells of a length.
 
+    A cell holds the vectors nearest to its centre. `nearest` and `farthest` are distances of a shard's
+    vectors from that centre, one more coordinate giving them all the squared norm `longest`, as in its tree.
+    """
 
-def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(length, shard, tree): a tree for about every `shard_rows` of the rows of `usable`, each row in one.
+    trees: DataFrame
+    centres: dict[int, np.ndarray]
 
-    Only vectors of the same length have an inner product, so a tree has vectors of one length.
-    """
-    shard = _dealt(vectors, shard_rows)
-    grouped = vectors.select("*", F.size("vector").alias("length"), shard.alias("shard")).groupBy("length", "shard")
-    return written(grouped.applyInPandas(_built, "length int, shard int, tree binary"), "vp-trees")
 
+def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> Index:
+    """The rows of `usable`, each in one tree of about `shard_rows` at most.
 
-def _built(rows: pd.DataFrame) -> pd.DataFrame:
-    tree = Tree.build(rows["row"].to_numpy(np.int64), rows["vec_id"].to_numpy(np.int64), np.stack(rows["vector"].to_numpy()))
-    return pd.DataFrame({"length": rows["length"].iloc[:1], "shard": rows["shard"].iloc[:1], "tree": [tree.dump()]})
+    Only vectors of the same length have an inner product, so a tree has vectors of one length. Where a
+    length fills several shards, its vectors are dealt by the nearest of as many centres, up to
+    `CENTRES`: vectors chosen by the hash of their row. A cell of more rows than a shard, such as one
+    with many copies of a vector, is dealt to several by hash.
+    """
+    lengths = vectors.groupBy(F.size("vector").alias("length")).count().filter(F.col("count") > shard_rows)
+    commonest = lengths.orderBy(F.desc("count"), "length").limit(LENGTHS).collect()
+    centres = {}
+    for length, rows in commonest:
+        some = vectors.filter(F.size("vector") == length).orderBy(F.xxhash64("row"), "row").limit(min(CENTRES, -(-rows // shard_rows)))
+        centres[length] = np.unique(np.array([r.vector for r in some.select("vector").collect()], float), axis=0)
+
+    def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            cells = np.zeros(len(batch), np.int32)
+            for own, rows, points in _by_length(batch, centres):
+                cells[own] = np.argmin((points**2).sum(axis=1) - 2 * (rows @ points.T), axis=1)
+            yield batch.assign(length=batch["vector"].map(len), cell=cells)
+
+    # written, as a repeated task might add up products in another order
+    celled = written(vectors.mapInPandas(to_cells, "row bigint, vec_id bigint, vector array<double>, length int, cell int"), "vp-cells")
+    sizes = celled.groupBy("length", "cell").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("parts"))
+    dealt = celled.join(sizes, ["length", "cell"]).withColumn("shard", F.pmod(F.xxhash64("row"), "parts").cast("int"))
+    schema = "length int, cell int, shard int, tree binary, nearest double, farthest double, longest double"
+    trees = dealt.groupBy("length", "cell", "shard").applyInPandas(lambda rows: _built(rows, centres), schema)
+    return Index(written(trees, "vp-trees"), centres)
+
+
+def _by_length(batch: pd.DataFrame, centres: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Positions and vectors of each length that has centres, and these."""
+    lengths = batch["vector"].map(len).to_numpy()
+    for length, points in centres.items():
+        own = np.flatnonzero(lengths == length)
+        if len(own):
+            yield own, np.stack(batch["vector"].iloc[own].to_numpy()).astype(float), points
+
+
+def _built(rows: pd.DataFrame, centres: dict[int, np.ndarray]) -> pd.DataFrame:
+    first, vectors = rows.iloc[0], np.stack(rows["vector"].to_numpy())
+    tree = Tree.build(rows["row"].to_numpy(np.int64), rows["vec_id"].to_numpy(np.int64), vectors)
+    nearest, farthest = 0.0, np.inf
+    if first["length"] in centres:
+        beyond = np.maximum(0, tree.longest - (vectors**2).sum(axis=1))
+        away = np.sqrt(((vectors - centres[first["length"]][first["cell"]]) ** 2).sum(axis=1) + beyond)
+        nearest, farthest = away.min(), away.max()
+    place = {name: [first[name]] for name in ("length", "cell", "shard")}
+    return pd.DataFrame({**place, "tree": [tree.dump()], "nearest": nearest, "farthest": farthest, "longest": tree.longest})
 
 
 class Tree:
@@ -130,9 +178,13 @@ class Tree:
         with np.load(io.BytesIO(raw)) as arrays:
             return cls(dict(arrays))
 
-    def search(self, numbers: np.ndarray, queries: np.ndarray, k: int, factor: float) -> Iterator[tuple[int, int, int, float]]:
+    def search(
+        self, numbers: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int, factor: float
+    ) -> Iterator[tuple[int, int, int, float]]:
         """(query's row, row, id, score) of the k best of this shard for each query, its own row left out.
 
+        Scores below a query's floor need not be found.
+
         Where the worst kept is within rounding of the k-th, others that tie may be missing, and the
         query is compared with all vectors of the shard.
         """
@@ -143,7 +195,8 @@ class Tree:
 
         def visit(number: int, some: np.ndarray, bound: np.ndarray) -> None:
             # the distance of the worst kept; infinite until enough are kept
-            worst = np.sqrt(np.maximum(0, norms[some] - 2 * best[some].min(axis=1)))
+            least = np.maximum(best[some].min(axis=1), floors[some] - ROUNDING * norms[some])
+            worst = np.sqrt(np.maximum(0, norms[some] - 2 * least))
             some = some[bound <= factor * worst * (1 + 1e-9) + 1e-9]
             if not len(some):
                 return
@@ -196,35 +249,98 @@ def products(query: np.ndarray, vectors: np.ndarray) -> list[float]:
     return total.tolist()
 
 
-def search(trees: DataFrame, queries: DataFrame, k: int, factor: float = FACTOR) -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int, factor: float = FACTOR) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the largest inner products for each of some rows of `usable`.
 
-    Queries come in blocks, and each block meets each shard's tree of its length; a shard gives its k best
-    for a query, and the k best of those stay. Every other row of that length is a candidate, also those
+    A query first meets the cell whose centre has the largest product with it. The k-th score found
+    there is its floor, and it goes on to those cells only that may hold a better one by the triangle
+    inequality over centre, query and the cell's range of distances. A shard gives its k best for a
+    query, and the k best of those stay. Every other row of that length is a candidate, also those
     that repeat the query's id or vector; equal scores go by smaller vec_id. Queries that share an id are
     answered each. With fewer candidates than k, all of them are given; without queries or vectors, none.
-    A factor of 1 gives the exact result, a smaller one prunes a branch though it may hold a neighbour.
+    A factor of 1 gives the exact result, a smaller one prunes a branch or cell though it may hold a neighbour.
     """
-    block = _dealt(queries, QUERY_ROWS)
-    blocks = queries.groupBy(F.size("vector").alias("_length"), block.alias("block")).agg(
-        F.collect_list(F.struct("row", "vector")).alias("queries")
+    centres = index.centres
+    asked = "row bigint, vector array<double>, length int, cell int, floor double"
+
+    def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            cells = np.zeros(len(batch), np.int32)
+            for own, rows, points in _by_length(batch, centres):
+                cells[own] = np.argmax(rows @ points.T, axis=1)
+            yield batch.assign(length=batch["vector"].map(len), cell=cells, floor=-np.inf)
+
+    first = written(queries.select("row", "vector").mapInPandas(home, asked), "vp-queries")
+    found = _met(index, first, k, factor)
+    if centres:
+        found = written(_best(found, k).drop("rank"), "vp-found")
+        kth = found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth")).filter(F.col("n") == k)
+        floored = first.join(kth, first["row"] == kth["query"], "left").select(
+            "row", "vector", "length", "cell", F.coalesce("kth", "floor").alias("floor")
+        )
+        further = floored.mapInPandas(_further(_ranges(index), centres, factor), asked)
+        found = found.unionByName(_met(index, written(further, "vp-queries"), k, factor))
+    ids = queries.select(F.col("row").alias("_row"), F.col("vec_id").alias("query_id"))
+    return _best(found, k).join(ids, F.col("query") == F.col("_row")).select("query_id", "rank", "vec_id", "score")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    ranked = found.selectExpr(
+        "*", "CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id, row) AS int) AS rank"
     )
-    # each block for each shard; a shard is one row, and without any there is nothing to explode
-    last = trees.agg(F.max("shard")).first()[0]
-    spread = blocks.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(last or 0))))
-    met = spread.join(trees, (F.col("_shard") == F.col("shard")) & (F.col("_length") == F.col("length")))
+    return ranked.filter(F.col("rank") <= k)
+
+
+def _ranges(index: Index) -> dict[int, np.ndarray]:
+    """Of each length with centres, the nearest, farthest and longest of its cells, at most `LENGTHS * CENTRES` rows."""
+    ranges = {length: np.tile([np.inf, 0.0, 0.0], (len(points), 1)) for length, points in index.centres.items()}
+    # shards of a cell give their vectors different norms; each bound here is at most that of any of them
+    of = index.trees.filter(F.col("length").isin(*index.centres)).groupBy("length", "cell")
+    for length, cell, *seen in of.agg(F.min("nearest"), F.max("farthest"), F.max("longest")).collect():
+        ranges[length][cell] = seen
+    return ranges
+
+
+def _further(ranges: dict[int, np.ndarray], centres: dict[int, np.ndarray], factor: float):
+    """Queries once for each other cell that may hold scores above their floor."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for own, rows, points in _by_length(batch, centres):
+                nearest, farthest, longest = ranges[rows.shape[1]].T
+                squares = (rows**2).sum(axis=1)[:, None]
+                away = np.sqrt(np.maximum(0, squares + (points**2).sum(axis=1) - 2 * (rows @ points.T)))
+                bound = np.maximum(0, np.maximum(nearest - away, away - farthest))
+                norms = squares + longest
+                floors = batch["floor"].to_numpy()[own][:, None] - ROUNDING * norms
+                worst = np.sqrt(np.maximum(0, norms - 2 * floors)) + ROUNDING * np.sqrt(norms)
+                goes = ~(bound > factor * worst) & np.isfinite(nearest)
+                goes[np.arange(len(own)), batch["cell"].to_numpy()[own]] = False
+                # a cell at a time, which bounds what is sent at once
+                for cell in np.flatnonzero(goes.any(axis=0)):
+                    yield batch.iloc[own[goes[:, cell]]].assign(cell=np.int32(cell))
+
+    return run
+
+
+def _met(index: Index, asked: DataFrame, k: int, factor: float) -> DataFrame:
+    """(query, row, vec_id, score): the k best of each shard of the cells that queries are sent to.
+
+    Queries come in blocks of about `QUERY_ROWS` at most, and a block meets each shard of its cell.
+    """
+    parts = max(1, -(-asked.select("row").distinct().count() // QUERY_ROWS))
+    block = F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")
+    blocks = asked.groupBy("length", "cell", block.alias("block")).agg(
+        F.collect_list(F.struct("row", "vector", "floor")).alias("queries")
+    )
+    met = blocks.join(index.trees.select("length", "cell", "shard", "tree"), ["length", "cell"])
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         row = rows.iloc[0]
         numbers = np.array([q["row"] for q in row["queries"]], np.int64)
         vectors = np.array([np.asarray(q["vector"], float) for q in row["queries"]])
-        found = list(Tree.load(row["tree"]).search(numbers, vectors, k, factor))
+        floors = np.array([q["floor"] for q in row["queries"]], float)
+        found = list(Tree.load(row["tree"]).search(numbers, vectors, floors, k, factor))
         return pd.DataFrame(found, columns=["query", "row", "vec_id", "score"])
 
-    sent = met.select("length", "shard", "block", "queries", "tree").groupBy("length", "shard", "block")
-    found = sent.applyInPandas(run, "query bigint, row bigint, vec_id bigint, score double")
-    ranked = found.selectExpr(
-        "*", "CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id, row) AS int) AS rank"
-    )
-    asked = queries.select(F.col("row").alias("_row"), F.col("vec_id").alias("query_id"))
-    return ranked.filter(F.col("rank") <= k).join(asked, F.col("query") == F.col("_row")).select("query_id", "rank", "vec_id", "score")
+    return met.groupBy("length", "cell", "shard", "block").applyInPandas(run, "query bigint, row bigint, vec_id bigint, score double")
