@@ -66,3 +66,12 @@ def test_tables(spark):
     decoded = bpe.decode(encoded, PATH).collect()
     assert sorted(map(tuple, decoded), key=str) == sorted(((k, text or "") for k, text in rows), key=str)
     assert bpe.decode(bpe.encode(frame.limit(0), PATH), PATH).collect() == []
+
+
+def test_one_pass_equals_two(spark):
+    rows = [(k, t) for k, t in enumerate([*awkward(), None])] + [(0, "again"), (None, "no id")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"ids": F.lit(1), "decoded": F.lit("clash")})
+    both = bpe.decode(bpe.encode(frame, PATH, carry=["doc_id", "text"]).withColumnRenamed("text", "given"), PATH, carry=["doc_id", "given", "ids"])
+    found = bpe.round_trip(frame, PATH, carry=["doc_id", "text"])
+    assert sorted(map(repr, map(tuple, found.select("doc_id", "text", "ids", "decoded").collect()))) == sorted(map(repr, map(tuple, both.collect())))
+    assert bpe.round_trip(frame.limit(0), PATH).collect() == []

@@ -240,3 +240,28 @@ def decode(encoded: DataFrame, path: str, carry: Sequence[str] = ("doc_id",)) ->
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(texts, pa.string())], [*names, "text"])
 
     return read.mapInArrow(run, schema)
+
+
+def round_trip(documents: DataFrame, path: str, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns `carry`, `ids` and `decoded` of each row's whole `text`: `encode` and `decode` in one worker.
+
+    The text is decoded from the ids alone. Rows, nulls and empty tables are as in `encode`.
+    """
+    vocabulary = _vocabulary(path)
+    # the table's texts are those of the vocabulary, and stay so in a worker
+    shared = documents.sparkSession.sparkContext.broadcast((vocabulary, _texts(vocabulary.texts)))
+    names = list(carry)
+    read = documents.select(*names, text_or_empty("text").alias("_text"))
+    made = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())]
+    schema = T.StructType([*documents.select(*names).schema.fields, *made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, known = shared.value
+        for batch in _small(batches):
+            all_ids = [vocabulary.encoded(text) for text in batch.column(len(names)).to_pylist()]
+            offsets = np.cumsum([0, *(len(ids) // 4 for ids in all_ids)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(all_ids), np.int32)))
+            texts = pa.array([decoded(np.frombuffer(one, np.int32), known) for one in all_ids], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], ids, texts], [*names, "ids", "decoded"])
+
+    return read.mapInArrow(run, schema)
