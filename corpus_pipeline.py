@@ -78,14 +78,13 @@ def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     # texts are compared by digest, so that tasks hold each text once
     given = F.sha2(text_or_empty("text"), 256).alias("digest")
     rows = docs.select(F.struct("doc_id", "lang", "source", given).alias("row"), "text")
-    decoded = bpe.decode(bpe.encode(rows, path, carry=["row"]), path, carry=["row", "ids"])
-    return decoded.select(
+    return bpe.round_trip(rows, path, carry=["row"]).select(
         "row.doc_id",
         "row.lang",
         "row.source",
         F.size("ids").cast("bigint").alias("n_tokens"),
         "ids",
-        (F.sha2("text", 256) == F.col("row.digest")).alias("round_trip"),
+        (F.sha2("decoded", 256) == F.col("row.digest")).alias("round_trip"),
     )
 
 
