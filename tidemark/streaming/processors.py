@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 from abc import abstractmethod
 from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from datetime import datetime, timedelta, timezone
 from itertools import chain, islice
 
@@ -18,12 +18,14 @@ from tidemark.operators.lifecycle import NO_CREATE, PAID, PAID_LATE, TIMED_OUT
 
 # Rows that one entry of the state store holds at most.
 ENTRY_ROWS = 1000
+# Groups in which the keys of a stream share state: a call of the state store serves a group, not a key.
+KEY_GROUPS = 1024
 # Microseconds of the finest bucket of waiting rows; the buckets of each further level are so many times as wide.
 FINEST_US, WIDER = 1 << 16, 64
 
 
 class WaitingRows:
-    """A key's rows until their time has come, in map state by buckets of time.
+    """The rows of a key, or of a group of keys, until their time has come, in map state by buckets of time.
 
     A timing wheel of several levels: a row waits in a bucket that is the wider the further its time is
     off. A bucket is read when its beginning has come; rows that are not due yet go to finer buckets, so
@@ -32,8 +34,7 @@ class WaitingRows:
     """
 
     def __init__(self, handle: StatefulProcessorHandle, row_schema: str):
-        columns = ", ".join(f"{name} array<{kind}>" for name, kind in (field.split() for field in row_schema.split(",")))
-        self._rows = handle.getMapState("waiting", "level bigint, bucket bigint, part bigint", columns)
+        self._rows = handle.getMapState("waiting", "level bigint, bucket bigint, part bigint", _arrays(row_schema))
         self._buckets = handle.getValueState("buckets", "level array<bigint>, bucket array<bigint>, parts array<bigint>")
 
     def add(self, rows: Iterator[tuple], now: int) -> set[int]:
@@ -53,7 +54,7 @@ class WaitingRows:
         return wake
 
     def due(self, now: int) -> tuple[list[tuple], set[int]]:
-        """The rows before `now` in order, and the times at which buckets that are new are to be read."""
+        """The rows before `now`, and the times at which buckets that are new are to be read."""
         parts, ready, rest = self._parts(), [], []
         begun = [place for place in parts if _begin(*place) < now]
         for place in begun:
@@ -68,7 +69,7 @@ class WaitingRows:
             self._buckets.update(tuple(map(list, zip(*((*place, n) for place, n in parts.items()), strict=True))))
         else:
             self._buckets.clear()
-        return sorted(ready), self.add(iter(rest), now) if rest else set()
+        return ready, self.add(iter(rest), now) if rest else set()
 
     def _parts(self) -> dict[tuple[int, int], int]:
         if not self._buckets.exists():
@@ -93,42 +94,65 @@ class InEventTimeOrder(StatefulProcessor):
 
     Rows wait in state until the watermark reaches them, so the result does not depend on how
     arrivals are cut into micro-batches. Subclasses keep one small state and may set a deadline,
-    which passes as soon as a later row, or the watermark, does.
+    which passes as soon as a later row, or the watermark, does. With `key_type`, the keys of a
+    group share entries of the state store: a micro-batch costs a few calls for each group, however
+    many keys it has. The rows given start with the columns of `row_schema` and `key` then.
     """
 
     row_schema: str  # starts with `us bigint`, by which and by the columns after it rows are ordered
     state_schema: str
     output_schema: str  # besides the key
+    key_type: str | None = None  # if the stream is grouped by groups of keys; rows are given in lists then
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._waiting = WaitingRows(handle, self.row_schema)
-        self._state = handle.getValueState("state", self.state_schema)
+        self._passed: dict = {}  # groups, with the time up to which this task has handled them
+        shared = f", key {self.key_type}" if self.key_type else ""
+        self._row = _columns(self.row_schema + shared)
+        self._found = Row("key", *_columns(self.output_schema))
+        self._waiting = WaitingRows(handle, self.row_schema + shared)
+        self._states = handle.getValueState("state", _arrays(self.state_schema + shared))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N803
-        names = _columns(self.row_schema)
-        fresh = (tuple(row[name] for name in names) for row in rows)
+        names, n = self._row, len(self._row)
+        fresh = (row[:n] for row in rows) if self.key_type else (tuple(row[name] for name in names) for row in rows)
         self._wake_at(self._waiting.add(fresh, _now(timerValues)))
+        self._passed.pop(key[0], None)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N803
         now = _now(timerValues)
+        if self._passed.get(key[0]) == now:  # an earlier timer of this micro-batch has
+            return iter(())
+        self._passed[key[0]] = now
         ready, wake = self._waiting.due(now)
+        stored = list(zip(*self._states.get(), strict=True)) if self._states.exists() else []
+        states = {own: self.load(state) for own, state in self._by_key(stored, key[0])}
+        rows: dict = {own: [] for own in states}
+        for own, row in self._by_key(ready, key[0]):
+            rows.setdefault(own, []).append(row)
+        given: list[tuple] = []
+        for own, its in rows.items():
+            state, found = states.pop(own, None), []
+            for row in sorted(its):
+                state = self._pass_deadlines(state, row[0], found)
+                state = self.advance(state, row, found)
+            state = self._pass_deadlines(state, now, found)
+            if state is not None:
+                states[own] = state
+            given += ((own, *values) for values in found)
+        if states:
+            wake.add(min(map(self.deadline, states.values())) + 1 + FINEST_US)
+            kept = ((*self.dump(state), own) if self.key_type else self.dump(state) for own, state in states.items())
+            self._states.update(tuple(map(list, zip(*kept, strict=True))))
+        elif stored:
+            self._states.clear()
         self._wake_at(wake)
-        stored = self._state.get() if self._state.exists() else None
-        state = None if stored is None else self.load(tuple(stored))
-        found: list[tuple] = []
-        for row in ready:
-            state = self._pass_deadlines(state, row[0], found)
-            state = self.advance(state, row, found)
-        state = self._pass_deadlines(state, now, found)
-        if state is not None:
-            self._state.update(self.dump(state))
-            self._wake_at({self.deadline(state) + 1 + FINEST_US})
-        elif stored is not None:
-            self._state.clear()
-        names = ["key", *_columns(self.output_schema)]
-        return iter([Row(**dict(zip(names, (key[0], *values)))) for values in found])
+        return (self._found(*row) for row in given) if self.key_type is None else _in_lists(self._found, given)
+
+    def _by_key(self, rows: list[tuple], group) -> Iterator[tuple]:
+        """Each row's key and values; a group that isn't shared is a key."""
+        return ((row[-1], row[:-1]) for row in rows) if self.key_type else ((group, row) for row in rows)
 
     def _pass_deadlines(self, state, us: int, found: list[tuple]):
         while state is not None and self.deadline(state) < us:
@@ -447,6 +471,27 @@ def _columns(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(",")]
 
 
+def _arrays(schema: str) -> str:
+    """The schema of many rows in one entry, a column an array."""
+    return ", ".join(f"{name} array<{kind}>" for name, kind in (field.split() for field in schema.split(",")))
+
+
+def _in_lists(make: Row, rows: Iterable[tuple]) -> Iterator[Row]:
+    """Rows as a few of lists, a column a list; `_unlisted` takes them apart."""
+    rows = iter(rows)
+    while part := list(islice(rows, ENTRY_ROWS)):
+        yield make(*map(list, zip(*part, strict=True)))
+
+
+def _unlisted(found: DataFrame) -> DataFrame:
+    return found.select(F.inline(F.arrays_zip(*found.columns)))
+
+
+def _group(keys: Sequence[str], groups: int) -> Column:
+    """The group of a key, by which a stream is dealt instead of the key itself."""
+    return F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int").alias("group")
+
+
 def _next_midnight_ms(now_ms: int) -> int:
     now = datetime.fromtimestamp(now_ms / 1000, tz=timezone.utc)
     midnight = now.replace(hour=0, minute=0, second=0, microsecond=0) + timedelta(days=1)
@@ -461,19 +506,23 @@ def process_in_order(
     disorder: str,
     ts: str = "ts",
 ) -> DataFrame:
-    """Applies an event-time processor per key. `columns` gives the values it reads besides time; null keys are left out."""
-    extra = [column.alias(name) for name, column in columns.items()]
-    key_type = stream.schema[key].dataType.simpleString()
+    """Applies an event-time processor per key. `columns` gives the values it reads besides time; null keys are left out.
+
+    Keys are dealt to groups, which share state; a processor still sees each key by itself.
+    """
+    columns = {"us": F.unix_micros(ts)} | columns
+    read = [columns[name].alias(name) for name in _columns(processor.row_schema)]
+    processor.key_type = stream.schema[key].dataType.simpleString()
     rows = stream.withWatermark(ts, disorder).filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), ts, F.unix_micros(ts).alias("us"), *extra
+        *read, F.col(key).alias("key"), _group([key], KEY_GROUPS), ts
     )
-    found = rows.groupBy("key").transformWithState(
+    found = rows.groupBy("group").transformWithState(
         statefulProcessor=processor,
-        outputStructType=f"key {key_type}, {processor.output_schema}",
+        outputStructType=_arrays(f"key {processor.key_type}, {processor.output_schema}"),
         outputMode="Append",
         timeMode="EventTime",
     )
-    return found.withColumnRenamed("key", key)
+    return _unlisted(found).withColumnRenamed("key", key)
 
 
 def cap_daily(clicks: DataFrame, limit: int) -> DataFrame:
