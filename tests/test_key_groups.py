@@ -113,3 +113,27 @@ def test_keys_of_a_group_have_the_results_they_have_alone(rule, key):
         alone, calls_alone = alone + [repr(tuple(row)) for row in its], calls_alone + n
     assert found == sorted(alone) and len(found) > 300
     assert calls_alone > 10 * calls
+
+
+@pytest.mark.parametrize("first_only", [False, True])
+def test_capped_keys_of_a_group_have_the_changes_they_have_alone(first_only):
+    rng, make = random.Random(5), lambda: processors.EventDayCap(3, {"user_id": "bigint", "ad_id": "bigint"}, first_only)
+    shape = Row("user_id", "ad_id", "us", "event_id", "label", "group", "day")
+    rows = [(rng.choice([None, *range(200)]), rng.randrange(2), START_US + rng.randrange(10**9), i, "x", 7, DAY) for i in range(2500)]
+    batches = [[shape(*row) for row in rows[k : k + 500]] for k in range(0, 2500, 500)]
+
+    def changes(parts):
+        handle, given, processor = Handle(), [], make()
+        processor.init(handle)
+        for part in parts:
+            given += map(repr, processor.handleInputRows((7, DAY), iter(part), Times(0)) if part else [])
+        return given, handle
+
+    given, handle = changes(batches)
+    keys, alone, calls_alone = {row[:2] for row in rows}, [], 0
+    for own in keys:
+        its, one = changes([[row for row in part if row[:2] == own] for part in batches])
+        alone, calls_alone = alone + its, calls_alone + one.calls
+    assert sorted(given) == sorted(alone) and len(given) > 500
+    assert handle.timers == {(DAY + 1) * 86_400_000}
+    assert handle.calls < 20 and calls_alone > 20 * handle.calls

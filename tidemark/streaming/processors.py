@@ -20,6 +20,8 @@ from tidemark.operators.lifecycle import NO_CREATE, PAID, PAID_LATE, TIMED_OUT
 ENTRY_ROWS = 1000
 # Groups in which the keys of a stream share state: a call of the state store serves a group, not a key.
 KEY_GROUPS = 1024
+# The same for each day, where days have groups of their own.
+DAY_GROUPS = 128
 # Microseconds of the finest bucket of waiting rows; the buckets of each further level are so many times as wide.
 FINEST_US, WIDER = 1 << 16, 64
 
@@ -412,44 +414,53 @@ class DailyCap(StatefulProcessor):
 class EventDayCap(StatefulProcessor):
     """The cap of `capped_clicks` per key and day of the clicks themselves, as changes of its result.
 
-    State holds the first `limit + 1` clicks of the day seen so far. A click that arrives before one of
-    them moves the later ones back, so a change may take back what was given: `delta` is 1 or -1, and
-    the sums of all changes are what the batch gives. A click that moves back is later than the one
-    that arrives, so no change is older than the watermark, and windows may follow. State of a day
-    is freed when the watermark has passed it.
-    """
+    State holds the first `limit + 1` clicks of each key seen so far, for a group of keys and a day in
+    one entry. A click that arrives before one of them moves the later ones back, so a change may take
+    back what was given: `delta` is 1 or -1, and the sums of all changes are what the batch gives. A
+    click that moves back is later than the one that arrives, so no change is older than the watermark,
+    and windows may follow. State of a day is freed when the watermark has passed it.
 
-    state_schema = "us array<bigint>, event_id array<bigint>, label array<string>"
+    The stream is grouped by group and day; its rows start with the keys, `us`, `event_id` and `label`.
+    """
 
     def __init__(self, limit: int, keys: dict[str, str], first_only: bool = False):
         self.limit, self.keys, self.first_only = limit, list(keys), first_only
         named = ", ".join(f"{name} {kind}" for name, kind in keys.items())
+        self.state_schema = f"{named}, us bigint, event_id bigint, label string"
         self.output_schema = f"{named}, event_id bigint, label string, us bigint, ts timestamp, kind string, delta bigint"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._state = handle.getValueState("first", self.state_schema)
+        self._change_row = Row(*_columns(self.output_schema))
+        self._state = handle.getValueState("first", _arrays(self.state_schema))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N803
-        day_end_ms = (key[-1] + 1) * 86_400_000
+        k = len(self.keys)
+        first: dict[tuple, list[tuple]] = {}
         if self._state.exists():
-            before = list(zip(*self._state.get(), strict=True))
+            for row in zip(*self._state.get(), strict=True):
+                first.setdefault(row[:k], []).append(row[k:])
         else:
-            before = []
-            self._handle.registerTimer(day_end_ms)
-        named = dict(zip(self.keys, key, strict=False))
-        first = list(before)
-        for part in iter(lambda: [(r["us"], r["event_id"], r["label"]) for r in islice(rows, ENTRY_ROWS)], []):
-            first = heapq.nsmallest(self.limit + 1, chain(first, part), key=lambda click: click[:2])
-            if self.first_only:  # all of them pass, and below one may be taken back
-                yield from (self._change(named, click, "click", 1) for click in part)
-        self._state.update(tuple(map(list, zip(*first, strict=True))))
+            self._handle.registerTimer((key[-1] + 1) * 86_400_000)
+        before: dict[tuple, list[tuple]] = {}
+        while part := [row[: k + 3] for row in islice(rows, ENTRY_ROWS)]:
+            fresh: dict[tuple, list[tuple]] = {}
+            for row in part:
+                fresh.setdefault(row[:k], []).append(row[k:])
+            for own, clicks in fresh.items():
+                had = first.get(own, [])
+                before.setdefault(own, had)
+                first[own] = heapq.nsmallest(self.limit + 1, chain(had, clicks), key=lambda click: click[:2])
+                if self.first_only:  # all of them pass, and below one may be taken back
+                    yield from (self._change(own, click, "click", 1) for click in clicks)
+        self._state.update(tuple(map(list, zip(*((*own, *click) for own, its in first.items() for click in its), strict=True))))
         kinds = [("alert", slice(self.limit, None), 1)]
         kinds += [("click", slice(self.limit, None), -1)] if self.first_only else [("click", slice(self.limit), 1)]
-        for kind, part, sign in kinds:
-            old, new = before[part], first[part]
-            yield from (self._change(named, click, kind, sign) for click in new if click not in old)
-            yield from (self._change(named, click, kind, -sign) for click in old if click not in new)
+        for own, had in before.items():
+            for kind, part, sign in kinds:
+                old, new = had[part], first[own][part]
+                yield from (self._change(own, click, kind, sign) for click in new if click not in old)
+                yield from (self._change(own, click, kind, -sign) for click in old if click not in new)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N803
         self._state.clear()
@@ -458,10 +469,9 @@ class EventDayCap(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    @staticmethod
-    def _change(named: dict, click: tuple, kind: str, delta: int) -> Row:
+    def _change(self, own: tuple, click: tuple, kind: str, delta: int) -> Row:
         us, event_id, label = click
-        return Row(**named, event_id=event_id, label=label, us=us, ts=_EPOCH + timedelta(microseconds=us), kind=kind, delta=delta)
+        return self._change_row(*own, event_id, label, us, _EPOCH + timedelta(microseconds=us), kind, delta)
 
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -545,9 +555,10 @@ def cap_by_event_day(
     processor = EventDayCap(limit, kinds, first_only)
     us = F.unix_micros("ts")
     rows = clicks.withWatermark("ts", disorder).select(
-        *keys, interval_no(us, as_micros(timedelta(days=1))).alias("day"), "ts", us.alias("us"), "event_id", F.col(label).alias("label")
-    )
-    return rows.groupBy(*keys, "day").transformWithState(
+        *keys, us.alias("us"), "event_id", F.col(label).alias("label"),
+        _group(keys, DAY_GROUPS), interval_no(us, as_micros(timedelta(days=1))).alias("day"), "ts",
+    )
+    return rows.groupBy("group", "day").transformWithState(
         statefulProcessor=processor,
         outputStructType=processor.output_schema,
         outputMode="Append",
